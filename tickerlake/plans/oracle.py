@@ -307,6 +307,21 @@ select coalesce(m.New, s.Symbol) as Symbol, {_iso('s.Reference')} as Reference,
        s.Open, s.High, s.Low, s.Close, s.Volume
 from stored s left join rmap m on m.Old = s.Symbol""",
 
+    "read_offset_csv": _with(PRICES) + """
+select Symbol, Date, Open, High, Low, Close, Volume from raw""",
+
+    "read_sheets": _with(SHEETS) + """,
+cell as (select Symbol, report, freq, pos, item, period, max(value) as value
+         from sheet group by Symbol, report, freq, pos, item, period),
+periods as (select distinct Symbol, report, freq, period, label from sheet),
+items as (select distinct Symbol, report, freq, pos, item from sheet),
+ranked as (select *, dense_rank() over (partition by Symbol, report, freq order by pos) as rk from items)
+select r.Symbol, r.report, r.freq, cast(r.rk as bigint) as pos, r.item, p.label, p.period, c.value
+from ranked r
+join periods p on p.Symbol = r.Symbol and p.report = r.report and p.freq = r.freq
+left join cell c on c.Symbol = r.Symbol and c.report = r.report and c.freq = r.freq
+                and c.pos = r.pos and c.period = p.period""",
+
     "rename_audit": _with(KEYS, CHANGES) + """
 select Old, New, t.name as "table", printf('Updated %s with %s in %s table', Old, New, t.name) as message
 from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome', 'TenKBalance',

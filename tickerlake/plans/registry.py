@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions import exprs as X
 from tickerlake.operators import clean, dividends, history, keys, sheets
+from tickerlake.session import shared_dir
 from tickerlake.sources import adapters as A
+from tickerlake.sources import offset_csv as CSV
 
 # Report parameters used by the registered queries. The source
 # serves five fiscal years / five quarters per sheet; the fixture calendar ends
@@ -24,6 +26,8 @@ QUARTERLY_PERIODS = ["2000-Q3", "2000-Q4", "2001-Q1", "2001-Q2", "2001-Q3"]
 NULL_PROBE_PERIODS = ["1998", "1999", "2000", "2001", "2002"]
 DIVIDEND_AS_OF = "2001-08-01"
 DIVIDEND_YEARS = 3
+PRICE_FILE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume"]
+PRICE_FILE_SCHEMA = "Date STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, Volume STRING"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +157,20 @@ def q_rename_audit(spark, d):
     return keys.rename_audit(A.keys_db(spark, d), A.ticker_changes(spark, d)).drop("pos", "Date")
 
 
+def q_read_offset_csv(spark, d):
+    """Write every raw price row as per-symbol files (title line above the
+    header), then read them back."""
+    out = CSV.write_offset_csv(A.prices_raw(spark, d), shared_dir(spark, "price-files"),
+                               PRICE_FILE_COLUMNS, "daily history")
+    return CSV.read_offset_csv(spark, out, 1, PRICE_FILE_SCHEMA).drop("__order")
+
+
+def q_read_sheets(spark, d):
+    """Write every sheet as one file per (symbol, report, freq), read back long."""
+    out = CSV.write_sheets(A.sheets_long(spark, d), shared_dir(spark, "sheet-files"))
+    return CSV.read_sheets(spark, out, 1)
+
+
 QUERIES: dict[str, Query] = {
     "incremental_prices": q_incremental_prices,
     "latest_per_key": q_latest_per_key,
@@ -181,4 +199,6 @@ QUERIES: dict[str, Query] = {
     "rename_map": q_rename_map,
     "rename_keys": q_rename_keys,
     "rename_audit": q_rename_audit,
+    "read_offset_csv": q_read_offset_csv,
+    "read_sheets": q_read_sheets,
 }

@@ -9,7 +9,6 @@ folder, and it then registers that folder as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,11 +55,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root."""
+    """A new, unique (not yet existing) path below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/tickerlake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    return f"{root}/tickerlake/{name}-{uuid.uuid4().hex[:12]}"
