@@ -1,0 +1,48 @@
+import datetime as dt
+
+import pytest
+
+from tickerlake.plans import pipelines as P
+from tickerlake.session import shared_dir
+from tickerlake.sources import store as S
+from tickerlake.sources.store import Store
+
+LISTING = "Symbol string, Name string, LastSale string, MarketCap string, industry string, pos long"
+RAW = "Symbol string, Date string, Open double, High double, Low double, Close double, Volume string"
+
+
+def _listing(spark, symbols):
+    return spark.createDataFrame([(s, s.lower(), "1.0", "$1M", "x", i) for i, s in enumerate(symbols)], LISTING)
+
+
+def test_initialize_then_daily(spark):
+    store = Store(spark, shared_dir(spark, "test-store"))
+    init = P.Inputs(
+        nasdaq=_listing(spark, ["A", "B", "C"]), nyse=_listing(spark, ["D"]),
+        prices=spark.createDataFrame([("A", "1/2/2020", 1.0, 1.0, 1.0, 1.0, "10"), ("B", "1/2/2020", 1.0, 1.0, 1.0, 1.0, "10"),
+                                      ("D", "1/3/2020", 1.0, 1.0, 1.0, 1.0, "10"), ("Z", "1/3/2020", 1.0, 1.0, 1.0, 1.0, "1")], RAW))
+    status = P.initialize(spark, init, store)
+    by_step = {(r.step, r.Symbol): (r.status, r.n_rows) for r in status.collect()}
+    assert by_step[("prices", "A")] == ("committed", 1)
+    assert ("prices", "Z") not in by_step          # not in the key table
+    with pytest.raises(ValueError, match="already exists"):
+        P.initialize(spark, init, store)
+
+    daily = P.Inputs(
+        nasdaq=_listing(spark, ["A", "B", "E"]), nyse=_listing(spark, ["DD"]),
+        prices=spark.createDataFrame([("A", "1/2/2020", 1.0, 1.0, 1.0, 1.0, "10"), ("A", "1/5/2020", 2.0, 2.0, 2.0, 2.0, "11"),
+                                      ("B", "1/2/2020", 1.0, 1.0, 1.0, 1.0, "10"), ("E", "1/9/2020", 3.0, 3.0, 3.0, 3.0, "5")], RAW),
+        changes=spark.createDataFrame([(1, "D", "DD", "2020-01-04")], "pos int, Old string, New string, Date string"))
+    status = P.daily_update(spark, daily, store)
+    got = {(r.step, r.Symbol): (r.status, r.n_rows) for r in status.collect()}
+    assert got[("compare", "E")][0] == "new" and got[("compare", "C")][0] == "removed"
+    assert got[("compare", "DD")][0] == "old"               # renamed D -> DD before the comparison
+    assert got[("prices", "DD")] == ("no_price_history", 0)
+    assert got[("prices", "A")] == ("committed", 1)         # one row newer than 2020-01-02
+    assert got[("prices", "B")] == ("already_latest", 0)
+    prices = store.read(S.PRICES)
+    assert prices.where("Symbol = 'DD'").count() == 1 and prices.where("Symbol = 'D'").count() == 0
+    assert prices.where("Symbol = 'E'").count() == 1        # new listing's history appended
+    assert {r.Symbol for r in store.read(S.KEY_TABLE).collect()} == {"A", "B", "C", "DD", "E"}
+    latest = {r.Symbol: r.last_reference for r in store.read(S.LATEST).collect()}
+    assert latest["A"] == dt.date(2020, 1, 5) and latest["DD"] == dt.date(2020, 1, 3)

@@ -1,0 +1,151 @@
+"""The two end-to-end jobs: initialise the store, and the daily update.
+
+Both work on all symbols at once: every step is one DataFrame job per table,
+never a loop over symbols. Inputs are DataFrames (see ``sources`` for reading
+report files); outputs are tables in a ``Store`` plus one status row per
+(step, symbol) appended to the ``Status`` table and returned.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickerlake.operators import clean, dividends, history, keys, sheets
+from tickerlake.sources import store as S
+
+PRICE_SCHEMA = T.StructType([
+    T.StructField("Symbol", T.StringType()), T.StructField("Reference", T.DateType()),
+    T.StructField("Open", T.DoubleType()), T.StructField("High", T.DoubleType()),
+    T.StructField("Low", T.DoubleType()), T.StructField("Close", T.DoubleType()),
+    T.StructField("Volume", T.DoubleType())])
+LATEST_SCHEMA = T.StructType([T.StructField("Symbol", T.StringType()),
+                              T.StructField("last_reference", T.DateType())])
+KEY_SCHEMA = T.StructType([T.StructField("Symbol", T.StringType()), T.StructField("Market", T.StringType())])
+SHEET_SCHEMA = T.StructType([
+    T.StructField("Symbol", T.StringType()), T.StructField("pos", T.LongType()),
+    T.StructField("item", T.StringType()), T.StructField("label", T.StringType()),
+    T.StructField("period", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("report", T.StringType()), T.StructField("freq", T.IntegerType())])
+STATUS_COLUMNS = ["job", "step", "Symbol", "status", "n_rows"]
+
+
+@dataclass
+class Inputs:
+    """Raw inputs of one run. Any of them may be None (that step is skipped)."""
+    nasdaq: DataFrame | None = None          # raw listing rows (with a ``pos`` column)
+    nyse: DataFrame | None = None
+    prices: DataFrame | None = None          # raw price rows (Symbol, Date, OHLC, Volume)
+    sheets: DataFrame | None = None          # long sheet rows
+    div_past: DataFrame | None = None
+    div_upcoming: DataFrame | None = None
+    changes: DataFrame | None = None         # ticker changes (pos, Old, New, Date)
+
+
+def _status(job: str, step: str, df: DataFrame, status, n_rows) -> DataFrame:
+    return df.select(F.lit(job).alias("job"), F.lit(step).alias("step"),
+                     F.col("Symbol").cast("string").alias("Symbol"),
+                     (F.lit(status) if isinstance(status, str) else status).alias("status"),
+                     n_rows.cast("long").alias("n_rows"))
+
+
+def _log(store: S.Store, rows: list[DataFrame], run_id: str) -> DataFrame:
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    out = out.withColumn("run_id", F.lit(run_id)).withColumn("run_ts", F.current_timestamp())
+    store.append(S.STATUS, out)
+    return store.read(S.STATUS).where(F.col("run_id") == run_id).drop("run_ts")
+
+
+def _per_symbol(df: DataFrame) -> DataFrame:
+    return df.groupBy("Symbol").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _store_prices(store: S.Store, job: str, new_rows: DataFrame) -> DataFrame:
+    """Append price rows, advance the high-water marks, report rows per symbol."""
+    new_rows = new_rows.checkpoint(eager=True)  # one computation feeds three writes
+    store.append(S.PRICES, new_rows)
+    latest = store.read_or_empty(S.LATEST, LATEST_SCHEMA)
+    store.rewrite(S.LATEST, history.advance_latest(latest, new_rows))
+    return _status(job, "prices", _per_symbol(new_rows), history.COMMITTED, F.col("n"))
+
+
+def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str = "init") -> DataFrame:
+    """Listing -> key table -> price history, sheets, dividends -> status log."""
+    from tickerlake.session import checkpoint_root
+    checkpoint_root(spark)
+    job, log = "initialize", []
+    listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
+    store.create(S.KEY_TABLE, listing)
+    key_table = store.read(S.KEY_TABLE)
+    log.append(_status(job, "key_table", key_table, "created", F.lit(1)))
+
+    if inputs.prices is not None:
+        stored = store.read_or_empty(S.PRICES, PRICE_SCHEMA)
+        cleaned = clean.price_history(inputs.prices).join(key_table.select("Symbol"), "Symbol", "left_semi")
+        log.append(_status(job, "prices", history.rejected_history(stored, cleaned),
+                           F.col("status"), F.col("n_rows")))
+        log.append(_store_prices(store, job, history.append_new_history(stored, cleaned)))
+
+    if inputs.sheets is not None:
+        stored = store.read_or_empty(S.SHEETS, SHEET_SCHEMA)
+        rows = history.route_report(stored, sheets.drop_null_periods(inputs.sheets)).drop("table")
+        rows = rows.checkpoint(eager=True)
+        store.append(S.SHEETS, rows.select(*SHEET_SCHEMA.fieldNames()))
+        log.append(_status(job, "sheets", _per_symbol(rows), history.COMMITTED, F.col("n")))
+
+    if inputs.div_past is not None:
+        div = dividends.dividend_history(inputs.div_past, inputs.div_upcoming if inputs.div_upcoming is not None
+                                         else inputs.div_past.limit(0))
+        stored = store.read_or_empty(S.DIVIDENDS, div.schema)
+        div = history.append_new_history(stored, div).checkpoint(eager=True)
+        store.append(S.DIVIDENDS, div)
+        log.append(_status(job, "dividends", _per_symbol(div), history.COMMITTED, F.col("n")))
+    return _log(store, log, run_id)
+
+
+def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str = "daily") -> DataFrame:
+    """Current listing -> ticker renames -> compare lists -> incremental prices
+    for listed symbols -> new keys -> history of new symbols -> status log."""
+    from tickerlake.session import checkpoint_root
+    checkpoint_root(spark)
+    job, log = "daily_update", []
+    listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
+
+    if inputs.changes is not None:
+        key_before = store.read(S.KEY_TABLE)
+        mapping = keys.rename_map(key_before, inputs.changes).checkpoint(eager=True)
+        renamed = [t for t in store.tables() if t != S.STATUS]
+        audit = keys.rename_audit(key_before, inputs.changes, renamed)
+        for name in renamed:
+            store.rewrite(name, keys.rename_keys(store.read(name), mapping))
+        log.append(audit.select(F.lit(job).alias("job"), F.lit("rename").alias("step"),
+                                F.col("Old").alias("Symbol"), F.col("message").alias("status"),
+                                F.lit(1).cast("long").alias("n_rows")))
+
+    key_table = store.read(S.KEY_TABLE)
+    split = keys.compare_lists(key_table, listing).checkpoint(eager=True)
+    log.append(_status(job, "compare", split, F.col("category"), F.lit(1)))
+    old = split.where(F.col("category") == keys.OLD)
+    new = split.where(F.col("category") == keys.NEW).select("Symbol", "Market")
+
+    if inputs.prices is not None:
+        stored = store.read_or_empty(S.PRICES, PRICE_SCHEMA)
+        latest = store.read_or_empty(S.LATEST, LATEST_SCHEMA)
+        fetched = clean.price_history(inputs.prices).checkpoint(eager=True)
+        old_rows = fetched.join(old.select("Symbol"), "Symbol", "left_semi")
+        status = history.refresh_status(old, stored, old_rows, latest=latest)
+        log.append(_status(job, "prices", status, F.col("status"), F.col("n_rows")))
+        fresh = history.incremental_prices(stored, old_rows, latest=latest)
+        brand_new = history.append_new_history(stored, fetched.join(new.select("Symbol"), "Symbol", "left_semi"))
+        log.append(_store_prices(store, job, fresh.unionByName(brand_new)))
+
+    added = keys.new_keys(key_table, new).checkpoint(eager=True)
+    summary = keys.new_keys_summary(key_table, new).first()
+    store.append(S.KEY_TABLE, added)
+    log.append(_status(job, "new_keys", added, summary["message"], F.lit(1)))
+    return _log(store, log, run_id)

@@ -171,6 +171,33 @@ def q_read_sheets(spark, d):
     return CSV.read_sheets(spark, out, 1)
 
 
+def q_initialize(spark, d):
+    """Initial load into a fresh store; returns the run's status rows."""
+    from tickerlake.plans import pipelines as P
+    from tickerlake.sources.store import Store
+    store = Store(spark, shared_dir(spark, "store"))
+    inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
+                      nyse=A.listing_nyse(spark, d, "S"),
+                      prices=A.prices_stored_raw(spark, d), sheets=A.sheets_stored(spark, d),
+                      div_past=A.dividends_past(spark, d), div_upcoming=A.dividends_upcoming(spark, d))
+    return P.initialize(spark, inputs, store)
+
+
+def q_daily_update(spark, d):
+    """Initial load, then one daily update (renames, new listing, full
+    re-download of prices); returns the daily run's status rows."""
+    from tickerlake.plans import pipelines as P
+    from tickerlake.sources.store import Store
+    store = Store(spark, shared_dir(spark, "store"))
+    P.initialize(spark, P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
+                                 nyse=A.listing_nyse(spark, d, "S"), prices=A.prices_stored_raw(spark, d)),
+                 store)
+    inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="BUILDING"),
+                      nyse=A.listing_nyse(spark, d, "S"),
+                      prices=A.prices_download(spark, d), changes=A.ticker_changes(spark, d))
+    return P.daily_update(spark, inputs, store)
+
+
 QUERIES: dict[str, Query] = {
     "incremental_prices": q_incremental_prices,
     "latest_per_key": q_latest_per_key,
@@ -201,4 +228,6 @@ QUERIES: dict[str, Query] = {
     "rename_audit": q_rename_audit,
     "read_offset_csv": q_read_offset_csv,
     "read_sheets": q_read_sheets,
+    "initialize": q_initialize,
+    "daily_update": q_daily_update,
 }

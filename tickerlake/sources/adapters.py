@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 
 from tickerlake.operators.clean import price_history
 
-# The date where stored rows end for the fixtures, and the title
-# of the first header cell of every generated sheet.
+# Fixed value: the first header cell of every generated sheet.
 SHEET_LABEL = "Fiscal year ends in December. USD in millions"
 
 
@@ -43,14 +42,17 @@ def _s(c: str) -> Column:
 
 # -- listings -----------------------------------------------------------------
 
-def listing_nasdaq(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_nasdaq(spark: SparkSession, sf_dir: str, prefix: str = "T",
+                   skip_segment: str | None = None) -> DataFrame:
     c = table(spark, sf_dir, "customer")
+    if skip_segment is not None:
+        c = c.where(F.col("c_mktsegment") != skip_segment)
     cap = (F.when(F.col("c_acctbal") < 0, F.lit("n/a"))
            .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string"))
            .otherwise(F.concat(F.lit("$"), _s("c_nationkey"), F.lit(".5"),
                                F.when(F.col("c_acctbal") > 5000, F.lit("B")).otherwise(F.lit("M")))))
     return c.select(
-        F.concat(F.lit("T "), _s("c_custkey")).alias("Symbol"),
+        F.concat(F.lit(prefix + " "), _s("c_custkey")).alias("Symbol"),
         F.col("c_name").alias("Name"),
         (F.col("c_acctbal") / 3).cast("string").alias("LastSale"),
         cap.alias("MarketCap"),
@@ -61,13 +63,13 @@ def listing_nasdaq(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def listing_nyse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_nyse(spark: SparkSession, sf_dir: str, prefix: str = "T") -> DataFrame:
     p = table(spark, sf_dir, "part")
     cap = (F.when(F.col("p_size") > 45, F.lit("n/a"))
            .otherwise(F.concat(F.lit("$"), _s("p_size"), F.lit(".25"),
                                F.when(F.col("p_retailprice") > 950, F.lit("B")).otherwise(F.lit("M")))))
     return p.select(
-        F.concat(F.lit("T"), _s("p_partkey")).alias("Symbol"),
+        F.concat(F.lit(prefix), _s("p_partkey")).alias("Symbol"),
         F.col("p_name").alias("Name"),
         (F.col("p_retailprice") / 3).cast("string").alias("LastSale"),
         cap.alias("MarketCap"),
@@ -110,6 +112,17 @@ def prices_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_history(_lineitem_prices(li))
 
 
+def prices_stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows behind ``prices_stored`` (what an initial load reads)."""
+    li = table(spark, sf_dir, "lineitem")
+    return _lineitem_prices(li.where((F.col("l_linestatus") == "F") & (F.col("l_partkey") % 10 != 3)))
+
+
+def prices_download(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows behind ``prices_incoming`` (a full re-download)."""
+    return _lineitem_prices(table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 10 != 7))
+
+
 def prices_incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh full download, cleaned; delisted symbols return nothing."""
     li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 10 != 7)
@@ -179,9 +192,6 @@ def dividends_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- financial sheets (long form) -------------------------------------------------
 
-REPORT_BY_REMAINDER = ("is", "bs", "cf")
-
-
 def _sheets(o: DataFrame) -> DataFrame:
     report = (F.when(F.col("o_orderkey") % 3 == 0, F.lit("is"))
               .when(F.col("o_orderkey") % 3 == 1, F.lit("bs")).otherwise(F.lit("cf")))
