@@ -37,7 +37,7 @@ def _bytes(text: str) -> int:
     return int(float(digits) * _UNITS[text[len(digits):]])
 
 
-def _numbering(skip: int):
+def line_numbering(skip: int):
     """Per partition: ``seq`` = index of the line inside its split, ``line`` = the
     same for the file's first split (else NULL), ``head`` = the header text for
     body lines of a first split."""
@@ -75,10 +75,14 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) ->
     lines = (raw.where(F.trim("value") != "")
              .select("value", F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"), *parts))
-    schema = T.StructType(lines.schema.fields + [
+    return lines.mapInPandas(line_numbering(skip), numbered_schema(lines))
+
+
+def numbered_schema(lines: DataFrame) -> T.StructType:
+    """Schema of ``lines`` plus the columns ``line_numbering`` adds."""
+    return T.StructType(lines.schema.fields + [
         T.StructField("seq", T.LongType()), T.StructField("line", T.LongType()),
         T.StructField("head", T.StringType())])
-    return lines.mapInPandas(_numbering(skip), schema)
 
 
 def _may_split(spark: SparkSession, path) -> bool:

@@ -1,0 +1,77 @@
+"""Daily price refresh as a file-triggered stream.
+
+Price files land in a folder (one per symbol, title line above the header).
+``start_price_refresh`` picks up every file not seen before -- the stream's
+checkpoint remembers which -- and, per micro-batch, keeps only rows newer than
+each symbol's high-water mark, exactly like the batch job. Run it with
+``availableNow`` once a day, or continuously.
+
+Exactly once: micro-batch ``n`` reads the marks written by batch ``n - 1``
+(``StreamLatest/v=n``) and overwrites both of its outputs at paths named by
+``n`` (``TenYrPricesStream/batch=n`` and ``StreamLatest/v=n+1``). A batch that
+is replayed after a failure therefore recomputes and rewrites the same rows; it
+never appends twice.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tickerlake.operators import clean, history
+from tickerlake.plans.pipelines import LATEST_SCHEMA, PRICE_SCHEMA
+from tickerlake.sources import offset_csv as CSV
+from tickerlake.sources import store as S
+
+STREAM_PRICES = "TenYrPricesStream"
+STREAM_LATEST = "StreamLatest"
+PRICE_FILE_SCHEMA = "Date STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, Volume STRING"
+
+
+def _path(store: S.Store, name: str, part: str) -> str:
+    return f"{store.root}/{name}/{part}"
+
+
+def _marks_for(spark: SparkSession, store: S.Store, batch_id: int) -> DataFrame:
+    try:
+        return spark.read.parquet(_path(store, STREAM_LATEST, f"v={batch_id}"))
+    except Exception:  # noqa: BLE001 - no marks from an earlier batch yet
+        if batch_id == 0:
+            return store.read_or_empty(S.LATEST, LATEST_SCHEMA)
+        raise
+
+
+def refresh_batch(spark: SparkSession, store: S.Store, lines: DataFrame, batch_id: int, skip: int = 1) -> None:
+    """Process one micro-batch of raw file lines (value, file, block)."""
+    numbered = lines.mapInPandas(CSV.line_numbering(skip), CSV.numbered_schema(lines))
+    body = numbered.where(F.col("line").isNull() | (F.col("line") > skip))
+    raw = body.select(F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1).alias("Symbol"),
+                      F.from_csv("value", PRICE_FILE_SCHEMA).alias("r")).select("Symbol", "r.*")
+    marks = _marks_for(spark, store, batch_id).checkpoint(eager=True)
+    fresh = history.incremental_prices(None, clean.price_history(raw), latest=marks).checkpoint(eager=True)
+    fresh.write.mode("overwrite").parquet(_path(store, STREAM_PRICES, f"batch={batch_id}"))
+    history.advance_latest(marks, fresh).write.mode("overwrite").parquet(
+        _path(store, STREAM_LATEST, f"v={batch_id + 1}"))
+
+
+def read_stream_prices(spark: SparkSession, store: S.Store) -> DataFrame:
+    """Rows appended by the stream so far (empty when it never ran)."""
+    try:
+        return spark.read.parquet(f"{store.root}/{STREAM_PRICES}").drop("batch")
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return spark.createDataFrame([], PRICE_SCHEMA)
+
+
+def start_price_refresh(spark: SparkSession, incoming_dir: str, store: S.Store, checkpoint: str,
+                        available_now: bool = True, skip: int = 1) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it stops after the files present."""
+    lines = (spark.readStream.format("text").load(incoming_dir)
+             .where(F.trim("value") != "")
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block")))
+    writer = (lines.writeStream
+              .foreachBatch(lambda df, n: refresh_batch(spark, store, df, n, skip))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
