@@ -15,6 +15,7 @@ files are laid out that way, else from the file name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,8 @@ SPLIT_SAFE_BYTES = "spark.sql.files.openCostInBytes"
 # Fixed value: a comma followed by an even number of quotes up to the line end,
 # i.e. a comma outside any quoted field.
 CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# Fixed value: sheet file/folder names '<symbol>_<report>_<months>'.
+SHEET_NAME = r"^(.+)_(is|bs|cf)_([0-9]+)$"
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
@@ -67,10 +70,31 @@ def line_numbering(skip: int):
     return run
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """One-file-per-symbol folders are many and tiny: list them with about one
+    task per core instead of one task per folder (restored afterwards)."""
+    before = spark.conf.get(LISTING_PARALLELISM, None)
+    cores = spark.sparkContext.defaultParallelism
+    if before is None or int(before) > cores:
+        spark.conf.set(LISTING_PARALLELISM, str(cores))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(LISTING_PARALLELISM)
+        else:
+            spark.conf.set(LISTING_PARALLELISM, before)
+
+
 def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) -> DataFrame:
     """Non-blank lines with file, split start, per-split index and carried header."""
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.text(paths)
+    with _listing_tasks(spark):
+        raw = spark.read.text(paths)
     parts = [c for c in raw.columns if c != "value"]
     lines = (raw.where(F.trim("value") != "")
              .select("value", F.col("_metadata.file_path").alias("file"),
@@ -89,8 +113,9 @@ def _may_split(spark: SparkSession, path) -> bool:
     """True when some input file is larger than the size Spark never splits."""
     paths = [path] if isinstance(path, str) else list(path)
     safe = _bytes(spark.conf.get(SPLIT_SAFE_BYTES, "4194304"))
-    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    biggest = sizes.agg(F.max("length")).first()[0]
+    with _listing_tasks(spark):
+        sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        biggest = sizes.agg(F.max("length")).first()[0]
     return biggest is not None and biggest > safe
 
 
@@ -134,6 +159,21 @@ def header_mismatches(spark: SparkSession, path, skip: int, expected: Sequence[s
             .select(_symbol(lines).alias("Symbol"), "file", F.col("value").alias("header")))
 
 
+def _sheet_keys(lines: DataFrame) -> list[F.Column]:
+    """Symbol, report and freq of a sheet file: from ``Symbol=/report=/freq=``
+    folders, else from a ``sheet=`` folder or file name '<symbol>_<report>_<freq>'."""
+    cols = lines.columns
+    if "report" in cols and "freq" in cols:
+        return [_symbol(lines).alias("Symbol"), F.col("report").cast("string").alias("report"),
+                F.col("freq").cast("int").alias("freq")]
+    name = F.col("sheet").cast("string") if "sheet" in cols else \
+        F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
+    parsed = [F.regexp_extract(name, SHEET_NAME, i) for i in (1, 2, 3)]
+    return [F.when(parsed[0] != "", parsed[0]).otherwise(name).alias("Symbol"),
+            F.when(parsed[1] != "", parsed[1]).alias("report"),
+            F.when(parsed[2] != "", parsed[2]).cast("int").alias("freq")]
+
+
 def csv_fields(col) -> F.Column:
     """Split one CSV line into its fields (commas inside quotes kept, quotes
     removed, doubled quotes unescaped, trailing empty fields kept)."""
@@ -154,9 +194,7 @@ def read_sheets(spark: SparkSession, path, skip: int, check_split: bool = True)
     lines = numbered_lines(spark, path, skip)
     body = _with_headers(spark, path, lines, skip, check_split)
     cells = body.select(
-        _symbol(lines).alias("Symbol"),
-        *([F.col("report").cast("string").alias("report")] if "report" in lines.columns else []),
-        *([F.col("freq").cast("int").alias("freq")] if "freq" in lines.columns else []),
+        *_sheet_keys(lines),
         (F.col("block") + F.col("seq") - F.lit(skip)).alias("pos"),
         csv_fields("value").alias("__v"),
         csv_fields("head").alias("__h"),
@@ -201,8 +239,9 @@ def write_offset_csv(df: DataFrame, out: str, columns: Sequence[str], title: str
 
 
 def write_sheets(long: DataFrame, out: str, title: str = "REPORT") -> str:
-    """Long sheet rows -> one CSV per (Symbol, report, freq): title line, header
-    (label, then the sheet's periods in order) and one line per item."""
+    """Long sheet rows -> one CSV per (Symbol, report, freq) in folder
+    ``sheet=<symbol>_<report>_<freq>``: title line, header (label, then the
+    sheet's periods in order) and one line per item."""
     keys = ["Symbol", "report", "freq"]
     periods = (long.groupBy(*keys)
                .agg(F.array_sort(F.collect_set("period")).alias("periods"),
@@ -212,15 +251,16 @@ def write_sheets(long: DataFrame, out: str, title: str = "REPORT") -> str:
              .agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("cells")))
     joined = items.join(periods.select(*keys, "periods"), keys)
     text_cells = F.transform("periods", lambda p: F.coalesce(F.element_at("cells", p).cast("string"), F.lit("")))
-    body = joined.select(*keys, F.lit(2).alias("__o"), F.col("pos").alias("__p"),
+    sheet = F.concat_ws("_", "Symbol", "report", F.col("freq").cast("string")).alias("sheet")
+    body = joined.select(sheet, F.lit(2).alias("__o"), F.col("pos").alias("__p"),
                          F.concat_ws(",", F.to_csv(F.struct(F.col("item").alias("i"))), F.array_join(text_cells, ","))
                          .alias("value"))
-    head = periods.select(*keys, F.lit(1).alias("__o"), F.lit(0).alias("__p"),
+    head = periods.select(sheet, F.lit(1).alias("__o"), F.lit(0).alias("__p"),
                           F.concat_ws(",", F.to_csv(F.struct(F.col("label").alias("l"))),
                                       F.array_join("periods", ",")).alias("value"))
-    ttl = periods.select(*keys, F.lit(0).alias("__o"), F.lit(0).alias("__p"),
+    ttl = periods.select(sheet, F.lit(0).alias("__o"), F.lit(0).alias("__p"),
                          F.concat_ws(" ", "Symbol", F.upper("report"), F.lit(title)).alias("value"))
     allrows = ttl.unionByName(head).unionByName(body)
-    (allrows.repartition(_writers(long), *keys).sortWithinPartitions(*keys, "__o", "__p")
-     .select(*keys, "value").write.partitionBy(*keys).mode("errorifexists").text(out))
+    (allrows.repartition(_writers(long), "sheet").sortWithinPartitions("sheet", "__o", "__p")
+     .select("sheet", "value").write.partitionBy("sheet").mode("errorifexists").text(out))
     return out
