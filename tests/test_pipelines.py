@@ -44,5 +44,26 @@ def test_initialize_then_daily(spark):
     assert prices.where("Symbol = 'DD'").count() == 1 and prices.where("Symbol = 'D'").count() == 0
     assert prices.where("Symbol = 'E'").count() == 1        # new listing's history appended
     assert {r.Symbol for r in store.read(S.KEY_TABLE).collect()} == {"A", "B", "C", "DD", "E"}
+    assert prices.count() == 5                               # A x2, B, DD, E: nothing lost or doubled
     latest = {r.Symbol: r.last_reference for r in store.read(S.LATEST).collect()}
     assert latest["A"] == dt.date(2020, 1, 5) and latest["DD"] == dt.date(2020, 1, 3)
+
+
+def test_bucketed_rename_touches_only_its_buckets(spark):
+    from pyspark.sql import functions as F
+    from tickerlake.operators import keys
+    store = Store(spark, shared_dir(spark, "test-buckets"), buckets={S.PRICES: 16})
+    prices = spark.range(2000).select(F.concat(F.lit("S"), (F.col("id") % 200).cast("string")).alias("Symbol"),
+                                      F.make_date(F.lit(2020), F.lit(1), (F.col("id") % 28 + 1).cast("int"))
+                                      .alias("Reference"), F.col("id").cast("double").alias("Close"))
+    store.append(S.PRICES, prices)
+    before = {r.Symbol: r["count"] for r in store.read(S.PRICES).groupBy("Symbol").count().collect()}
+    mapping = spark.createDataFrame([("S1", "S1000"), ("S2", "S3")], "Old string, New string")
+    store.rename_symbols(S.PRICES, mapping, keys.rename_keys)
+    after = {r.Symbol: r["count"] for r in store.read(S.PRICES).groupBy("Symbol").count().collect()}
+    assert "S1" not in after and "S2" not in after
+    assert after["S1000"] == before["S1"] and after["S3"] == before["S2"] + before["S3"]
+    assert sum(after.values()) == 2000
+    raw = spark.read.parquet(store.path(S.PRICES))
+    bad = raw.where(F.col("bucket") != F.pmod(F.xxhash64("Symbol"), F.lit(16)))
+    assert bad.count() == 0

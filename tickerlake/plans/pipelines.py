@@ -122,7 +122,7 @@ def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: st
         renamed = [t for t in store.tables() if t != S.STATUS]
         audit = keys.rename_audit(key_before, inputs.changes, renamed)
         for name in renamed:
-            store.rewrite(name, keys.rename_keys(store.read(name), mapping))
+            store.rename_symbols(name, mapping, keys.rename_keys)
         log.append(audit.select(F.lit(job).alias("job"), F.lit("rename").alias("step"),
                                 F.col("Old").alias("Symbol"), F.col("message").alias("status"),
                                 F.lit(1).cast("long").alias("n_rows")))

@@ -1,18 +1,24 @@
 """Parquet tables under one root folder (a shared filesystem on a cluster).
 
-Appends go straight into a table's current version. A rewrite (ticker renames
-touch every row's Symbol) writes a complete new version next to the old one and
-only then becomes current, so a job never overwrites files it is reading and a
-failed rewrite leaves the previous version intact. A version is current once its
-``_SUCCESS`` marker exists; readers take the highest such version.
+Appends go straight into a table's current version. A full rewrite writes a
+complete new version next to the old one and only then becomes current, so a
+job never overwrites files it is reading and a failed rewrite leaves the
+previous version intact. A version is current once its ``_SUCCESS`` marker
+exists; readers take the highest such version.
+
+The price history -- by far the largest table -- is laid out in ``bucket=``
+folders by a hash of Symbol. A ticker rename then replaces only the buckets its
+old and new symbols live in (dynamic partition overwrite of a checkpointed
+copy), instead of rewriting years of history for every symbol.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Stored table names (the key table keeps its historic name).
 KEY_TABLE = "AllStocksKey"
@@ -23,6 +29,7 @@ LATEST = "LatestPrice"
 STATUS = "Status"
 
 PARTITIONS = {SHEETS: ["report", "freq"]}
+BUCKET = "bucket"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -31,10 +38,18 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def symbol_bucket(symbol, buckets: int) -> Column:
+    col = F.col(symbol) if isinstance(symbol, str) else symbol
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
 @dataclass
 class Store:
     spark: SparkSession
     root: str
+    # Symbol buckets per table (folder layout). Size so one bucket holds a few
+    # GB at the target scale, e.g. 1024-4096 for a multi-TB price history.
+    buckets: dict = field(default_factory=lambda: {PRICES: 16})
 
     def _versions(self, name: str) -> list[int]:
         fs, base = _fs(self.spark, f"{self.root}/{name}")
@@ -59,13 +74,13 @@ class Store:
         p = self.path(name)
         if p is None:
             raise ValueError(f"table {name} does not exist")
-        return self.spark.read.option("mergeSchema", "true").parquet(p)
+        df = self.spark.read.option("mergeSchema", "true").parquet(p)
+        return df.drop(BUCKET) if name in self.buckets else df
 
     def read_or_empty(self, name: str, schema) -> DataFrame:
-        p = self.path(name)
-        if p is None:
+        if not self.exists(name):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("mergeSchema", "true").parquet(p)
+        return self.read(name)
 
     def create(self, name: str, df: DataFrame) -> str:
         """Create a table; an existing one is an error (nothing is replaced)."""
@@ -85,6 +100,37 @@ class Store:
         v = self._versions(name)
         return self._write(name, df, (v[-1] + 1) if v else 0, "errorifexists")
 
+    def rename_symbols(self, name: str, mapping: DataFrame, apply) -> None:
+        """Apply a rename map (Old -> New) to a stored table.
+
+        Bucketed tables: only the buckets of the map's Old and New symbols are
+        read (partition pruning), renamed, checkpointed and written back with a
+        dynamic partition overwrite; buckets left empty are removed. Other
+        tables get a full rewrite into a new version. ``apply(df, mapping)``
+        does the renaming.
+        """
+        if name not in self.buckets:
+            self.rewrite(name, apply(self.read(name), mapping))
+            return
+        n, path = self.buckets[name], self.path(name)
+        moved = mapping.select(F.explode(F.array("Old", "New")).alias("s")).select(
+            symbol_bucket("s", n).alias("b")).distinct()
+        touched = sorted(r.b for r in moved.collect())  # at most n small ints
+        if not touched:
+            return
+        cur = self.spark.read.parquet(path).where(F.col(BUCKET).cast("int").isin(touched)).drop(BUCKET)
+        renamed = apply(cur, mapping)
+        renamed = (renamed.withColumn(BUCKET, symbol_bucket("Symbol", n)).hint("rebalance", BUCKET)
+                   .checkpoint(eager=True))
+        (renamed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET).parquet(path))
+        kept = {r[BUCKET] for r in renamed.select(BUCKET).distinct().collect()}
+        fs, _ = _fs(self.spark, path)
+        jvm = self.spark.sparkContext._jvm
+        for b in touched:
+            if b not in kept:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={b}"), True)
+
     def tables(self) -> list[str]:
         fs, base = _fs(self.spark, self.root)
         if not fs.exists(base):
@@ -94,8 +140,13 @@ class Store:
 
     def _write(self, name: str, df: DataFrame, version: int, mode: str) -> str:
         target = f"{self.root}/{name}/v={version}"
-        w = df.write.mode(mode)
         parts: Sequence[str] = PARTITIONS.get(name, [])
+        if name in self.buckets:
+            # Rebalance by bucket: one file per bucket per write, while AQE
+            # splits a bucket that holds a hot symbol over several tasks.
+            df = df.withColumn(BUCKET, symbol_bucket("Symbol", self.buckets[name])).hint("rebalance", BUCKET)
+            parts = [BUCKET]
+        w = df.write.mode(mode)
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(target)
