@@ -76,27 +76,17 @@ def rename_map(key_table: DataFrame, changes: DataFrame, order: str = "pos",
     Changes apply one after the other in ``order`` (unique per change), each to
     every row holding its Old symbol at that moment. A symbol's path therefore
     starts at the first change of that symbol and moves on to the first later
-    change of the symbol it became. That successor is an as-of lookup solved
-    with one windowed scan per symbol (a running ``last`` in descending order,
-    linear, no pairs), and the end of each path is found by pointer doubling:
-    ceil(log2(longest chain)) self-joins, each checkpointed to cut lineage.
+    change of the symbol it became. That successor is an as-of lookup (see
+    ``_successors``: linear scans, no pairs, no unbounded group), and the end of
+    each path is found by pointer doubling: ceil(log2(longest chain))
+    self-joins on the unique order key, each checkpointed to cut lineage.
     Result columns: Old, New (Old != New not guaranteed: a cycle may return).
     """
     checkpoint_root(changes.sparkSession)
     E = (eligible_changes(key_table, changes)
          .select(F.col(order).alias("p"), F.col("Old").alias("o"), F.col("New").alias("n"))
          .checkpoint(eager=True))
-    # Successor of change c: the change with Old = c.New and the smallest p > c.p.
-    probes = E.select(F.col("n").alias("k"), "p", F.lit(0).alias("kind"),
-                      F.col("p").alias("src"), F.lit(None).cast(E.schema["p"].dataType).alias("tgt"))
-    targets = E.select(F.col("o").alias("k"), "p", F.lit(1).alias("kind"),
-                       F.lit(None).cast(E.schema["p"].dataType).alias("src"), F.col("p").alias("tgt"))
-    w = (Window.partitionBy("k").orderBy(F.col("p").desc(), F.col("kind").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    succ = (probes.unionByName(targets)
-            .withColumn("nxt", F.last("tgt", ignorenulls=True).over(w))
-            .where(F.col("kind") == 0)
-            .select(F.col("src").alias("p"), "nxt"))
+    succ = _successors(E)
     state = E.join(succ, "p", "left").select("p", F.col("nxt").alias("ptr"), F.col("n").alias("fin"))
     state = state.checkpoint(eager=True)
     for _ in range(max_rounds):
@@ -114,6 +104,41 @@ def rename_map(key_table: DataFrame, changes: DataFrame, order: str = "pos",
     return first.join(state, "p").select(F.col("o").alias("Old"), F.col("fin").alias("New"))
 
 
+def _successors(E: DataFrame) -> DataFrame:
+    """For each change (p, o, n): ``nxt`` = the smallest p' > p among changes
+    whose Old is n (NULL when none).
+
+    Probes (n, p) and targets (o, p') are range-partitioned together by
+    (symbol, order), so a symbol holding a third of all changes spreads over
+    many partitions. Inside each (symbol, partition) group a running ``last``
+    in descending order finds the successor in the same partition; a probe
+    with none there takes the first target of the next partitions holding that
+    symbol, from a summary with one row per (symbol, partition).
+    """
+    ptype = E.schema["p"].dataType
+    none = F.lit(None).cast(ptype)
+    probes = E.select(F.col("n").alias("k"), "p", F.lit(0).alias("kind"), F.col("p").alias("src"), none.alias("tgt"))
+    targets = E.select(F.col("o").alias("k"), "p", F.lit(1).alias("kind"), none.alias("src"), F.col("p").alias("tgt"))
+    parts = max(int(E.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # Ascending (symbol, order); at equal order the target sorts first, so a
+    # change never counts as its own successor across a range boundary.
+    ranged = (probes.unionByName(targets)
+              .repartitionByRange(parts, "k", "p", F.col("kind").desc())
+              .withColumn("pid", F.spark_partition_id())
+              .checkpoint(eager=True))  # freeze the sampled ranges
+    local = (Window.partitionBy("k", "pid").orderBy(F.col("p").desc(), F.col("kind").asc())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    scanned = ranged.withColumn("nxt", F.last("tgt", ignorenulls=True).over(local)).where(F.col("kind") == 0)
+    # Per (symbol, partition): the smallest target; then, over the partitions
+    # after it (higher orders), the smallest of those -- the carried successor.
+    firsts = ranged.where(F.col("kind") == 1).groupBy("k", "pid").agg(F.min("p").alias("first_tgt"))
+    spans = ranged.select("k", "pid").distinct().join(firsts, ["k", "pid"], "left")
+    later = Window.partitionBy("k").orderBy(F.col("pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = spans.withColumn("after", F.min("first_tgt").over(later)).select("k", "pid", "after")
+    return (scanned.join(carry, ["k", "pid"], "left")
+            .select(F.col("src").alias("p"), F.coalesce("nxt", "after").alias("nxt")))
+
+
 def rename_keys(table: DataFrame, mapping: DataFrame, key: str = "Symbol") -> DataFrame:
     """Apply an Old -> New map to ``table``'s key column (all other rows unchanged)."""
     m = mapping.select(F.col("Old").alias("__old"), F.col("New").alias("__new"))
