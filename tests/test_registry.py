@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-FILE_QUERIES = {"read_offset_csv", "read_sheets", "initialize", "daily_update"}  # see test_sources / test_pipelines
+FILE_QUERIES = {"read_offset_csv", "read_sheets", "initialize", "daily_update"}  # see test_sources / test_store_jobs
 
 
 @pytest.fixture(scope="module")

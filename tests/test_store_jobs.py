@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from tickerlake.plans import pipelines as P
+from tickerlake.plans import store_jobs as P
 from tickerlake.session import shared_dir
 from tickerlake.sources import store as S
 from tickerlake.sources.store import Store

@@ -173,7 +173,7 @@ def q_read_sheets(spark, d):
 
 def q_initialize(spark, d):
     """Initial load into a fresh store; returns the run's status rows."""
-    from tickerlake.plans import pipelines as P
+    from tickerlake.plans import store_jobs as P
     from tickerlake.sources.store import Store
     store = Store(spark, shared_dir(spark, "store"))
     inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
@@ -186,7 +186,7 @@ def q_initialize(spark, d):
 def q_daily_update(spark, d):
     """Initial load, then one daily update (renames, new listing, full
     re-download of prices); returns the daily run's status rows."""
-    from tickerlake.plans import pipelines as P
+    from tickerlake.plans import store_jobs as P
     from tickerlake.sources.store import Store
     store = Store(spark, shared_dir(spark, "store"))
     P.initialize(spark, P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),

@@ -106,7 +106,8 @@ class Store:
         Bucketed tables: only the buckets of the map's Old and New symbols are
         read (partition pruning), renamed, checkpointed and written back with a
         dynamic partition overwrite; buckets left empty are removed. Other
-        tables get a full rewrite into a new version. ``apply(df, mapping)``
+        tables -- and a bucketed one whose buckets mostly change -- get a full
+        rewrite into a new version. ``apply(df, mapping)``
         does the renaming.
         """
         if name not in self.buckets:
@@ -118,6 +119,9 @@ class Store:
         touched = sorted(r.b for r in moved.collect())  # at most n small ints
         if not touched:
             return
+        if 2 * len(touched) >= n:  # most buckets change: one full rewrite is cheaper
+            self.rewrite(name, apply(self.read(name), mapping))
+            return
         cur = self.spark.read.parquet(path).where(F.col(BUCKET).cast("int").isin(touched)).drop(BUCKET)
         renamed = apply(cur, mapping)
         renamed = (renamed.withColumn(BUCKET, symbol_bucket("Symbol", n)).hint("rebalance", BUCKET)

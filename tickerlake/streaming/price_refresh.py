@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickerlake.operators import clean, history
-from tickerlake.plans.pipelines import LATEST_SCHEMA, PRICE_SCHEMA
+from tickerlake.plans.store_jobs import LATEST_SCHEMA, PRICE_SCHEMA
 from tickerlake.sources import offset_csv as CSV
 from tickerlake.sources import store as S
 
