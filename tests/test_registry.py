@@ -48,3 +48,16 @@ def test_entry_smoke(spark):
 def test_no_python_in_plans(spark, name):
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver tables missing")
+@pytest.mark.parametrize("name", ["compare_lists", "rename_keys", "incremental_prices"])
+def test_small_sides_are_broadcast_at_run_time(spark, name):
+    """Static plans may pick sort-merge (a checkpointed side has no size
+    estimate); AQE measures the small side and switches to a broadcast."""
+    df = E.queries()[name](spark, SF)
+    df.collect()  # runs this DataFrame's own query execution
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final

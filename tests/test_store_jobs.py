@@ -67,3 +67,12 @@ def test_bucketed_rename_touches_only_its_buckets(spark):
     raw = spark.read.parquet(store.path(S.PRICES))
     bad = raw.where(F.col("bucket") != F.pmod(F.xxhash64("Symbol"), F.lit(16)))
     assert bad.count() == 0
+
+
+def test_schema_evolving_append_and_tables(spark):
+    store = Store(spark, shared_dir(spark, "test-evolve"))
+    store.append(S.DIVIDENDS, spark.createDataFrame([("A", "0.5")], "Symbol string, Amount string"))
+    store.append(S.DIVIDENDS, spark.createDataFrame([("B", "0.7", "USD")], "Symbol string, Amount string, Currency string"))
+    got = sorted(tuple(r) for r in store.read(S.DIVIDENDS).select("Symbol", "Amount", "Currency").collect())
+    assert got == [("A", "0.5", None), ("B", "0.7", "USD")]
+    assert store.tables() == [S.DIVIDENDS] and store.exists(S.DIVIDENDS) and not store.exists(S.PRICES)
