@@ -32,14 +32,25 @@ from tickerlake.operators.clean import price_history
 SHEET_LABEL = "Fiscal year ends in December. USD in millions"
 
 
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table. A file with a single row group scans as one task; the
-    cleaning that follows is CPU-bound, so such a scan is spread over the cores
-    first. A large input already has at least one split per core and is left
-    alone (no extra shuffle at scale)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cleaning that follows is CPU-bound, so such a scan (above 1 MB) is spread
+    over the cores first. A large input already has at least one split per core
+    and is left alone: no extra shuffle at scale, none for tiny tables."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < cores and _size(spark, path) >= SPREAD_MIN_BYTES:
         df = df.repartition(cores)
     return df
 
