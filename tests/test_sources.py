@@ -79,3 +79,13 @@ def test_writers_round_trip(spark):
     assert rows(back, "Symbol", "report", "freq", "pos", "item", "period", "value") == [
         ("A", "cf", 12, 1, "Cash, op", "2016", 1.5), ("A", "cf", 12, 1, "Cash, op", "2017", None),
         ("A", "cf", 12, 2, "Capex", "2016", None), ("A", "cf", 12, 2, "Capex", "2017", -2.0)]
+
+
+def test_read_key_ratios_header_on_row_three(spark):
+    d = tempfile.mkdtemp(prefix="tl-ratios2-")
+    _write(d, "ACME.csv", "Growth Profitability and Financial Ratios for ACME\nKey Financials USD\n"
+                          ",2016-12,2017-12,TTM\n\"Revenue USD Mil\",\"1,000\",2000,\n")
+    out = CSV.read_sheets(spark, d, 2)
+    got = rows(out, "Symbol", "item", "label", "period", "value")
+    assert got == [("ACME", "Revenue USD Mil", "", "2016-12", 1000.0), ("ACME", "Revenue USD Mil", "", "2017-12", 2000.0),
+                   ("ACME", "Revenue USD Mil", "", "TTM", None)]

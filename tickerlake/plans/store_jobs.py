@@ -73,13 +73,24 @@ def _store_prices(store: S.Store, job: str, new_rows: DataFrame) -> DataFrame:
     return _status(job, "prices", _per_symbol(new_rows), history.COMMITTED, F.col("n"))
 
 
+def key_table_exists(store: S.Store) -> bool:
+    return store.exists(S.KEY_TABLE)
+
+
+def create_key_table(store: S.Store, symbols: DataFrame) -> DataFrame:
+    """Create the symbol key table (Symbol, Market); an existing one is an error."""
+    if key_table_exists(store):
+        raise ValueError(f"the {S.KEY_TABLE} key table already exists")
+    store.create(S.KEY_TABLE, symbols.select("Symbol", "Market"))
+    return store.read(S.KEY_TABLE)
+
+
 def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str = "init") -> DataFrame:
     """Listing -> key table -> price history, sheets, dividends -> status log."""
     checkpoint_root(spark)
     job, log = "initialize", []
-    listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
-    store.create(S.KEY_TABLE, listing)
-    key_table = store.read(S.KEY_TABLE)
+    listing = clean.listing_clean(inputs.nasdaq, inputs.nyse)
+    key_table = create_key_table(store, listing)
     log.append(_status(job, "key_table", key_table, "created", F.lit(1)))
 
     if inputs.prices is not None:

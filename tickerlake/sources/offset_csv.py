@@ -187,7 +187,8 @@ def read_sheets(spark: SparkSession, path, skip: int, check_split: bool = True)
 
     The header differs per file: its first cell is the label ('Fiscal year ends
     ...'), the other cells name the periods. Every body cell under a named
-    period becomes one row; empty cells give NULL values. ``pos`` orders the
+    period becomes one row; empty cells give NULL values, thousands separators
+    ('1,000') are dropped before the number guard. ``pos`` orders the
     items of a file (1 = first item line for files read in one split). Lines
     are split in full, whatever their width.
     """
@@ -208,7 +209,7 @@ def read_sheets(spark: SparkSession, path, skip: int, check_split: bool = True)
                     F.col("__v").getItem(0).alias("item"),
                     F.col("__h").getItem(0).alias("label"),
                     period.alias("period"),
-                    X.to_number("__text").alias("value")))
+                    X.volume_number("__text").alias("value")))
 
 
 # -- writers (fixtures and exports) ---------------------------------------------
