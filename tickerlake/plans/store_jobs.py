@@ -8,6 +8,7 @@ report files); outputs are tables in a ``Store`` plus one status row per
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,20 +86,27 @@ def create_key_table(store: S.Store, symbols: DataFrame) -> DataFrame:
     return store.read(S.KEY_TABLE)
 
 
-def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str = "init") -> DataFrame:
+def _run_id(job: str, run_id: str | None) -> str:
+    return run_id or f"{job}-{uuid.uuid4().hex[:12]}"
+
+
+def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str | None = None) -> DataFrame:
     """Listing -> key table -> price history, sheets, dividends -> status log."""
     checkpoint_root(spark)
     job, log = "initialize", []
+    run_id = _run_id(job, run_id)
     listing = clean.listing_clean(inputs.nasdaq, inputs.nyse)
     key_table = create_key_table(store, listing)
     log.append(_status(job, "key_table", key_table, "created", F.lit(1)))
 
     if inputs.prices is not None:
-        stored = store.read_or_empty(S.PRICES, PRICE_SCHEMA)
+        # Symbols already stored = the high-water-mark table (one row per symbol),
+        # not a distinct over the whole price history.
+        stored_syms = store.read_or_empty(S.LATEST, LATEST_SCHEMA).select("Symbol")
         cleaned = clean.price_history(inputs.prices).join(key_table.select("Symbol"), "Symbol", "left_semi")
-        log.append(_status(job, "prices", history.rejected_history(stored, cleaned),
+        log.append(_status(job, "prices", history.rejected_history(stored_syms, cleaned),
                            F.col("status"), F.col("n_rows")))
-        log.append(_store_prices(store, job, history.append_new_history(stored, cleaned)))
+        log.append(_store_prices(store, job, history.append_new_history(stored_syms, cleaned)))
 
     if inputs.sheets is not None:
         stored = store.read_or_empty(S.SHEETS, SHEET_SCHEMA)
@@ -117,11 +125,12 @@ def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str
     return _log(store, log, run_id)
 
 
-def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str = "daily") -> DataFrame:
+def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str | None = None) -> DataFrame:
     """Current listing -> ticker renames -> compare lists -> incremental prices
     for listed symbols -> new keys -> history of new symbols -> status log."""
     checkpoint_root(spark)
     job, log = "daily_update", []
+    run_id = _run_id(job, run_id)
     listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
 
     if inputs.changes is not None:
@@ -142,14 +151,16 @@ def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: st
     new = split.where(F.col("category") == keys.NEW).select("Symbol", "Market")
 
     if inputs.prices is not None:
-        stored = store.read_or_empty(S.PRICES, PRICE_SCHEMA)
+        # The history itself is never scanned: marks and stored symbols come
+        # from the one-row-per-symbol LatestPrice table.
         latest = store.read_or_empty(S.LATEST, LATEST_SCHEMA)
         fetched = clean.price_history(inputs.prices).checkpoint(eager=True)
         old_rows = fetched.join(old.select("Symbol"), "Symbol", "left_semi")
-        status = history.refresh_status(old, stored, old_rows, latest=latest)
+        status = history.refresh_status(old, None, old_rows, latest=latest)
         log.append(_status(job, "prices", status, F.col("status"), F.col("n_rows")))
-        fresh = history.incremental_prices(stored, old_rows, latest=latest)
-        brand_new = history.append_new_history(stored, fetched.join(new.select("Symbol"), "Symbol", "left_semi"))
+        fresh = history.incremental_prices(None, old_rows, latest=latest)
+        brand_new = history.append_new_history(latest.select("Symbol"),
+                                               fetched.join(new.select("Symbol"), "Symbol", "left_semi"))
         log.append(_store_prices(store, job, fresh.unionByName(brand_new)))
 
     added = keys.new_keys(key_table, new).checkpoint(eager=True)

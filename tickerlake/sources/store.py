@@ -28,7 +28,7 @@ DIVIDENDS = "Dividends"
 LATEST = "LatestPrice"
 STATUS = "Status"
 
-PARTITIONS = {SHEETS: ["report", "freq"]}
+PARTITIONS = {SHEETS: ["report", "freq"], STATUS: ["run_id"]}
 BUCKET = "bucket"
 
 
