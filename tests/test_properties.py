@@ -52,3 +52,45 @@ def test_first_per_key_matches_brute_force(spark, rows):
         expect.setdefault(k, f"{k}{o}")
     got = {r.k: r.v for r in clean.first_per_key(df, ["k"], ["o"]).collect()}
     assert got == expect
+
+
+LISTING = "Symbol string, Name string, LastSale string, MarketCap string, industry string, pos long"
+RAW_SYMBOLS = st.sampled_from(["AB", "A B", " AB", "CD", "C D", "EF", None])
+CAPS = st.sampled_from(["$1.5M", "$2.25B", "n/a", None, "$30M", "$0.125B"])
+SALES = st.sampled_from(["1.015", "0.125", "n/a", "2.675", "10", None, "1d"])
+ROWS = st.lists(st.tuples(RAW_SYMBOLS, SALES, CAPS), max_size=8)
+
+
+def _brute_listing(nasdaq, nyse):
+    """The documented step order, row by row in plain pandas/Python."""
+    import re
+
+    import pandas as pd
+    out = []
+    for src, (market, rows) in enumerate((("NASDAQ", nasdaq), ("NYSE", nyse))):
+        for pos, (sym, sale, cap) in enumerate(rows):
+            if cap == "n/a":
+                continue                               # whole row becomes NULL, then dropped
+            sym = None if sym is None else re.sub(r"\s+", "", sym)
+            if sym is None:
+                continue
+            ok = sale is not None and re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*", sale)
+            price = pd.Series([float(sale)]).round(2)[0] if ok else None
+            number = None if cap is None else re.sub(r"[$MB]", "", cap)
+            unit = None if cap is None else re.sub(r"[$0-9.]", "", cap)
+            out.append((src, pos, sym, price, None if number is None else float(number), unit, market))
+    first = {}
+    for row in sorted(out, key=lambda r: (r[0], r[1])):
+        first.setdefault(row[2], row[2:])
+    return sorted(first.values(), key=lambda r: r[0])
+
+
+@SETTINGS
+@given(nasdaq=ROWS, nyse=ROWS)
+def test_listing_clean_matches_brute_force(spark, nasdaq, nyse):
+    def frame(rows):
+        return spark.createDataFrame([(s, "n", sale, cap, "ind", i) for i, (s, sale, cap) in enumerate(rows)], LISTING)
+    out = clean.listing_clean(frame(nasdaq), frame(nyse))
+    got = sorted((tuple(r) for r in out.select("Symbol", "LastSale", "MarketCap", "MarketCapSym", "Market").collect()),
+                 key=lambda r: r[0])
+    assert got == _brute_listing(nasdaq, nyse)
