@@ -89,3 +89,18 @@ def test_read_key_ratios_header_on_row_three(spark):
     got = rows(out, "Symbol", "item", "label", "period", "value")
     assert got == [("ACME", "Revenue USD Mil", "", "2016-12", 1000.0), ("ACME", "Revenue USD Mil", "", "2017-12", 2000.0),
                    ("ACME", "Revenue USD Mil", "", "TTM", None)]
+
+
+def test_split_check_uses_smaller_of_both_limits(spark):
+    d = tempfile.mkdtemp(prefix="tl-limit-")
+    _write(d, "X.csv", "t\nh\n" + "a,1\n" * 5000)   # ~20 KB
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+        assert CSV._may_split(spark, d)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
+        assert not CSV._may_split(spark, d)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

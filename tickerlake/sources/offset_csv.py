@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from tickerlake.functions import exprs as X
 
 SPLIT_SAFE_BYTES = "spark.sql.files.openCostInBytes"
+MAX_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 # Fixed value: a comma followed by an even number of quotes up to the line end,
 # i.e. a comma outside any quoted field.
 CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
@@ -110,9 +111,14 @@ def numbered_schema(lines: DataFrame) -> T.StructType:
 
 
 def _may_split(spark: SparkSession, path) -> bool:
-    """True when some input file is larger than the size Spark never splits."""
+    """True when some input file is larger than the size Spark never splits.
+
+    Spark cuts files into pieces of min(maxPartitionBytes, max(openCostInBytes,
+    bytes per core)), so a file no larger than min(openCostInBytes,
+    maxPartitionBytes) always stays whole."""
     paths = [path] if isinstance(path, str) else list(path)
-    safe = _bytes(spark.conf.get(SPLIT_SAFE_BYTES, "4194304"))
+    safe = min(_bytes(spark.conf.get(SPLIT_SAFE_BYTES, "4194304")),
+               _bytes(spark.conf.get(MAX_SPLIT_BYTES, "134217728")))
     with _listing_tasks(spark):
         sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
         biggest = sizes.agg(F.max("length")).first()[0]
