@@ -53,21 +53,26 @@ raw as ({PRICE_ROWS}),
 stored as ({_clean_prices("(select * from raw where l_linestatus = 'F' and l_partkey % 10 <> 3)")}),
 incoming as ({_clean_prices("(select * from raw where l_partkey % 10 <> 7)")})"""
 
-LISTINGS = """
+def _listings(prefix: str = "T", skip_segment: str | None = None) -> str:
+    skip = f"where c_mktsegment <> '{skip_segment}'" if skip_segment else ""
+    return f"""
 nasdaq as (
-  select 'T ' || c_custkey as Symbol, c_name as Name, cast(c_acctbal / 3 as varchar) as LastSale,
+  select '{prefix} ' || c_custkey as Symbol, c_name as Name, cast(c_acctbal / 3 as varchar) as LastSale,
          case when c_acctbal < 0 then 'n/a' when c_mktsegment = 'HOUSEHOLD' then null
               else '$' || c_nationkey || '.5' || case when c_acctbal > 5000 then 'B' else 'M' end end as MarketCap,
          c_mktsegment as industry, 'NASDAQ' as Market, 0 as src, c_custkey as pos
-  from customer),
+  from customer {skip}),
 nyse as (
-  select 'T' || p_partkey as Symbol, p_name as Name, cast(p_retailprice / 3 as varchar) as LastSale,
+  select '{prefix}' || p_partkey as Symbol, p_name as Name, cast(p_retailprice / 3 as varchar) as LastSale,
          case when p_size > 45 then 'n/a'
               else '$' || p_size || '.25' || case when p_retailprice > 950 then 'B' else 'M' end end as MarketCap,
          p_type as industry, 'NYSE' as Market, 1 as src, p_partkey as pos
   from part),
 listing as (select * from nasdaq union all select * from nyse)"""
 
+
+LISTINGS = _listings()
+
 KEYS = """
 keyrows as (
   select 'S' || c_custkey as Symbol,
@@ -322,6 +327,29 @@ join periods p on p.Symbol = r.Symbol and p.report = r.report and p.freq = r.fre
 left join cell c on c.Symbol = r.Symbol and c.report = r.report and c.freq = r.freq
                 and c.pos = r.pos and c.period = p.period""",
 
+    "initialize": _with(_listings("S", "AUTOMOBILE"), PRICES, SHEETS, DIVIDENDS) + """,
+keytab as (
+  select Symbol from (
+    select regexp_replace(Symbol, '\\s+', '', 'g') as Symbol, src, pos from listing
+    where regexp_replace(MarketCap, '[$MB]', '', 'g') is distinct from 'n/a')
+  where Symbol is not null
+  qualify row_number() over (partition by Symbol order by src, pos) = 1),
+init_prices as (
+  select Symbol from (""" + _clean_prices(
+        "(select * from raw where l_linestatus = 'F' and l_partkey % 10 <> 3)") + """)
+  where Symbol in (select Symbol from keytab)),
+init_sheets as (
+  select Symbol from sheet_stored
+  qualify count(value) over (partition by Symbol, report, freq, period) > 0)
+select 'initialize' as job, 'key_table' as step, Symbol, 'created' as status, cast(1 as bigint) as n_rows
+from keytab
+union all
+select 'initialize', 'prices', Symbol, 'committed', count(*) from init_prices group by Symbol
+union all
+select 'initialize', 'sheets', Symbol, 'committed', count(*) from init_sheets group by Symbol
+union all
+select 'initialize', 'dividends', Symbol, 'committed', count(*) from divs group by Symbol""",
+
     "rename_audit": _with(KEYS, CHANGES) + """
 select Old, New, t.name as "table", printf('Updated %s with %s in %s table', Old, New, t.name) as message
 from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome', 'TenKBalance',

@@ -180,7 +180,7 @@ def q_initialize(spark, d):
                       nyse=A.listing_nyse(spark, d, "S"),
                       prices=A.prices_stored_raw(spark, d), sheets=A.sheets_stored(spark, d),
                       div_past=A.dividends_past(spark, d), div_upcoming=A.dividends_upcoming(spark, d))
-    return P.initialize(spark, inputs, store)
+    return P.initialize(spark, inputs, store).drop("run_id")
 
 
 def q_daily_update(spark, d):
