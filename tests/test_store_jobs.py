@@ -76,3 +76,24 @@ def test_schema_evolving_append_and_tables(spark):
     got = sorted(tuple(r) for r in store.read(S.DIVIDENDS).select("Symbol", "Amount", "Currency").collect())
     assert got == [("A", "0.5", None), ("B", "0.7", "USD")]
     assert store.tables() == [S.DIVIDENDS] and store.exists(S.DIVIDENDS) and not store.exists(S.PRICES)
+
+
+def test_rename_onto_existing_symbol_keeps_one_mark(spark):
+    """A -> B while B has history: B's mark is the later date, and the refresh
+    appends each newer row once (no duplicate marks, no duplicate rows)."""
+    store = Store(spark, shared_dir(spark, "test-merge"))
+    P.initialize(spark, P.Inputs(
+        nasdaq=_listing(spark, ["A", "B"]), nyse=_listing(spark, []),
+        prices=spark.createDataFrame([("A", "1/5/2020", 1.0, 1.0, 1.0, 1.0, "1"),
+                                      ("B", "1/2/2020", 1.0, 1.0, 1.0, 1.0, "1")], RAW)), store)
+    status = P.daily_update(spark, P.Inputs(
+        nasdaq=_listing(spark, ["B"]), nyse=_listing(spark, []),
+        prices=spark.createDataFrame([("B", "1/4/2020", 2.0, 2.0, 2.0, 2.0, "2"),
+                                      ("B", "1/6/2020", 3.0, 3.0, 3.0, 3.0, "3")], RAW),
+        changes=spark.createDataFrame([(1, "A", "B", "2020-01-05")], "pos int, Old string, New string, Date string")),
+        store)
+    got = {(r.step, r.Symbol): (r.status, r.n_rows) for r in status.collect() if r.step == "prices"}
+    assert got[("prices", "B")] == ("committed", 1)          # only 1/6 is newer than max(1/5, 1/2)
+    latest = store.read(S.LATEST).collect()
+    assert [(r.Symbol, r.last_reference) for r in latest] == [("B", dt.date(2020, 1, 6))]
+    assert store.read(S.PRICES).count() == 3

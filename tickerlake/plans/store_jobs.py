@@ -61,6 +61,13 @@ def _log(store: S.Store, rows: list[DataFrame], run_id: str) -> DataFrame:
     return store.read(S.STATUS).where(F.col("run_id") == run_id).drop("run_ts")
 
 
+def _merge_marks(latest: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Rename high-water marks; a symbol renamed onto an existing one keeps the
+    later of the two dates (one row per symbol, as the marks require)."""
+    renamed = keys.rename_keys(latest, mapping)
+    return renamed.groupBy("Symbol").agg(F.max("last_reference").alias("last_reference"))
+
+
 def _per_symbol(df: DataFrame) -> DataFrame:
     return df.groupBy("Symbol").agg(F.count(F.lit(1)).alias("n"))
 
@@ -139,7 +146,7 @@ def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: st
         renamed = [t for t in store.tables() if t != S.STATUS]
         audit = keys.rename_audit(key_before, inputs.changes, renamed)
         for name in renamed:
-            store.rename_symbols(name, mapping, keys.rename_keys)
+            store.rename_symbols(name, mapping, _merge_marks if name == S.LATEST else keys.rename_keys)
         log.append(audit.select(F.lit(job).alias("job"), F.lit("rename").alias("step"),
                                 F.col("Old").alias("Symbol"), F.col("message").alias("status"),
                                 F.lit(1).cast("long").alias("n_rows")))
