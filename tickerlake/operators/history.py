@@ -39,7 +39,15 @@ def latest_per_key(history: DataFrame, key: str = "Symbol", date_col: str = "Ref
     return history.groupBy(key).agg(F.max(date_col).alias(alias))
 
 
-def incremental_prices(history: DataFrame, incoming: DataFrame, latest: DataFrame | None = None,
+def _marks(history: DataFrame | None, latest: DataFrame | None, key: str, date_col: str) -> DataFrame:
+    """One high-water mark per symbol: from a kept marks table (re-aggregated,
+    so a symbol listed twice still joins once) or from the history itself."""
+    if latest is not None:
+        return latest.groupBy(key).agg(F.max("last_reference").alias("last_reference"))
+    return latest_per_key(history, key, date_col)
+
+
+def incremental_prices(history: DataFrame | None, incoming: DataFrame, latest: DataFrame | None = None,
                        key: str = "Symbol", date_col: str = "Reference") -> DataFrame:
     """Incoming rows strictly newer than what each symbol already has.
 
@@ -48,7 +56,7 @@ def incremental_prices(history: DataFrame, incoming: DataFrame, latest: DataFram
     high-water-mark table (Symbol, last_reference); otherwise it is derived from
     ``history`` with one aggregate that reads only the two columns it needs.
     """
-    marks = latest if latest is not None else latest_per_key(history, key, date_col)
+    marks = _marks(history, latest, key, date_col)
     joined = incoming.join(marks, key, "inner")
     return joined.where(F.col(date_col) > F.col("last_reference")).drop("last_reference")
 
@@ -90,7 +98,7 @@ def rejected_history(table: DataFrame, data: DataFrame, keys: Sequence[str] = ("
             .withColumn("status", F.lit("already_present")))
 
 
-def refresh_status(requested: DataFrame, history: DataFrame, incoming: DataFrame,
+def refresh_status(requested: DataFrame, history: DataFrame | None, incoming: DataFrame,
                    latest: DataFrame | None = None, key: str = "Symbol",
                    date_col: str = "Reference") -> DataFrame:
     """One status per requested symbol for a price refresh, plus committed row count.
@@ -99,7 +107,7 @@ def refresh_status(requested: DataFrame, history: DataFrame, incoming: DataFrame
     fetched -> ``no_price_history``; nothing newer than the last stored date ->
     ``already_latest``; otherwise ``committed`` with the number of new rows.
     """
-    marks = latest if latest is not None else latest_per_key(history, key, date_col)
+    marks = _marks(history, latest, key, date_col)
     per_symbol = (incoming.join(marks, key, "left")
                   .groupBy(key)
                   .agg(F.count(F.lit(1)).alias("n_incoming"),
