@@ -53,22 +53,32 @@ raw as ({PRICE_ROWS}),
 stored as ({_clean_prices("(select * from raw where l_linestatus = 'F' and l_partkey % 10 <> 3)")}),
 incoming as ({_clean_prices("(select * from raw where l_partkey % 10 <> 7)")})"""
 
-def _listings(prefix: str = "T", skip_segment: str | None = None) -> str:
+def _listings(prefix: str = "T", skip_segment: str | None = None, suffix: str = "") -> str:
     skip = f"where c_mktsegment <> '{skip_segment}'" if skip_segment else ""
     return f"""
-nasdaq as (
+nasdaq{suffix} as (
   select '{prefix} ' || c_custkey as Symbol, c_name as Name, cast(c_acctbal / 3 as varchar) as LastSale,
          case when c_acctbal < 0 then 'n/a' when c_mktsegment = 'HOUSEHOLD' then null
               else '$' || c_nationkey || '.5' || case when c_acctbal > 5000 then 'B' else 'M' end end as MarketCap,
          c_mktsegment as industry, 'NASDAQ' as Market, 0 as src, c_custkey as pos
   from customer {skip}),
-nyse as (
+nyse{suffix} as (
   select '{prefix}' || p_partkey as Symbol, p_name as Name, cast(p_retailprice / 3 as varchar) as LastSale,
          case when p_size > 45 then 'n/a'
               else '$' || p_size || '.25' || case when p_retailprice > 950 then 'B' else 'M' end end as MarketCap,
          p_type as industry, 'NYSE' as Market, 1 as src, p_partkey as pos
   from part),
-listing as (select * from nasdaq union all select * from nyse)"""
+listing{suffix} as (select * from nasdaq{suffix} union all select * from nyse{suffix})"""
+
+
+def _listing_keys(src: str) -> str:
+    """Cleaned listing reduced to (Symbol, Market), first row per Symbol."""
+    return f"""
+  select Symbol, Market from (
+    select regexp_replace(Symbol, '\\s+', '', 'g') as Symbol, Market, src, pos from {src}
+    where regexp_replace(MarketCap, '[$MB]', '', 'g') is distinct from 'n/a')
+  where Symbol is not null
+  qualify row_number() over (partition by Symbol order by src, pos) = 1"""
 
 
 LISTINGS = _listings()
@@ -82,14 +92,15 @@ keyrows as (
 kd as (select Symbol, Market from keyrows where c_mktsegment <> 'AUTOMOBILE'),
 kn as (select Symbol, Market from keyrows where c_mktsegment <> 'BUILDING')"""
 
-CHANGES = """
+def _changes(keys_src: str = "kd") -> str:
+    return """
 ch as (
   select s_acctbal as bal, s_suppkey as k, 'S' || s_suppkey as Old, 'S' || (s_suppkey + 1) as New,
          case when s_nationkey = 0 then null else '2017-01-01' end as Date
   from supplier),
 e as (
   select * from ch
-  where Old in (select Symbol from kd where Symbol is not null)
+  where Old in (select Symbol from """ + keys_src + """ where Symbol is not null)
     and Old is not null and New is not null and Date is not null),
 nxt as (
   select c.k, c.New,
@@ -109,6 +120,9 @@ walk as (
 rmap as (select Old, New from walk)"""
 
 
+CHANGES = _changes()
+
+
 def _dividend_rows(status: str) -> str:
     cents = "lpad(cast(o_orderkey % 100 as varchar), 2, '0')"
     day = "strftime(o_orderdate, '%Y-%m-%d')"
@@ -350,6 +364,55 @@ select 'initialize', 'sheets', Symbol, 'committed', count(*) from init_sheets gr
 union all
 select 'initialize', 'dividends', Symbol, 'committed', count(*) from divs group by Symbol""",
 
+    "daily_update": _with(_listings("S", "AUTOMOBILE", "_i"), _listings("S", "BUILDING", "_d"), PRICES) + """,
+kb as (""" + _listing_keys("listing_i") + """),
+dl as (""" + _listing_keys("listing_d") + """),""" + _changes("kb") + """,
+lat0 as (select Symbol, max(Reference) as last from stored
+         where Symbol in (select Symbol from kb) group by Symbol),
+lat1 as (select coalesce(m.New, l.Symbol) as Symbol, max(l.last) as last
+         from lat0 l left join rmap m on m.Old = l.Symbol group by 1),
+ka as (select coalesce(m.New, k.Symbol) as Symbol, k.Market from kb k left join rmap m on m.Old = k.Symbol),
+cmp as (
+  select Symbol, Market, 'old' as category from dl
+  where Symbol in (select Symbol from ka where Symbol is not null) and Symbol is not null and Market is not null
+  union all
+  select Symbol, Market, 'new' from dl
+  where not exists (select 1 from ka where ka.Symbol = dl.Symbol) and Symbol is not null and Market is not null
+  union all
+  select Symbol, Market, 'removed' from ka
+  where not exists (select 1 from dl where dl.Symbol = ka.Symbol) and Symbol is not null and Market is not null),
+old_syms as (select distinct Symbol from cmp where category = 'old'),
+new_rows as (select Symbol, Market from cmp where category = 'new'),
+old_rows as (select * from incoming where Symbol in (select Symbol from old_syms)),
+per as (select o.Symbol, count(*) as n_incoming, count(*) filter (where o.Reference > l.last) as n_new
+        from old_rows o left join lat1 l on l.Symbol = o.Symbol group by o.Symbol),
+st as (select r.Symbol,
+              case when l.last is null then 'not_in_history'
+                   when coalesce(p.n_incoming, 0) = 0 then 'no_price_history'
+                   when p.n_new = 0 then 'already_latest' else 'committed' end as status,
+              p.n_new
+       from old_syms r left join lat1 l on l.Symbol = r.Symbol left join per p on p.Symbol = r.Symbol),
+stored_new as (
+  select o.Symbol from old_rows o join lat1 l on l.Symbol = o.Symbol where o.Reference > l.last
+  union all
+  select Symbol from incoming
+  where Symbol in (select Symbol from new_rows) and Symbol not in (select Symbol from lat1)),
+added as (select Symbol, Market from new_rows
+          where Symbol not in (select Symbol from ka where Symbol is not null)),
+msg as (select case when count(*) = 0 then 'No new records to add.'
+                    else printf('Added %d records.', count(*)) end as m from added)
+select 'daily_update' as job, 'rename' as step, Old as Symbol,
+       printf('Updated %s with %s in %s table', Old, New, t.name) as status, cast(1 as bigint) as n_rows
+from e, (select unnest(['AllStocksKey', 'LatestPrice', 'TenYrPrices']) as name) t
+union all
+select 'daily_update', 'compare', Symbol, category, 1 from cmp
+union all
+select 'daily_update', 'prices', Symbol, status, case when status = 'committed' then n_new else 0 end from st
+union all
+select 'daily_update', 'prices', Symbol, 'committed', count(*) from stored_new group by Symbol
+union all
+select 'daily_update', 'new_keys', Symbol, (select m from msg), 1 from added""",
+
     "rename_audit": _with(KEYS, CHANGES) + """
 select Old, New, t.name as "table", printf('Updated %s with %s in %s table', Old, New, t.name) as message
 from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome', 'TenKBalance',

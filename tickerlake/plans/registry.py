@@ -195,7 +195,7 @@ def q_daily_update(spark, d):
     inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="BUILDING"),
                       nyse=A.listing_nyse(spark, d, "S"),
                       prices=A.prices_download(spark, d), changes=A.ticker_changes(spark, d))
-    return P.daily_update(spark, inputs, store)
+    return P.daily_update(spark, inputs, store).drop("run_id")
 
 
 QUERIES: dict[str, Query] = {
