@@ -94,3 +94,32 @@ def test_listing_clean_matches_brute_force(spark, nasdaq, nyse):
     got = sorted((tuple(r) for r in out.select("Symbol", "LastSale", "MarketCap", "MarketCapSym", "Market").collect()),
                  key=lambda r: r[0])
     assert got == _brute_listing(nasdaq, nyse)
+
+
+DAYS = st.integers(1, 28)
+PRICE_ROWS = st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D"]), DAYS), max_size=15)
+
+
+@SETTINGS
+@given(stored=PRICE_ROWS, fetched=PRICE_ROWS)
+def test_incremental_and_status_match_brute_force(spark, stored, fetched):
+    import datetime as dt
+
+    from tickerlake.operators import history
+    schema = "Symbol string, Reference date"
+    h = spark.createDataFrame([(s, dt.date(2020, 1, d)) for s, d in stored], schema)
+    inc = spark.createDataFrame([(s, dt.date(2020, 1, d)) for s, d in fetched], schema)
+    last = {}
+    for s, d in stored:
+        last[s] = max(last.get(s, 0), d)
+    expect = Counter((s, d) for s, d in fetched if s in last and d > last[s])
+    got = Counter((r.Symbol, r.Reference.day) for r in history.incremental_prices(h, inc).collect())
+    assert got == expect
+    req = spark.createDataFrame([(s,) for s in "ABCD"], "Symbol string")
+    status = {r.Symbol: (r.status, r.n_rows) for r in history.refresh_status(req, h, inc).collect()}
+    for s in "ABCD":
+        n_in = sum(1 for x, _ in fetched if x == s)
+        n_new = sum(1 for x, d in fetched if x == s and s in last and d > last[s])
+        want = ("not_in_history", 0) if s not in last else ("no_price_history", 0) if n_in == 0 else \
+            ("already_latest", 0) if n_new == 0 else ("committed", n_new)
+        assert status[s] == want
