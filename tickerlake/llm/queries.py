@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickerlake.llm import (classifier, fingerprints, licenses, mixing, packing, rules, sharding, tokencount)
+from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, mixing, packing, rules, sharding, tokencount)
 from tickerlake.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -32,6 +32,11 @@ def op5_quality_classifier(spark, d):
     return classifier.classified(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op6_ngram_jaccard_join(spark, d):
+    out = jaccard.jaccard_components(table(spark, d, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_token_counts(spark, d):
     return tokencount.token_counts(table(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -47,6 +52,6 @@ def op10_quality_rules(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_jump_sharding, op3_weighted_mixing, op4_one_permutation_minhash, op5_quality_classifier,
-    op7_token_counts, op8_license_scan, op10_quality_rules)}
+    op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}

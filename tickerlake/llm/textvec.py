@@ -126,13 +126,23 @@ def shingle_hashes(word: np.ndarray, first: np.ndarray, size: int = 5):
     n_words = np.diff(first)
     count = np.where(n_words >= size, n_words - size + 1, np.minimum(n_words, 1))
     off = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    out = np.zeros(off[-1], np.uint64)
     if off[-1] == 0:
-        return np.zeros(0, np.uint64), off
-    at = np.arange(off[-1]) + np.repeat(first[:-1] - off[:-1], count)
-    length = np.repeat(np.minimum(n_words, size), count)
+        return out, off
     with np.errstate(over="ignore"):
-        h = np.zeros(len(at), np.uint64)
-        for j in range(size):
-            w = word[np.minimum(at + j, len(word) - 1)]
-            h = np.where(j < length, mix(h * U64(_BASE) + w, j + 1), h)
-        return mix(h + length.astype(np.uint64)), off
+        if len(word) >= size:
+            rolled = word[:len(word) - size + 1].copy()
+            for j in range(1, size):
+                rolled *= U64(_BASE)
+                rolled += word[j:len(word) - size + 1 + j]
+            full = n_words >= size
+            at = np.ones(off[-1], bool)
+            at[off[:-1][~full & (n_words > 0)]] = False
+            begin = np.repeat(first[:-1][full] - off[:-1][full], count[full]) + np.flatnonzero(at)
+            out[at] = mix(rolled[begin], size)
+        for i in np.flatnonzero((n_words > 0) & (n_words < size)):
+            h = np.zeros(1, np.uint64)
+            for w in word[first[i]:first[i + 1]]:
+                h = h * U64(_BASE) + w
+            out[off[i]] = mix(h, int(n_words[i]))[0]
+    return out, off
