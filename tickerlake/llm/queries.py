@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, mixing, packing, rules, sharding, tokencount)
+from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, mixing, packing, repeats, rules, sharding, tokencount)
 from tickerlake.llm.common import table
 
 SEQUENCE_TOKENS = 2048
@@ -46,12 +46,16 @@ def op8_license_scan(spark, d):
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op9_repeated_passages(spark, d):
+    return repeats.removed_repeats(table(spark, d, "documents"))
+
+
 def op10_quality_rules(spark, d):
     return rules.quality_rules(table(spark, d, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_jump_sharding, op3_weighted_mixing, op4_one_permutation_minhash, op5_quality_classifier,
-    op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op10_quality_rules)}
+    op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op9_repeated_passages, op10_quality_rules)}
 
 ORACLE: dict[str, str] = {}
