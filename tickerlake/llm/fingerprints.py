@@ -29,21 +29,6 @@ _SHIFT = 64 - BINS.bit_length() + 1
 _LOW = (1 << _SHIFT) - 1
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
-
-
-def _probe(b: int, j: int) -> int:
-    """Bin that bin ``b`` looks at in its ``j``-th try (a fixed integer mix)."""
-    x = (b * 0x9E3779B97F4A7C15 + (j + 1) * 0xBF58476D1CE4E5B9) & ((1 << 64) - 1)
-    x = ((x ^ (x >> 31)) * 0x94D049BB133111EB) & ((1 << 64) - 1)
-    return (x >> 40) % BINS
-
-
-def _literals(values, kind: str) -> Column:
-    return F.array(*[F.lit(v).cast(kind) for v in values])
-
-
 def _empty(x: Column) -> Column:
     """The filler of a bin without a shingle is the bin's largest value."""
     return x.bitwiseAND(F.lit(_LOW)) == F.lit(_LOW)
@@ -61,7 +46,8 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
     at = lambda i: [F.get(F.col("__w"), i + j) for j in range(SHINGLE)]
     shingles = (F.when(n >= SHINGLE, F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*at(i))))
                 .when(n > 0, F.array(F.xxhash64(F.col("__w")))))
-    filler = _literals([_signed((b << _SHIFT) | _LOW) for b in range(BINS)], "long")
+    step = F.lit(1 << _SHIFT)
+    filler = F.concat(F.sequence(F.lit(_LOW - (1 << 63)), F.lit(-1), step), F.sequence(F.lit(_LOW), F.lit((1 << 63) - 1), step))
     df = df.select(*keep, F.sort_array(F.concat(shingles, filler)).alias("__s"))
     top = lambda x: F.shiftrightunsigned(x, _SHIFT)
     first = lambda x, i: (i == 0) | (top(x) != top(F.get(F.col("__s"), i - 1)))
@@ -71,10 +57,11 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
     half = BINS // 2
     df = df.select(*keep, F.concat(F.slice("__m", half + 1, half), F.slice("__m", 1, half)).alias("__b"))
     df = df.withColumn("__full", F.filter(F.col("__b"), lambda x: ~_empty(x)))
-    probes = F.array(*[_literals([_probe(b, j) for j in range(PROBES)], "int") for b in range(BINS)])
+    tries = F.sequence(F.lit(1), F.lit(PROBES))
 
     def fill(x: Column, b: Column) -> Column:
-        tried = F.filter(F.transform(F.get(probes, b), lambda p: F.get(F.col("__b"), p)), lambda y: ~_empty(y))
+        probe = lambda j: F.get(F.col("__b"), F.pmod(F.xxhash64(b, j), F.lit(BINS)).cast("int"))
+        tried = F.filter(F.transform(tries, probe), lambda y: ~_empty(y))
         rest = F.array_min(F.transform(F.col("__full"), lambda y: F.struct(F.xxhash64(b, top(y)).alias("h"), y.alias("y"))))["y"]
         value = F.when(~_empty(x), x).otherwise(F.coalesce(F.get(tried, F.lit(0)), rest))
         return (F.xxhash64(value, b).bitwiseAND(F.lit((1 << BITS) - 1)) - (1 << (BITS - 1))).cast("byte")
@@ -83,7 +70,7 @@ def with_codes(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def as_text(codes: Column) -> Column:
-    digits = _literals([f"{c:02x}" for c in range(1 << BITS)], "string")
+    digits = F.split(F.lit(" ".join(f"{c:02x}" for c in range(1 << BITS))), " ")  # one constant
     return F.coalesce(F.array_join(F.transform(codes, lambda c: F.get(digits, c.cast("int") + (1 << (BITS - 1)))), ""), F.lit(""))
 
 
