@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import classifier, mixing, packing
+from tickerlake.llm import classifier, jaccard, mixing, packing, repeats
 from tickerlake.llm.common import stored, table
 
 SEQUENCE_TOKENS = 2048
@@ -26,7 +26,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_per_component(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _with_length(repeats.without_repeats(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +47,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS)
 
 
-STAGES = [("quality", quality), ("mixture", mixture), ("packing", pack)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages),
+          ("mixture", mixture), ("packing", pack)]
 
 #: The classifier is trained and the duplicate stages are iterative: SQL cannot express the rows of ``run``.
 ORACLE_SQL = None
