@@ -429,9 +429,11 @@ def cut_out(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """(id, text, md5, tid) of every row; a null id is the largest."""
-    rows = texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+def _identified(docs: DataFrame, others: list[str]) -> DataFrame:
+    """(id, text, md5, tid, others) of every row; a null id is the largest. ``others`` are further columns, as one struct."""
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                       row.alias("others"))
     rows = rows.withColumn("md5", F.md5(F.col("text").cast("binary")))
     return rows.withColumn("tid", F.conv(F.substring("md5", 1, 15), 16, 10).cast("long"))
 
@@ -445,12 +447,12 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the stored texts (id, text, md5, tid), and (tid, id, spans) of the texts that lose bytes.
+def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans): the stored texts (id, text, md5, tid, others), and (tid, id, spans) of the texts that lose bytes.
 
     ``id`` is the smallest id of a text; rows with larger ids are copies.
     """
-    rows = _bucketed(_identified(docs))
+    rows = _bucketed(_identified(docs, others))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = 2 * size // (WINDOW + 1)
     keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES))), "repeat-anchors")
@@ -490,9 +492,9 @@ def _kept(as_digest: bool):
     return kept
 
 
-def _with_kept(docs: DataFrame, as_digest: bool) -> DataFrame:
-    """(id, text, md5, n_bytes, n_removed, n_spans, kept) of every row."""
-    rows, spans = repeated_spans(docs)
+def _with_kept(docs: DataFrame, as_digest: bool, others: list[str]) -> DataFrame:
+    """(id, text, others, n_bytes, n_removed, n_spans, kept) of every row."""
+    rows, spans = repeated_spans(docs, others)
     low = rows.groupBy("tid", "md5").agg(F.min("id").alias("low")).select(F.col("tid").alias("__tid"), F.col("md5").alias("__md5"), "low")
     both = rows.join(low, (F.col("tid") == F.col("__tid")) & (F.col("md5") == F.col("__md5")))
     both = both.join(spans.withColumnRenamed("tid", "__t"), F.col("tid") == F.col("__t"), "left")
@@ -502,11 +504,22 @@ def _with_kept(docs: DataFrame, as_digest: bool) -> DataFrame:
     both = both.withColumn("out", _kept(as_digest)(F.col("text"), F.col("spans")))
     empty = F.lit(hashlib.sha256(b"").hexdigest() if as_digest else "")
     return both.select(
-        "id", "md5", "text", size.cast("long").alias("n_bytes"), F.when(copy, size).otherwise(F.col("out.n_removed")).cast("long").alias("n_removed"),
+        "id", "text", "others", size.cast("long").alias("n_bytes"), F.when(copy, size).otherwise(F.col("out.n_removed")).cast("long").alias("n_removed"),
         F.when(copy, 1).otherwise(F.col("out.n_spans")).cast("long").alias("n_spans"), F.when(copy, empty).otherwise(F.col("out.kept")).alias("kept"))
 
 
 def removed_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per input row."""
-    out = _with_kept(docs, True)
+    out = _with_kept(docs, True, [])
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256"))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` (all columns, all rows) with the repeated passages cut out of ``text``.
+
+    Bytes of a character that a cut splits go with it; a null text stays null.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    out = _with_kept(docs.withColumn("__null", F.col("text").isNull()), False, [*others, "__null"])
+    new = {"doc_id": F.when(F.col("id") != NO_ID, F.col("id")), "text": F.when(~F.col("others")["__null"], F.col("kept"))}
+    return out.select(*[new.get(c, F.col("others")[c]).alias(c) for c in docs.columns])
