@@ -244,7 +244,8 @@ def kept_documents(docs: DataFrame, labels: DataFrame, host: str = "source", pat
     columns = docs.columns
     models = train(docs, labels)
     score = evidence(models, F.coalesce(F.col("text"), F.lit(""))).alias("evidence")
-    sites = stored(posteriors(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), score)), "eb-sites")
+    sites = posteriors(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), score))
+    sites = stored(sites.select("__host", "__path", F.col("shift").alias("__shift")), "eb-sites")
     both = docs.withColumn("__evidence", evidence(models, F.coalesce(F.col("text"), F.lit(""))))
     out = both.join(sites, both[host].eqNullSafe(F.col("__host")) & both[path].eqNullSafe(F.col("__path")))
-    return out.filter(F.col("__evidence") + F.col("shift") <= 0).select(*[both[f"`{c}`"] for c in columns])
+    return out.filter(F.col("__evidence") + F.col("__shift") <= 0).select(*[both[f"`{c}`"] for c in columns])

@@ -136,14 +136,15 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     text ends with its last taken word. Documents that take no word give no row.
     """
     columns = docs.columns
-    rows = keyed(docs, seed)
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])  # one column, so that no name of the input can clash
+    rows = keyed(docs.select("doc_id", "text", "source", whole.alias("__row")), seed)
     ends = stored(plan(stored(rows.select("source", "__size", "__key", "__tie", "__bucket"), "mix-keys")), "mix-plan")
     out = decide(rows, ends).filter(F.col("taken") > 0)
-    whole = F.col("epochs") + (F.col("part") == F.col("__size")).cast("long")
-    copies = F.array_repeat(F.lit(-1).cast("long"), whole.cast("int"))
+    times = F.col("epochs") + (F.col("part") == F.col("__size")).cast("long")
+    copies = F.array_repeat(F.lit(-1).cast("long"), times.cast("int"))
     cut = F.when((F.col("part") > 0) & (F.col("part") < F.col("__size")), F.array("part")).otherwise(F.array().cast("array<long>"))
     out = out.withColumn("__take", F.explode(F.concat(copies, cut)))
     pieces = F.regexp_extract_all(F.col("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     head = F.array_join(F.slice(pieces, 1, F.col("__take").cast("int")), "")
     text = F.when(F.col("__take") < 0, F.col("text")).otherwise(head)
-    return out.withColumn("text", text).select(*columns)
+    return out.select(*[(text if c == "text" else F.col("__row")[c]).alias(c) for c in columns])
