@@ -13,7 +13,7 @@ document into its segments, one per fragment.
    exceeds the number of differing n-grams, so the test loses no link. Inside a
    group of candidates a minimum spanning forest of the passing pairs is verified
    first (linear in the group), and afterwards only pairs that still lie in
-   different components.
+   different components, and that a sharper sketch lets through.
 3. Verification. The sets of the candidates are cut into a few fragments; partial
    overlaps are counted per pair and fragment and summed per pair.
 4. Links, with equal sets as one node, give components.
@@ -43,6 +43,8 @@ SHINGLE, PERCENT = 5, 80
 #: Fragments of the verification, entries per bucket of candidate keys, and entries a task gathers before it sends them on.
 VERIFY_FRAGMENTS, BUCKET_ENTRIES, FLUSH_ENTRIES = 4, 1_000_000, 1_500_000
 LEAST_BITS = 128
+#: Sketch bits per n-gram where the first sketch left pairs in doubt.
+SHARP = 8
 PIECE_BYTES = 1 << 20
 
 
@@ -78,10 +80,10 @@ def signatures(h: np.ndarray, off: np.ndarray) -> np.ndarray:
         return V.mix(total[off[1:]] - total[off[:-1]] + np.diff(off).astype(np.uint64) * V._MIX2, 7)
 
 
-def sketch(h: np.ndarray) -> bytes:
-    """Parity sketch: bit i is the parity of the n-grams that fall on it; about 1 to 2 bits per n-gram."""
+def sketch(h: np.ndarray, per_gram: int = 1) -> bytes:
+    """Parity sketch: bit i is the parity of the n-grams that fall on it; ``per_gram`` to twice as many bits per n-gram."""
     bits = LEAST_BITS
-    while bits < len(h):
+    while bits < len(h) * per_gram:
         bits *= 2
     at = (V.mix(h, 99) & U64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -284,8 +286,6 @@ def remaining_pairs(members: DataFrame) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         comp = table.column("component").to_numpy()
-        if len(np.unique(comp)) < 2:
-            return _pairs([], [])
         sig, n, words = _members(table)
         a, b = [], []
         for i in range(len(sig) - 1):
@@ -299,7 +299,10 @@ def remaining_pairs(members: DataFrame) -> DataFrame:
 
 
 def fragments(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sig, fragment, n, grams): the n-grams of the wanted sets, cut along the global order."""
+    """(sig, fragment, n, grams, sketch): the n-grams of the wanted sets, cut along the global order.
+
+    Fragment 0 also carries the set's sharper sketch.
+    """
     one = sets.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("id"))
     ids = one.select(F.col("id.doc_id").alias("__id")).distinct()
     body = texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
@@ -313,14 +316,17 @@ def fragments(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
                 for s, a, b in zip(sig, off[:-1], off[1:]):
                     cut = a + np.searchsorted(h[a:b], np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64) << U64(64 - VERIFY_FRAGMENTS.bit_length() + 1))
                     cut = [a, *cut, b]
-                    rows += [(int(s), f, int(b - a), h[x:y].tobytes()) for f, (x, y) in enumerate(zip(cut, cut[1:]))]
-                cols = list(zip(*rows)) if rows else [[], [], [], []]
+                    sharp = sketch(h[a:b], SHARP)
+                    rows += [(int(s), f, int(b - a), h[x:y].tobytes(), None if f else sharp) for f, (x, y) in enumerate(zip(cut, cut[1:]))]
+                cols = list(zip(*rows)) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                                                  pa.array(cols[3], pa.binary())], ["sig", "fragment", "n", "grams"])
+                                                  pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary())],
+                                                 ["sig", "fragment", "n", "grams", "sketch"])
 
-    cut = body.select("text").mapInArrow(run, "sig long, fragment int, n long, grams binary")
+    cut = body.select("text").mapInArrow(run, "sig long, fragment int, n long, grams binary, sketch binary")
     # Repeated rows and repeated ids may bring a set twice; equal sets have equal rows.
-    return cut.join(wanted, "sig", "left_semi").groupBy("sig", "fragment").agg(F.first("n").alias("n"), F.first("grams").alias("grams"))
+    return cut.join(wanted, "sig", "left_semi").groupBy("sig", "fragment").agg(
+        F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))
 
 
 @F.arrow_udf(T.LongType())
@@ -355,9 +361,12 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     frags = stored(fragments(docs, sets, wanted), "jaccard-fragments")
     found = stored(verified(first, frags).select("a", "b"), "jaccard-links")
     label = components(found)
-    # Sets outside the forests have no possible partner.
-    again = members.join(wanted, "sig", "left_semi").join(label, F.col("sig") == F.col("node"), "left")
-    again = again.withColumn("component", F.coalesce("component", "sig")).drop("node")
+    # Sets outside the forests have no possible partner, and lists inside one component no open question.
+    again = lists.join(wanted, "sig", "left_semi").join(label, F.col("sig") == F.col("node"), "left")
+    again = again.select("list_id", "sig", F.coalesce("component", "sig").alias("component"))
+    mixed = again.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    again = again.join(mixed.select("list_id"), "list_id", "left_semi")
+    again = again.join(frags.filter("fragment = 0").select("sig", "n", "sketch"), "sig")
     rest = remaining_pairs(again).join(first, ["a", "b"], "left_anti")
     return found.union(verified(rest, frags).select("a", "b"))
 

@@ -35,12 +35,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def listing_clean(nasdaq: DataFrame, nyse: DataFrame, order_col: str = "pos",
-                  keep_order_col: bool = False) -> DataFrame:
+                  keep_order_col: bool = False, drop_unsold: bool = False) -> DataFrame:
     """Two raw exchange lists -> one cleaned listing, first row per Symbol.
 
     Step order matters: rows whose MarketCap reads 'n/a' vanish *before* the
     first-per-Symbol pick, so such a NASDAQ row does not hide the NYSE one.
-    ``order_col`` is the row position inside each file.
+    ``order_col`` is the row position inside each file. ``drop_unsold`` leaves out
+    rows without a last sale (the default keeps them, as the source does).
     """
     tagged = (nasdaq.withColumn("Market", F.lit("NASDAQ")).withColumn("__src", F.lit(0))
               .unionByName(nyse.withColumn("Market", F.lit("NYSE")).withColumn("__src", F.lit(1)),
@@ -57,6 +58,8 @@ def listing_clean(nasdaq: DataFrame, nyse: DataFrame, order_col: str = "pos",
                .withColumn("LastSale", X.round_half_even("LastSale", 2))
                .withColumnRenamed("industry", "Industry")
                .where(F.col("Symbol").isNotNull()))
+    if drop_unsold:
+        cleaned = cleaned.where(F.col("LastSale").isNotNull())
     first = first_per_key(cleaned, ["Symbol"], ["__src", order_col])
     out = first.drop("__src")
     return out if keep_order_col else out.drop(order_col)

@@ -22,6 +22,7 @@ NOT_IN_HISTORY = "not_in_history"
 NO_PRICE_HISTORY = "no_price_history"
 ALREADY_LATEST = "already_latest"
 COMMITTED = "committed"
+UNKNOWN_REPORT = "unknown_report"
 
 SHEET_TABLES = {
     ("is", 3): "TenQIncome",
@@ -134,7 +135,7 @@ def route_report(stored: DataFrame, rows: DataFrame,
                  keys: Sequence[str] = ("Symbol", "report", "freq")) -> DataFrame:
     """Financial-sheet rows to append, each tagged with its destination table.
 
-    Rows with an unknown report/frequency are not routed (see ``unroutable``); a
+    Rows with an unknown report/frequency are not routed (``route_rejects`` reports them); a
     (symbol, report, frequency) already stored is refused as a whole.
     """
     keys = list(keys)
@@ -142,5 +143,8 @@ def route_report(stored: DataFrame, rows: DataFrame,
     return routed.join(present_keys(stored, keys), keys, "left_anti")
 
 
-def unroutable(rows: DataFrame) -> DataFrame:
-    return rows.where(sheet_table_name().isNull())
+def route_rejects(rows: DataFrame) -> DataFrame:
+    """Reports that no stored table takes, one row per (Symbol, report, freq)."""
+    bad = rows.where(sheet_table_name().isNull())
+    return (bad.groupBy("Symbol", "report", "freq").agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("status", F.lit(UNKNOWN_REPORT)))

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from tickerlake.operators.history import present_keys
 from tickerlake.session import checkpoint_root
 
+# Message texts of the key table jobs.
+NO_NEW, ADDED = "No new records to add.", "Added %d records."
+ADDED_IGNORED, RENAMED = "Added %d records and ignored %d records.", "Updated %s with %s in %s table"
 # Categories of a list comparison and the stored tables a rename
 # touches by default (the key table, prices, dividends and the six sheets).
 OLD, NEW, REMOVED = "old", "new", "removed"
@@ -29,17 +32,15 @@ def compare_lists(db_list: DataFrame, new_list: DataFrame, key: str = "Symbol",
     """Split two key lists into old (in both), new (only in ``new_list``) and
     removed (only in ``db_list``), one DataFrame with a ``category`` column.
 
-    Membership uses the full lists; rows with any NULL are dropped afterwards.
+    Membership uses the full lists; rows with any NULL are left out. Old and new
+    come from one join with a flag.
     """
     columns = list(columns)
-    db_keys = present_keys(db_list, [key])
-    new_keys_ = present_keys(new_list, [key])
-    old = new_list.join(db_keys, key, "left_semi").na.drop("any")
-    new = new_list.join(db_keys, key, "left_anti").na.drop("any")
-    removed = db_list.join(new_keys_, key, "left_anti").na.drop("any")
-    return (old.select(*columns).withColumn("category", F.lit(OLD))
-            .unionByName(new.select(*columns).withColumn("category", F.lit(NEW)))
-            .unionByName(removed.select(*columns).withColumn("category", F.lit(REMOVED))))
+    marks = present_keys(db_list, [key]).withColumn("__known", F.lit(True))
+    seen = new_list.na.drop("any").select(*columns).join(marks, key, "left")
+    current = seen.withColumn("category", F.when(F.col("__known"), F.lit(OLD)).otherwise(F.lit(NEW))).drop("__known")
+    gone = db_list.na.drop("any").select(*columns).join(present_keys(new_list, [key]), key, "left_anti")
+    return current.select(*columns, "category").unionByName(gone.select(*columns).withColumn("category", F.lit(REMOVED)))
 
 
 def new_keys(key_table: DataFrame, candidates: DataFrame, key: str = "Symbol") -> DataFrame:
@@ -54,10 +55,10 @@ def new_keys_summary(key_table: DataFrame, candidates: DataFrame, key: str = "Sy
     kept = tagged.na.drop("any", subset=candidates.columns)
     counts = kept.agg(F.count(F.when(F.col("__known").isNull(), True)).alias("added"),
                       F.count(F.col("__known")).alias("ignored"))
-    message = (F.when(F.col("added") == 0, F.lit("No new records to add."))
+    message = (F.when(F.col("added") == 0, F.lit(NO_NEW))
                .when(F.col("ignored") > 0,
-                     F.format_string("Added %d records and ignored %d records.", F.col("added"), F.col("ignored")))
-               .otherwise(F.format_string("Added %d records.", F.col("added"))))
+                     F.format_string(ADDED_IGNORED, F.col("added"), F.col("ignored")))
+               .otherwise(F.format_string(ADDED, F.col("added"))))
     return counts.withColumn("message", message)
 
 
@@ -147,10 +148,17 @@ def rename_keys(table: DataFrame, mapping: DataFrame, key: str = "Symbol") -> Da
                            for c in table.columns])
 
 
+def renames_done(audit: DataFrame, applied: DataFrame) -> DataFrame:
+    """One row: whether every expected rename message was reported (``bool_and``)."""
+    done = audit.select("message").distinct().join(
+        applied.select("message").distinct().withColumn("__done", F.lit(True)), "message", "left")
+    return done.agg(F.coalesce(F.bool_and(F.coalesce("__done", F.lit(False))), F.lit(True)).alias("all_renamed"))
+
+
 def rename_audit(key_table: DataFrame, changes: DataFrame, tables: Sequence[str] = tuple(STORE_TABLES)) -> DataFrame:
     """One message per (table, eligible change), as the sequential updates report them."""
     names = F.array(*[F.lit(t) for t in tables])
     E = eligible_changes(key_table, changes)
     return (E.select("Old", "New", F.explode(names).alias("table"))
-            .withColumn("message", F.format_string("Updated %s with %s in %s table",
+            .withColumn("message", F.format_string(RENAMED,
                                                    F.col("Old"), F.col("New"), F.col("table"))))

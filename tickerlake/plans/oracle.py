@@ -7,15 +7,13 @@ written independently from the Spark jobs, in plain SQL.
 
 from __future__ import annotations
 
-from tickerlake.functions.exprs import NUMBER_PATTERN
-from tickerlake.plans.registry import (
-    ANNUAL_PERIODS,
-    DIVIDEND_AS_OF,
-    DIVIDEND_YEARS,
-    NULL_PROBE_PERIODS,
-    QUARTERLY_PERIODS,
-)
-from tickerlake.sources.adapters import SHEET_LABEL
+# Fixed values, stated here again so that a fault in the engine's own shows: what
+# counts as a number, the generated sheets' label, and the report parameters.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+SHEET_LABEL = "Fiscal year ends in December. USD in millions"
+DIVIDEND_AS_OF, DIVIDEND_YEARS = "2001-08-01", 3
+ANNUAL_PERIODS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
+QUARTERLY_PERIODS = [f"{y}-Q{q}" for y in ANNUAL_PERIODS for q in (1, 2, 3, 4)]
 
 
 def _num(x: str) -> str:
@@ -153,7 +151,7 @@ def _sheet_rows(where: str = "") -> str:
   select 'S' || o_custkey as Symbol,
          case o_orderkey % 3 when 0 then 'is' when 1 then 'bs' else 'cf' end as report,
          case when o_orderkey % 2 = 0 then 12 else 3 end as freq,
-         cast(substr(o_orderpriority, 1, 1) as integer) as pos,
+         o_orderkey as pos,
          o_orderpriority as item,
          '{SHEET_LABEL}' as label,
          case when o_orderkey % 2 = 0 then strftime(o_orderdate, '%Y')
@@ -164,7 +162,10 @@ def _sheet_rows(where: str = "") -> str:
 
 SHEETS = f"""
 sheet as ({_sheet_rows()}),
-sheet_stored as ({_sheet_rows("where o_orderdate < timestamp '1997-01-01'")})"""
+sheet_stored as ({_sheet_rows("where o_orderdate < timestamp '1997-01-01'")}),
+sheet_mixed as (
+  select Symbol, case when pos % 29 = 0 then 'zz' else report end as report,
+         case when pos % 31 = 0 then 6 else freq end as freq, pos, item, label, period, value from sheet)"""
 
 
 def _pivot(report: str, freq: int, periods: list[str], title: str) -> str:
@@ -181,6 +182,58 @@ def _with(*parts: str) -> str:
     return "with " + ",".join(parts)
 
 
+# The tables after the initial load (0), after the renames (1), and what one daily update adds to them.
+INITIAL = """
+p0 as (select * from stored where Symbol in (select Symbol from kb)),
+s0 as (select * from sheet_stored where Symbol in (select Symbol from kb)
+       qualify count(value) over (partition by Symbol, report, freq, period) > 0),
+d0 as (select * from divs where Symbol in (select Symbol from kb))"""
+
+
+DAILY = _with(_listings("S", "AUTOMOBILE", "_i"), _listings("S", "BUILDING", "_d"), PRICES, SHEETS, DIVIDENDS) + """,
+kb as (""" + _listing_keys("listing_i") + """),
+dl as (""" + _listing_keys("listing_d") + """),""" + INITIAL + """,""" + _changes("kb") + """,
+p1 as (select coalesce(m.New, p.Symbol) as Symbol, p.Reference from p0 p left join rmap m on m.Old = p.Symbol),
+s1 as (select coalesce(m.New, s.Symbol) as Symbol, s.report, s.freq, s.period from s0 s left join rmap m on m.Old = s.Symbol),
+d1 as (select coalesce(m.New, d.Symbol) as Symbol, d."Ex-Dividend_Date" from d0 d left join rmap m on m.Old = d.Symbol),
+lat1 as (select Symbol, max(Reference) as last from p1 group by Symbol),
+ka as (select coalesce(m.New, k.Symbol) as Symbol, k.Market from kb k left join rmap m on m.Old = k.Symbol),
+cmp as (
+  select Symbol, Market, 'old' as category from dl
+  where Symbol in (select Symbol from ka where Symbol is not null) and Symbol is not null and Market is not null
+  union all
+  select Symbol, Market, 'new' from dl
+  where not exists (select 1 from ka where ka.Symbol = dl.Symbol) and Symbol is not null and Market is not null
+  union all
+  select Symbol, Market, 'removed' from ka
+  where not exists (select 1 from dl where dl.Symbol = ka.Symbol) and Symbol is not null and Market is not null),
+old_syms as (select distinct Symbol from cmp where category = 'old'),
+new_rows as (select Symbol, Market from cmp where category = 'new'),
+old_rows as (select * from incoming where Symbol in (select Symbol from old_syms)),
+per as (select o.Symbol, count(*) as n_incoming, count(*) filter (where o.Reference > l.last) as n_new
+        from old_rows o left join lat1 l on l.Symbol = o.Symbol group by o.Symbol),
+st as (select r.Symbol,
+              case when l.last is null then 'not_in_history'
+                   when coalesce(p.n_incoming, 0) = 0 then 'no_price_history'
+                   when p.n_new = 0 then 'already_latest' else 'committed' end as status,
+              p.n_new
+       from old_syms r left join lat1 l on l.Symbol = r.Symbol left join per p on p.Symbol = r.Symbol),
+p_old as (select o.Symbol, o.Reference from old_rows o join lat1 l on l.Symbol = o.Symbol where o.Reference > l.last),
+p_new as (select Symbol, Reference from incoming
+          where Symbol in (select Symbol from new_rows) and Symbol not in (select Symbol from lat1)),
+added as (select Symbol, Market from new_rows
+          where Symbol not in (select Symbol from ka where Symbol is not null)),
+s_new as (
+  select Symbol, report, freq, period from sheet_mixed m
+  where Symbol in (select Symbol from added) and report in ('is', 'bs', 'cf') and freq in (3, 12)
+    and not exists (select 1 from s1 where s1.Symbol = m.Symbol and s1.report = m.report and s1.freq = m.freq)
+  qualify count(value) over (partition by Symbol, report, freq, period) > 0),
+d_new as (select Symbol, "Ex-Dividend_Date" from divs
+          where Symbol in (select Symbol from added) and Symbol not in (select Symbol from d1)),
+msg as (select case when count(*) = 0 then 'No new records to add.'
+                    else printf('Added %d records.', count(*)) end as m from added)"""
+
+
 ORACLE: dict[str, str] = {
     "incremental_prices": _with(PRICES) + f"""
 select i.Symbol, {_iso('i.Reference')} as Reference, i.Open, i.High, i.Low, i.Close, i.Volume
@@ -242,7 +295,7 @@ select Symbol, report, freq, pos, item, label, period, value from sheet""",
     "drop_null_columns": f"""
 with {SHEETS}
 select Symbol, pos, item as "Cashflow_item",
-       {", ".join(f"max(case when period = '{p}' then value end) as \"{p}\"" for p in NULL_PROBE_PERIODS[:-1])}
+       {", ".join(f"max(case when period = '{p}' then value end) as \"{p}\"" for p in ANNUAL_PERIODS)}
 from sheet where report = 'cf' and freq = 12
 group by Symbol, pos, item""",
 
@@ -278,6 +331,11 @@ from sheet s
 where not exists (select 1 from sheet_stored t
                   where t.Symbol = s.Symbol and t.report = s.report and t.freq = s.freq)""",
 
+    "route_rejects": _with(SHEETS) + """
+select Symbol, report, freq, count(*) as n_rows, 'unknown_report' as status from sheet_mixed
+where (report, freq) not in (('is', 3), ('is', 12), ('bs', 3), ('bs', 12), ('cf', 3), ('cf', 12))
+group by Symbol, report, freq""",
+
     "compare_lists": _with(KEYS) + """
 select Symbol, Market, 'old' as category from kn
 where Symbol in (select Symbol from kd where Symbol is not null) and Symbol is not null and Market is not null
@@ -341,80 +399,71 @@ join periods p on p.Symbol = r.Symbol and p.report = r.report and p.freq = r.fre
 left join cell c on c.Symbol = r.Symbol and c.report = r.report and c.freq = r.freq
                 and c.pos = r.pos and c.period = p.period""",
 
-    "initialize": _with(_listings("S", "AUTOMOBILE"), PRICES, SHEETS, DIVIDENDS) + """,
-keytab as (
-  select Symbol from (
-    select regexp_replace(Symbol, '\\s+', '', 'g') as Symbol, src, pos from listing
-    where regexp_replace(MarketCap, '[$MB]', '', 'g') is distinct from 'n/a')
-  where Symbol is not null
-  qualify row_number() over (partition by Symbol order by src, pos) = 1),
-init_prices as (
-  select Symbol from (""" + _clean_prices(
-        "(select * from raw where l_linestatus = 'F' and l_partkey % 10 <> 3)") + """)
-  where Symbol in (select Symbol from keytab)),
-init_sheets as (
-  select Symbol from sheet_stored
-  qualify count(value) over (partition by Symbol, report, freq, period) > 0)
+    "read_reordered_csv": _with(PRICES) + """
+select Symbol, Date, Open, High, Low, Close, Volume from raw""",
+
+    "initialize": _with(_listings("S", "AUTOMOBILE", "_i"), PRICES, SHEETS, DIVIDENDS) + """,
+kb as (""" + _listing_keys("listing_i") + """),""" + INITIAL + """
 select 'initialize' as job, 'key_table' as step, Symbol, 'created' as status, cast(1 as bigint) as n_rows
-from keytab
+from kb
 union all
-select 'initialize', 'prices', Symbol, 'committed', count(*) from init_prices group by Symbol
+select 'initialize', 'prices', Symbol, 'committed', count(*) from p0 group by Symbol
 union all
-select 'initialize', 'sheets', Symbol, 'committed', count(*) from init_sheets group by Symbol
+select 'initialize', 'price_rejects', Symbol, 'bad_date', count(*) from raw
+where l_linestatus = 'F' and l_partkey % 10 <> 3 and try_strptime(Date, '%m/%d/%Y') is null
+  and Symbol in (select Symbol from kb) group by Symbol
 union all
-select 'initialize', 'dividends', Symbol, 'committed', count(*) from divs group by Symbol""",
+select 'initialize', 'sheets', Symbol, 'committed', count(*) from s0 group by Symbol
+union all
+select 'initialize', 'dividends', Symbol, 'committed', count(*) from d0 group by Symbol""",
 
-    "daily_update": _with(_listings("S", "AUTOMOBILE", "_i"), _listings("S", "BUILDING", "_d"), PRICES) + """,
-kb as (""" + _listing_keys("listing_i") + """),
-dl as (""" + _listing_keys("listing_d") + """),""" + _changes("kb") + """,
-lat0 as (select Symbol, max(Reference) as last from stored
-         where Symbol in (select Symbol from kb) group by Symbol),
-lat1 as (select coalesce(m.New, l.Symbol) as Symbol, max(l.last) as last
-         from lat0 l left join rmap m on m.Old = l.Symbol group by 1),
-ka as (select coalesce(m.New, k.Symbol) as Symbol, k.Market from kb k left join rmap m on m.Old = k.Symbol),
-cmp as (
-  select Symbol, Market, 'old' as category from dl
-  where Symbol in (select Symbol from ka where Symbol is not null) and Symbol is not null and Market is not null
-  union all
-  select Symbol, Market, 'new' from dl
-  where not exists (select 1 from ka where ka.Symbol = dl.Symbol) and Symbol is not null and Market is not null
-  union all
-  select Symbol, Market, 'removed' from ka
-  where not exists (select 1 from dl where dl.Symbol = ka.Symbol) and Symbol is not null and Market is not null),
-old_syms as (select distinct Symbol from cmp where category = 'old'),
-new_rows as (select Symbol, Market from cmp where category = 'new'),
-old_rows as (select * from incoming where Symbol in (select Symbol from old_syms)),
-per as (select o.Symbol, count(*) as n_incoming, count(*) filter (where o.Reference > l.last) as n_new
-        from old_rows o left join lat1 l on l.Symbol = o.Symbol group by o.Symbol),
-st as (select r.Symbol,
-              case when l.last is null then 'not_in_history'
-                   when coalesce(p.n_incoming, 0) = 0 then 'no_price_history'
-                   when p.n_new = 0 then 'already_latest' else 'committed' end as status,
-              p.n_new
-       from old_syms r left join lat1 l on l.Symbol = r.Symbol left join per p on p.Symbol = r.Symbol),
-stored_new as (
-  select o.Symbol from old_rows o join lat1 l on l.Symbol = o.Symbol where o.Reference > l.last
-  union all
-  select Symbol from incoming
-  where Symbol in (select Symbol from new_rows) and Symbol not in (select Symbol from lat1)),
-added as (select Symbol, Market from new_rows
-          where Symbol not in (select Symbol from ka where Symbol is not null)),
-msg as (select case when count(*) = 0 then 'No new records to add.'
-                    else printf('Added %d records.', count(*)) end as m from added)
+    "daily_update": DAILY + """
 select 'daily_update' as job, 'rename' as step, Old as Symbol,
        printf('Updated %s with %s in %s table', Old, New, t.name) as status, cast(1 as bigint) as n_rows
-from e, (select unnest(['AllStocksKey', 'LatestPrice', 'TenYrPrices']) as name) t
+from e, (select unnest(['AllStocksKey', 'Dividends', 'LatestPrice', 'Sheets', 'TenYrPrices']) as name) t
 union all
 select 'daily_update', 'compare', Symbol, category, 1 from cmp
 union all
 select 'daily_update', 'prices', Symbol, status, case when status = 'committed' then n_new else 0 end from st
 union all
-select 'daily_update', 'prices', Symbol, 'committed', count(*) from stored_new group by Symbol
+select 'daily_update', 'new_prices', Symbol, 'committed', count(*) from p_new group by Symbol
+union all
+select 'daily_update', 'price_rejects', Symbol, 'bad_date', count(*) from raw
+where l_partkey % 10 <> 7 and try_strptime(Date, '%m/%d/%Y') is null and Symbol in (select Symbol from dl) group by Symbol
+union all
+select 'daily_update', 'new_keys', Symbol, (select m from msg), 1 from added
 union all
-select 'daily_update', 'new_keys', Symbol, (select m from msg), 1 from added""",
+select 'daily_update', 'sheet_rejects', Symbol, 'unknown_report ' || report || '/' || freq, count(*) from sheet_mixed
+where Symbol in (select Symbol from added) and not (report in ('is', 'bs', 'cf') and freq in (3, 12))
+group by Symbol, report, freq
+union all
+select 'daily_update', 'sheets', Symbol, 'committed', count(*) from s_new group by Symbol
+union all
+select 'daily_update', 'dividends', Symbol, 'committed', count(*) from d_new group by Symbol""",
+
+    "daily_tables": DAILY + """
+select 'TenYrPrices' as "table", Symbol, count(*) as n_rows, strftime(max(Reference), '%Y-%m-%d') as last
+from (select Symbol, Reference from p1 union all select Symbol, Reference from p_old union all select Symbol, Reference from p_new)
+group by Symbol
+union all
+select 'LatestPrice', Symbol, 1, strftime(max(Reference), '%Y-%m-%d')
+from (select Symbol, Reference from p1 union all select Symbol, Reference from p_old union all select Symbol, Reference from p_new)
+group by Symbol
+union all
+select 'Sheets', Symbol, count(*), max(period)
+from (select Symbol, period from s1 union all select Symbol, period from s_new) group by Symbol
+union all
+select 'Dividends', Symbol, count(*), max("Ex-Dividend_Date")
+from (select Symbol, "Ex-Dividend_Date" from d1 union all select Symbol, "Ex-Dividend_Date" from d_new) group by Symbol
+union all
+select 'AllStocksKey', Symbol, count(*), max(Market)
+from (select * from ka union all select * from added) group by Symbol""",
 
     "rename_audit": _with(KEYS, CHANGES) + """
 select Old, New, t.name as "table", printf('Updated %s with %s in %s table', Old, New, t.name) as message
 from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome', 'TenKBalance',
                         'TenKCashflow', 'TenQIncome', 'TenQBalance', 'TenQCashflow']) as name) t""",
 }
+
+# Short lines read like full ones.
+ORACLE["read_short_sheets"] = ORACLE["read_sheets"]

@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions import exprs as X
 from tickerlake.operators import clean, dividends, history, keys, sheets
+from tickerlake.plans import store_jobs as P
 from tickerlake.session import shared_dir
 from tickerlake.sources import adapters as A
 from tickerlake.sources import offset_csv as CSV
+from tickerlake.sources import store as S
+from tickerlake.sources.store import Store
 
-# Report parameters used by the registered queries. The source
-# serves five fiscal years / five quarters per sheet; the fixture calendar ends
-# in 2001. ``NULL_PROBE_PERIODS`` adds a fiscal year not reported yet.
-ANNUAL_PERIODS = ["1997", "1998", "1999", "2000", "2001"]
-QUARTERLY_PERIODS = ["2000-Q3", "2000-Q4", "2001-Q1", "2001-Q2", "2001-Q3"]
-NULL_PROBE_PERIODS = ["1998", "1999", "2000", "2001", "2002"]
+# A fiscal year that no sheet reports yet, next to those that do.
+PROBE_PERIODS = [str(y) for y in range(1995, 2003)]
 DIVIDEND_AS_OF = "2001-08-01"
 DIVIDEND_YEARS = 3
+REORDERED_COLUMNS = ["Date", "Close", "High", "Low", "Open", "Volume"]
 PRICE_FILE_COLUMNS = ["Date", "Open", "High", "Low", "Close", "Volume"]
 PRICE_FILE_SCHEMA = "Date STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, Volume STRING"
 
@@ -91,8 +91,10 @@ def q_key_first(spark, d):
 
 
 def q_drop_null_columns(spark, d):
-    wide = sheets.annual_cashflow(A.sheets_long(spark, d), NULL_PROBE_PERIODS)
-    return clean.drop_null_columns(wide)
+    """The all-NULL probe year goes; found on the long rows, so the report is pivoted once."""
+    long = A.sheets_long(spark, d)
+    live = set(sheets.live_periods(long.where((F.col("report") == "cf") & (F.col("freq") == 12))))
+    return sheets.annual_cashflow(long, [p for p in PROBE_PERIODS if p in live])
 
 
 def q_drop_null_periods(spark, d):
@@ -100,15 +102,15 @@ def q_drop_null_periods(spark, d):
 
 
 def q_format_sheet(spark, d):
-    return sheets.format_sheet(A.sheets_long(spark, d), "is", ANNUAL_PERIODS, freq=12)
+    return sheets.format_sheet(A.sheets_long(spark, d), "is", freq=12)
 
 
 def q_annual_cashflow(spark, d):
-    return sheets.annual_cashflow(A.sheets_long(spark, d), ANNUAL_PERIODS)
+    return sheets.annual_cashflow(A.sheets_long(spark, d))
 
 
 def q_quarterly_cashflow(spark, d):
-    return sheets.quarterly_cashflow(A.sheets_long(spark, d), QUARTERLY_PERIODS)
+    return sheets.quarterly_cashflow(A.sheets_long(spark, d))
 
 
 def q_key_exists(spark, d):
@@ -128,6 +130,10 @@ def q_route_report(spark, d):
     return history.route_report(A.sheets_stored(spark, d), A.sheets_long(spark, d))
 
 
+def q_route_rejects(spark, d):
+    return history.route_rejects(A.sheets_mixed(spark, d))
+
+
 def q_compare_lists(spark, d):
     return keys.compare_lists(A.keys_db(spark, d), A.keys_new(spark, d))
 
@@ -171,31 +177,60 @@ def q_read_sheets(spark, d):
     return CSV.read_sheets(spark, out, 1)
 
 
+def q_read_reordered_csv(spark, d):
+    """Price files whose columns stand in another order: cells go by header name."""
+    out = CSV.write_offset_csv(A.prices_raw(spark, d), shared_dir(spark, "price-files"), REORDERED_COLUMNS, "daily history")
+    return CSV.read_offset_csv(spark, out, 1, PRICE_FILE_SCHEMA).drop("__order")
+
+
+def q_read_short_sheets(spark, d):
+    """Sheet files whose lines end with their last filled cell (section lines hold no comma at all)."""
+    out = CSV.write_sheets(A.sheets_long(spark, d), shared_dir(spark, "sheet-files"), short=True)
+    return CSV.read_sheets(spark, out, 1)
+
+
+def _initial(spark, d) -> tuple[Store, P.Inputs]:
+    store = Store(spark, shared_dir(spark, "store"))
+    return store, P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
+                           nyse=A.listing_nyse(spark, d, "S"),
+                           prices=A.prices_stored_raw(spark, d), sheets=A.sheets_stored(spark, d),
+                           div_past=A.dividends_past(spark, d), div_upcoming=A.dividends_upcoming(spark, d))
+
+
+def _daily(spark, d) -> P.Inputs:
+    return P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="BUILDING"),
+                    nyse=A.listing_nyse(spark, d, "S"), prices=A.prices_download(spark, d),
+                    sheets=A.sheets_mixed(spark, d), div_past=A.dividends_past(spark, d),
+                    div_upcoming=A.dividends_upcoming(spark, d), changes=A.ticker_changes(spark, d))
+
+
 def q_initialize(spark, d):
     """Initial load into a fresh store; returns the run's status rows."""
-    from tickerlake.plans import store_jobs as P
-    from tickerlake.sources.store import Store
-    store = Store(spark, shared_dir(spark, "store"))
-    inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
-                      nyse=A.listing_nyse(spark, d, "S"),
-                      prices=A.prices_stored_raw(spark, d), sheets=A.sheets_stored(spark, d),
-                      div_past=A.dividends_past(spark, d), div_upcoming=A.dividends_upcoming(spark, d))
+    store, inputs = _initial(spark, d)
     return P.initialize(spark, inputs, store).drop("run_id")
 
 
 def q_daily_update(spark, d):
-    """Initial load, then one daily update (renames, new listing, full
-    re-download of prices); returns the daily run's status rows."""
-    from tickerlake.plans import store_jobs as P
-    from tickerlake.sources.store import Store
-    store = Store(spark, shared_dir(spark, "store"))
-    P.initialize(spark, P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="AUTOMOBILE"),
-                                 nyse=A.listing_nyse(spark, d, "S"), prices=A.prices_stored_raw(spark, d)),
-                 store)
-    inputs = P.Inputs(nasdaq=A.listing_nasdaq(spark, d, "S", skip_segment="BUILDING"),
-                      nyse=A.listing_nyse(spark, d, "S"),
-                      prices=A.prices_download(spark, d), changes=A.ticker_changes(spark, d))
-    return P.daily_update(spark, inputs, store).drop("run_id")
+    """Initial load of all tables, then one daily update (renames, new listing,
+    full re-download); returns the daily run's status rows."""
+    store, inputs = _initial(spark, d)
+    P.initialize(spark, inputs, store)
+    return P.daily_update(spark, _daily(spark, d), store).drop("run_id")
+
+
+def q_daily_tables(spark, d):
+    """The stored tables after the initial load and one daily update, summed per table and symbol."""
+    store, inputs = _initial(spark, d)
+    P.initialize(spark, inputs, store)
+    P.daily_update(spark, _daily(spark, d), store)
+    last = {S.PRICES: X.iso_date("Reference"), S.LATEST: X.iso_date("last_reference"), S.SHEETS: F.col("period"),
+            S.DIVIDENDS: F.col("`Ex-Dividend_Date`"), S.KEY_TABLE: F.col("Market")}
+    out = None
+    for name, col in last.items():
+        part = store.read(name).groupBy("Symbol").agg(F.count(F.lit(1)).alias("n_rows"), F.max(col).alias("last"))
+        part = part.select(F.lit(name).alias("table"), "Symbol", "n_rows", "last")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 QUERIES: dict[str, Query] = {
@@ -219,6 +254,7 @@ QUERIES: dict[str, Query] = {
     "append_new_history": q_append_new_history,
     "rejected_history": q_rejected_history,
     "route_report": q_route_report,
+    "route_rejects": q_route_rejects,
     "compare_lists": q_compare_lists,
     "new_keys": q_new_keys,
     "new_keys_summary": q_new_keys_summary,
@@ -228,6 +264,9 @@ QUERIES: dict[str, Query] = {
     "rename_audit": q_rename_audit,
     "read_offset_csv": q_read_offset_csv,
     "read_sheets": q_read_sheets,
+    "read_reordered_csv": q_read_reordered_csv,
+    "read_short_sheets": q_read_short_sheets,
     "initialize": q_initialize,
     "daily_update": q_daily_update,
+    "daily_tables": q_daily_tables,
 }

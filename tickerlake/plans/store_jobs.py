@@ -3,7 +3,12 @@
 Both work on all symbols at once: every step is one DataFrame job per table,
 never a loop over symbols. Inputs are DataFrames (see ``sources`` for reading
 report files); outputs are tables in a ``Store`` plus one status row per
-(step, symbol) appended to the ``Status`` table and returned.
+(step, symbol) in the ``Status`` table, which are returned. A job's tables become
+visible together; repeating a run id after a stop gives what an uninterrupted
+run gives, and repeating a committed one changes nothing.
+
+Large inputs are never copied aside: rows go straight into their table, and
+marks and counts are read back from the two columns they need.
 """
 
 from __future__ import annotations
@@ -13,24 +18,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickerlake.operators import clean, dividends, history, keys, sheets
 from tickerlake.session import checkpoint_root
 from tickerlake.sources import store as S
 
-PRICE_SCHEMA = T.StructType([
-    T.StructField("Symbol", T.StringType()), T.StructField("Reference", T.DateType()),
-    T.StructField("Open", T.DoubleType()), T.StructField("High", T.DoubleType()),
-    T.StructField("Low", T.DoubleType()), T.StructField("Close", T.DoubleType()),
-    T.StructField("Volume", T.DoubleType())])
-LATEST_SCHEMA = T.StructType([T.StructField("Symbol", T.StringType()),
-                              T.StructField("last_reference", T.DateType())])
-SHEET_SCHEMA = T.StructType([
-    T.StructField("Symbol", T.StringType()), T.StructField("pos", T.LongType()),
-    T.StructField("item", T.StringType()), T.StructField("label", T.StringType()),
-    T.StructField("period", T.StringType()), T.StructField("value", T.DoubleType()),
-    T.StructField("report", T.StringType()), T.StructField("freq", T.IntegerType())])
+# Fixed value: status of price rows that a run did not store.
+BAD_DATE = "bad_date"
 
 
 @dataclass
@@ -52,13 +46,18 @@ def _status(job: str, step: str, df: DataFrame, status, n_rows) -> DataFrame:
                      n_rows.cast("long").alias("n_rows"))
 
 
-def _log(store: S.Store, rows: list[DataFrame], run_id: str) -> DataFrame:
+def _finish(run: S.Run, rows: list[DataFrame]) -> DataFrame:
+    """Store the status rows, publish the run and return its rows."""
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    out = out.withColumn("run_id", F.lit(run_id)).withColumn("run_ts", F.current_timestamp())
-    store.append(S.STATUS, out)
-    return store.read(S.STATUS).where(F.col("run_id") == run_id).drop("run_ts")
+    run.append(S.STATUS, out.withColumn("run_id", F.lit(run.run_id)).withColumn("run_ts", F.current_timestamp()))
+    run.commit()
+    return _report(run)
+
+
+def _report(run: S.Run) -> DataFrame:
+    return run.read(S.STATUS).where(F.col("run_id") == run.run_id).drop("run_ts")
 
 
 def _merge_marks(latest: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -72,25 +71,38 @@ def _per_symbol(df: DataFrame) -> DataFrame:
     return df.groupBy("Symbol").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _store_prices(store: S.Store, job: str, new_rows: DataFrame) -> DataFrame:
-    """Append price rows, advance the high-water marks, report rows per symbol."""
-    new_rows = new_rows.checkpoint(eager=True)  # one computation feeds three writes
-    store.append(S.PRICES, new_rows)
-    latest = store.read_or_empty(S.LATEST, LATEST_SCHEMA)
-    store.rewrite(S.LATEST, history.advance_latest(latest, new_rows))
-    return _status(job, "prices", _per_symbol(new_rows), history.COMMITTED, F.col("n"))
+def _listed(df: DataFrame, symbols: DataFrame) -> DataFrame:
+    return df.join(symbols.select("Symbol").distinct(), "Symbol", "left_semi")
+
 
+def _rejects(job: str, raw: DataFrame, symbols: DataFrame) -> DataFrame:
+    bad = clean.price_rejects(_listed(raw.select("Symbol", "Date"), symbols))
+    return _status(job, "price_rejects", bad, BAD_DATE, F.col("n_bad_dates"))
 
-def key_table_exists(store: S.Store) -> bool:
-    return store.exists(S.KEY_TABLE)
 
+def _reports(run: S.Run, job: str, inputs: Inputs, symbols: DataFrame, log: list[DataFrame]) -> None:
+    """Sheets and dividends of ``symbols`` that the store does not hold yet."""
+    if inputs.sheets is not None:
+        rows = _listed(inputs.sheets, symbols)
+        unknown = history.route_rejects(rows)
+        log.append(_status(job, "sheet_rejects", unknown, F.concat_ws(" ", F.col("status"), F.concat_ws(
+            "/", F.coalesce("report", F.lit("?")), F.coalesce(F.col("freq").cast("string"), F.lit("?")))), F.col("n_rows")))
+        stored = run.read_or_empty(S.SHEETS)
+        rows = history.route_report(stored, sheets.drop_null_periods(rows)).drop("table")
+        log.append(_status(job, "sheets", _per_symbol(run.append(S.SHEETS, rows)), history.COMMITTED, F.col("n")))
+    if inputs.div_past is not None:
+        upcoming = inputs.div_upcoming if inputs.div_upcoming is not None else inputs.div_past.limit(0)
+        div = _listed(dividends.dividend_history(inputs.div_past, upcoming), symbols)
+        if run.exists(S.DIVIDENDS):
+            div = history.append_new_history(run.read(S.DIVIDENDS), div)
+        log.append(_status(job, "dividends", _per_symbol(run.append(S.DIVIDENDS, div)), history.COMMITTED, F.col("n")))
 
-def create_key_table(store: S.Store, symbols: DataFrame) -> DataFrame:
+
+def create_key_table(run: S.Run, symbols: DataFrame) -> DataFrame:
     """Create the symbol key table (Symbol, Market); an existing one is an error."""
-    if key_table_exists(store):
+    if run.exists(S.KEY_TABLE):
         raise ValueError(f"the {S.KEY_TABLE} key table already exists")
-    store.create(S.KEY_TABLE, symbols.select("Symbol", "Market"))
-    return store.read(S.KEY_TABLE)
+    return run.replace(S.KEY_TABLE, symbols)
 
 
 def _run_id(job: str, run_id: str | None) -> str:
@@ -98,80 +110,72 @@ def _run_id(job: str, run_id: str | None) -> str:
 
 
 def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str | None = None) -> DataFrame:
-    """Listing -> key table -> price history, sheets, dividends -> status log."""
+    """Listing -> key table -> price history, sheets, dividends of listed symbols -> status log."""
     checkpoint_root(spark)
     job, log = "initialize", []
-    run_id = _run_id(job, run_id)
-    listing = clean.listing_clean(inputs.nasdaq, inputs.nyse)
-    key_table = create_key_table(store, listing)
+    run = store.run(_run_id(job, run_id))
+    if run.done:
+        return _report(run)
+    key_table = create_key_table(run, clean.listing_clean(inputs.nasdaq, inputs.nyse))
     log.append(_status(job, "key_table", key_table, "created", F.lit(1)))
 
     if inputs.prices is not None:
-        # Symbols already stored = the high-water-mark table (one row per symbol),
-        # not a distinct over the whole price history.
-        stored_syms = store.read_or_empty(S.LATEST, LATEST_SCHEMA).select("Symbol")
-        cleaned = clean.price_history(inputs.prices).join(key_table.select("Symbol"), "Symbol", "left_semi")
-        log.append(_status(job, "prices", history.rejected_history(stored_syms, cleaned),
-                           F.col("status"), F.col("n_rows")))
-        log.append(_store_prices(store, job, history.append_new_history(stored_syms, cleaned)))
-
-    if inputs.sheets is not None:
-        stored = store.read_or_empty(S.SHEETS, SHEET_SCHEMA)
-        rows = history.route_report(stored, sheets.drop_null_periods(inputs.sheets)).drop("table")
-        rows = rows.checkpoint(eager=True)
-        store.append(S.SHEETS, rows.select(*SHEET_SCHEMA.fieldNames()))
-        log.append(_status(job, "sheets", _per_symbol(rows), history.COMMITTED, F.col("n")))
-
-    if inputs.div_past is not None:
-        div = dividends.dividend_history(inputs.div_past, inputs.div_upcoming if inputs.div_upcoming is not None
-                                         else inputs.div_past.limit(0))
-        stored = store.read_or_empty(S.DIVIDENDS, div.schema)
-        div = history.append_new_history(stored, div).checkpoint(eager=True)
-        store.append(S.DIVIDENDS, div)
-        log.append(_status(job, "dividends", _per_symbol(div), history.COMMITTED, F.col("n")))
-    return _log(store, log, run_id)
+        rows = run.append(S.PRICES, _listed(clean.price_history(inputs.prices), key_table))
+        run.replace(S.LATEST, history.latest_per_key(rows))
+        log.append(_status(job, "prices", _per_symbol(rows), history.COMMITTED, F.col("n")))
+        log.append(_rejects(job, inputs.prices, key_table))
+    _reports(run, job, inputs, key_table, log)
+    return _finish(run, log)
 
 
 def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str | None = None) -> DataFrame:
     """Current listing -> ticker renames -> compare lists -> incremental prices
-    for listed symbols -> new keys -> history of new symbols -> status log."""
+    for listed symbols -> new keys -> history, sheets and dividends of new symbols -> status log."""
     checkpoint_root(spark)
     job, log = "daily_update", []
-    run_id = _run_id(job, run_id)
+    run = store.run(_run_id(job, run_id))
+    if run.done:
+        return _report(run)
     listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
 
     if inputs.changes is not None:
-        key_before = store.read(S.KEY_TABLE)
+        key_before = run.read(S.KEY_TABLE)
         mapping = keys.rename_map(key_before, inputs.changes).checkpoint(eager=True)
-        renamed = [t for t in store.tables() if t != S.STATUS]
-        audit = keys.rename_audit(key_before, inputs.changes, renamed)
+        renamed = [t for t in run.names() if t != S.STATUS]
         for name in renamed:
-            store.rename_symbols(name, mapping, _merge_marks if name == S.LATEST else keys.rename_keys)
+            run.rename_symbols(name, mapping, _merge_marks if name == S.LATEST else keys.rename_keys)
+        audit = keys.rename_audit(key_before, inputs.changes, renamed)
         log.append(audit.select(F.lit(job).alias("job"), F.lit("rename").alias("step"),
                                 F.col("Old").alias("Symbol"), F.col("message").alias("status"),
                                 F.lit(1).cast("long").alias("n_rows")))
 
-    key_table = store.read(S.KEY_TABLE)
-    split = keys.compare_lists(key_table, listing).checkpoint(eager=True)
+    key_table = run.read(S.KEY_TABLE)
+    split = keys.compare_lists(key_table, listing).checkpoint(eager=True)  # keys only: one small row per symbol
     log.append(_status(job, "compare", split, F.col("category"), F.lit(1)))
     old = split.where(F.col("category") == keys.OLD)
     new = split.where(F.col("category") == keys.NEW).select("Symbol", "Market")
 
     if inputs.prices is not None:
-        # The history itself is never scanned: marks and stored symbols come
-        # from the one-row-per-symbol LatestPrice table.
-        latest = store.read_or_empty(S.LATEST, LATEST_SCHEMA)
-        fetched = clean.price_history(inputs.prices).checkpoint(eager=True)
-        old_rows = fetched.join(old.select("Symbol"), "Symbol", "left_semi")
-        status = history.refresh_status(old, None, old_rows, latest=latest)
-        log.append(_status(job, "prices", status, F.col("status"), F.col("n_rows")))
+        # The history itself is never scanned: marks and stored symbols come from
+        # the one-row-per-symbol LatestPrice table, and of the download only the
+        # newer rows are written.
+        latest = run.read_or_empty(S.LATEST)
+        fetched = clean.price_history(inputs.prices)
+        old_rows = _listed(fetched, old)
+        log.append(_status(job, "prices", history.refresh_status(old, None, old_rows, latest=latest),
+                           F.col("status"), F.col("n_rows")))
         fresh = history.incremental_prices(None, old_rows, latest=latest)
-        brand_new = history.append_new_history(latest.select("Symbol"),
-                                               fetched.join(new.select("Symbol"), "Symbol", "left_semi"))
-        log.append(_store_prices(store, job, fresh.unionByName(brand_new)))
-
-    added = keys.new_keys(key_table, new).checkpoint(eager=True)
+        brand_new = history.append_new_history(latest.select("Symbol"), _listed(fetched, new))
+        rows = run.append(S.PRICES, fresh.unionByName(brand_new))
+        run.replace(S.LATEST, history.advance_latest(latest, rows))
+        run.compact(S.PRICES)
+        log.append(_status(job, "new_prices", _per_symbol(_listed(rows, new)), history.COMMITTED, F.col("n")))
+        log.append(_rejects(job, inputs.prices, listing))
+
+    added = keys.new_keys(key_table, new)
     summary = keys.new_keys_summary(key_table, new).first()
-    store.append(S.KEY_TABLE, added)
+    added = run.append(S.KEY_TABLE, added)
+    run.compact(S.KEY_TABLE)
     log.append(_status(job, "new_keys", added, summary["message"], F.lit(1)))
-    return _log(store, log, run_id)
+    _reports(run, job, inputs, added, log)
+    return _finish(run, log)

@@ -3,8 +3,8 @@
 ``build_session`` is for tests, the bench and local runs; library jobs never
 create a session themselves. ``shared_dir`` hands out fresh folders below the
 cluster's ``spark.checkpoint.dir`` (a shared filesystem on a real cluster). Only
-when that setting is absent -- local tests -- does it fall back to a new temp
-folder, and it then registers that folder as the checkpoint dir.
+in local mode without that setting -- tests -- does it take a new temp folder,
+and registers it as the checkpoint dir; on any other master that is an error.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # One-file-per-symbol folders are many and tiny: list them with a task per core, not per folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
 }
 
 
@@ -47,7 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Local runs and tests only: a real cluster names a shared folder.
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
         root = tempfile.mkdtemp(prefix="tickerlake-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)

@@ -32,27 +32,9 @@ from tickerlake.operators.clean import price_history
 SHEET_LABEL = "Fiscal year ends in December. USD in millions"
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(p).getLength()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. A file with a single row group scans as one task; the
-    cleaning that follows is CPU-bound, so such a scan (above 1 MB) is spread
-    over the cores first. A large input already has at least one split per core
-    and is left alone: no extra shuffle at scale, none for tiny tables."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and _size(spark, path) >= SPREAD_MIN_BYTES:
-        df = df.repartition(cores)
-    return df
+    """One driver table; its splits follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: str) -> Column:
@@ -222,7 +204,7 @@ def _sheets(o: DataFrame) -> DataFrame:
         F.concat(F.lit("S"), _s("o_custkey")).alias("Symbol"),
         report.alias("report"),
         freq.alias("freq"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("pos"),
+        F.col("o_orderkey").alias("pos"),  # one cell per order: no two cells share (sheet, pos, period)
         F.col("o_orderpriority").alias("item"),
         F.lit(SHEET_LABEL).alias("label"),
         period.alias("period"),
@@ -236,6 +218,13 @@ def sheets_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sheets(table(spark, sf_dir, "orders"))
 
 
+def sheets_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incoming reports among which some have a report code or a frequency that no table takes."""
+    long = sheets_long(spark, sf_dir)
+    return (long.withColumn("report", F.when(F.col("pos") % 29 == 0, F.lit("zz")).otherwise(F.col("report")))
+            .withColumn("freq", F.when(F.col("pos") % 31 == 0, F.lit(6)).otherwise(F.col("freq"))))
+
+
 def sheets_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets already stored: cells of orders placed before 1997."""
     o = table(spark, sf_dir, "orders")

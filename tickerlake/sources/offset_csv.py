@@ -2,11 +2,10 @@
 
 Files are read line by line (splittable; one huge file is spread over many
 tasks). One Arrow-batched pass per partition numbers the non-blank lines of each
-split and carries the header line forward inside the split, so title lines,
-header and body are told apart without a shuffle. Only when a file is large
-enough to be split does a later split need its header from elsewhere: then one
-equi-join on the file path supplies it (AQE broadcasts it when small and splits
-skewed files).
+split; the lines of the splits before it, from one count per split, turn that
+into the line's number in its file. The header line of each file and the first
+line number of each split reach the lines by one equi-join on (file, split),
+whatever the files' sizes (AQE broadcasts the small side and splits skewed files).
 
 Symbol (and report/freq for sheets) come from ``key=value`` folders when the
 files are laid out that way, else from the file name.
@@ -15,207 +14,167 @@ files are laid out that way, else from the file name.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake.functions import exprs as X
 
-SPLIT_SAFE_BYTES = "spark.sql.files.openCostInBytes"
-MAX_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
-# Fixed value: a comma followed by an even number of quotes up to the line end,
-# i.e. a comma outside any quoted field.
-CSV_SPLIT = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# Fixed value: one field of a CSV line behind its comma: quoted (doubled quotes
+# inside) or plain. The possessive loops neither back up nor recurse, however wide the line.
+CSV_FIELD = ',(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 # Fixed value: sheet file/folder names '<symbol>_<report>_<months>'.
 SHEET_NAME = r"^(.+)_(is|bs|cf)_([0-9]+)$"
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+# Rows of one report file that the writers put out, about; a larger key gets several files.
+ROWS_PER_FILE = 1_000_000
 
 
-def _bytes(text: str) -> int:
-    text = text.strip().lower()
-    digits = text.rstrip("kmgtb")
-    return int(float(digits) * _UNITS[text[len(digits):]])
-
-
-def line_numbering(skip: int):
-    """Per partition: ``seq`` = index of the line inside its split, ``line`` = the
-    same for the file's first split (else NULL), ``head`` = the header text for
-    body lines of a first split."""
+def line_numbering():
+    """Per partition: ``seq`` = index of the line inside its split."""
 
     def run(batches):
         seen: dict[tuple, int] = {}
-        heads: dict[str, str] = {}
         for pdf in batches:
             if pdf.empty:
-                yield pdf.assign(seq=pd.Series(dtype="int64"), line=pd.Series(dtype="Int64"),
-                                 head=pd.Series(dtype="object"))
+                yield pdf.assign(seq=pd.Series(dtype="int64"))
                 continue
             key = list(zip(pdf["file"], pdf["block"]))
             offset = pd.Series([seen.get(k, 0) for k in key], index=pdf.index, dtype="int64")
-            seq = pdf.groupby(["file", "block"], sort=False).cumcount().astype("int64") + offset
+            yield pdf.assign(seq=pdf.groupby(["file", "block"], sort=False).cumcount().astype("int64") + offset)
             for k, n in pd.Series(key, index=pdf.index).value_counts(sort=False).items():
                 seen[k] = seen.get(k, 0) + int(n)
-            first = pdf["block"].to_numpy() == 0
-            line = seq.where(first).astype("Int64")
-            is_head = first & (seq.to_numpy() == skip)
-            for f, v in zip(pdf["file"][is_head], pdf["value"][is_head]):
-                heads[f] = v
-            head = pdf["file"].map(heads)
-            head = head.where(first & (seq.to_numpy() > skip))
-            yield pdf.assign(seq=seq, line=line, head=head.astype("object"))
 
     return run
 
 
-LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-
-
-@contextmanager
-def _listing_tasks(spark: SparkSession):
-    """One-file-per-symbol folders are many and tiny: list them with about one
-    task per core instead of one task per folder (restored afterwards)."""
-    before = spark.conf.get(LISTING_PARALLELISM, None)
-    cores = spark.sparkContext.defaultParallelism
-    if before is None or int(before) > cores:
-        spark.conf.set(LISTING_PARALLELISM, str(cores))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(LISTING_PARALLELISM)
-        else:
-            spark.conf.set(LISTING_PARALLELISM, before)
+def _raw_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Non-blank lines with file, split start and the folder keys, as text whatever they look like."""
+    paths = [path] if isinstance(path, str) else list(path)
+    raw = spark.read.text(paths)
+    parts = [c for c in raw.columns if c != "value"]
+    if parts:  # a given schema keeps '007' and '1E5' as they are, whatever the session infers
+        raw = spark.read.schema(", ".join(f"`{c}` string" for c in ["value", *parts])).text(paths)
+    return (raw.where(F.trim("value") != "")
+            .select("value", F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"), *parts))
 
 
 def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) -> DataFrame:
-    """Non-blank lines with file, split start, per-split index and carried header."""
-    paths = [path] if isinstance(path, str) else list(path)
-    with _listing_tasks(spark):
-        raw = spark.read.text(paths)
-    parts = [c for c in raw.columns if c != "value"]
-    lines = (raw.where(F.trim("value") != "")
-             .select("value", F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"), *parts))
-    return lines.mapInPandas(line_numbering(skip), numbered_schema(lines))
+    """Body lines (below the header) with ``line`` = number in the file from 0, title lines included, and ``head``."""
+    lines = _raw_lines(spark, path)
+    numbered = lines.mapInPandas(line_numbering(), T.StructType(lines.schema.fields + [T.StructField("seq", T.LongType())]))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # Counted behind the Arrow pass: a filter on the file name that reached the scan would keep only the files' first splits.
+    starts = (numbered.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+              .select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    # The header is in the split that line number ``skip`` falls into.
+    heads = numbered.select("file", "block", "seq", "value").join(starts, ["file", "block"]).where(
+        F.col("seq") + F.col("start") == skip).select("file", F.col("value").alias("head"))
+    splits = starts.join(heads, "file").select(F.col("file").alias("__f"), F.col("block").alias("__b"), "start", "head")
+    joined = numbered.join(splits, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    return (joined.withColumn("line", F.col("seq") + F.col("start")).where(F.col("line") > skip)
+            .drop("__f", "__b", "start", "seq"))
+
+
+def _symbol(df: DataFrame) -> Column:
+    if "Symbol" in df.columns:
+        return F.col("Symbol")
+    return F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
 
 
-def numbered_schema(lines: DataFrame) -> T.StructType:
-    """Schema of ``lines`` plus the columns ``line_numbering`` adds."""
-    return T.StructType(lines.schema.fields + [
-        T.StructField("seq", T.LongType()), T.StructField("line", T.LongType()),
-        T.StructField("head", T.StringType())])
+def csv_fields(col) -> Column:
+    """Split one CSV line into its fields (commas inside quotes kept, quotes
+    removed, doubled quotes unescaped, empty fields kept)."""
+    line = F.concat(F.lit(","), F.col(col) if isinstance(col, str) else col)
+    fields = F.transform(F.regexp_extract_all(line, F.lit(CSV_FIELD), F.lit(0)), lambda f: F.substring(f, 2, 1 << 30))
+    return F.transform(fields, lambda f: F.when(f.startswith('"'), F.regexp_replace(F.regexp_replace(
+        f, r'^"|"$', ""), '""', '"')).otherwise(f))
 
 
-def _may_split(spark: SparkSession, path) -> bool:
-    """True when some input file is larger than the size Spark never splits.
+def read_offset_csv(spark: SparkSession, path, skip: int, schema: str | T.StructType) -> DataFrame:
+    """Rows of CSV files with ``skip`` title lines above a header (header row
+    ``skip + 1`` counting non-blank lines). Cells go to the columns of ``schema``
+    by header name: missing columns are NULL, others dropped. Adds Symbol (folder
+    ``Symbol=`` or file name) and ``__order`` (line number, for first-row-wins rules)."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    lines = numbered_lines(spark, path, skip)
+    cells = lines.select(_symbol(lines).alias("Symbol"), csv_fields("value").alias("__v"),
+                         csv_fields("head").alias("__h"), F.col("line").alias("__order"))
 
-    Spark cuts files into pieces of min(maxPartitionBytes, max(openCostInBytes,
-    bytes per core)), so a file no larger than min(openCostInBytes,
-    maxPartitionBytes) always stays whole."""
-    paths = [path] if isinstance(path, str) else list(path)
-    safe = min(_bytes(spark.conf.get(SPLIT_SAFE_BYTES, "4194304")),
-               _bytes(spark.conf.get(MAX_SPLIT_BYTES, "134217728")))
-    with _listing_tasks(spark):
-        sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-        biggest = sizes.agg(F.max("length")).first()[0]
-    return biggest is not None and biggest > safe
+    def cell(f: T.StructField) -> Column:
+        at = F.array_position("__h", f.name).cast("int")
+        text = F.when(at > 0, F.get(F.col("__v"), at - 1))
+        text = F.when(text != "", text)
+        value = X.to_number(text).cast(f.dataType) if isinstance(f.dataType, T.NumericType) else text.try_cast(f.dataType)
+        return value.alias(f.name)
 
+    return cells.select("Symbol", *[cell(f) for f in fields], "__order")
 
-def _symbol(df: DataFrame) -> F.Column:
-    if "Symbol" in df.columns:
-        return F.col("Symbol").cast("string")
-    return F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
 
+def read_listing(spark: SparkSession, path) -> DataFrame:
+    """Exchange listing files (header on row 1, UTF-8): the header's columns as text, and ``pos`` = line number.
 
-def _with_headers(spark, path, lines: DataFrame, skip: int, check_split: bool) -> DataFrame:
-    """Body lines, each with its file's header text in ``head``."""
-    body = lines.where(F.col("line").isNull() | (F.col("line") > skip))
-    if not check_split or not _may_split(spark, path):
-        return body
-    heads = (lines.where(F.col("line") == skip)
-             .select("file", F.col("value").alias("__head")))
-    return (body.join(heads, "file", "left")
-            .withColumn("head", F.coalesce("head", "__head")).drop("__head"))
+    All files of ``path`` share the header of the first by name.
+    """
+    first = spark.read.text(path).first()
+    if first is None:
+        return spark.createDataFrame([], "Symbol string, LastSale string, MarketCap string, industry string, pos long")
+    names = spark.range(1).select(csv_fields(F.lit(first[0].lstrip("\ufeff"))).alias("h")).first().h
+    kinds = T.StructType([T.StructField(n, T.StringType()) for n in names if n not in ("Symbol", "")])
+    body = numbered_lines(spark, path, 0).withColumn("head", F.regexp_replace("head", "^\ufeff", ""))
+    cells = body.select(csv_fields("value").alias("__v"), csv_fields("head").alias("__h"), F.col("line").alias("pos"))
 
+    def cell(name: str) -> Column:
+        at = F.array_position("__h", name).cast("int")
+        text = F.when(at > 0, F.get(F.col("__v"), at - 1))
+        return F.when(text != "", text).alias(name)
 
-def read_offset_csv(spark: SparkSession, path, skip: int, schema: str | T.StructType) -> DataFrame:
-    """Rows of CSV files with ``skip`` title lines above a header (header row
-    ``skip + 1`` counting non-blank lines). Columns are taken by position in
-    ``schema``; adds Symbol (folder ``Symbol=`` or file name) and ``__order``
-    (file order: split start + index in split) for first-row-wins rules."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    lines = numbered_lines(spark, path, skip)
-    body = lines.where(F.col("line").isNull() | (F.col("line") > skip))
-    parsed = body.select(_symbol(lines).alias("Symbol"),
-                         F.from_csv("value", ddl).alias("__r"),
-                         (F.col("block") + F.col("seq")).alias("__order"))
-    return parsed.select("Symbol", "__r.*", "__order")
+    return cells.select(cell("Symbol"), *[cell(f.name) for f in kinds], "pos")
 
 
 def header_mismatches(spark: SparkSession, path, skip: int, expected: Sequence[str]) -> DataFrame:
-    """Files whose header line is not ``expected`` (columns are read by position)."""
-    want = ",".join(expected)
+    """Files whose header lacks a name of ``expected`` (those cells are read as NULL)."""
     lines = numbered_lines(spark, path, skip)
-    return (lines.where(F.col("line") == skip)
-            .where(F.regexp_replace("value", '"', "") != want)
-            .select(_symbol(lines).alias("Symbol"), "file", F.col("value").alias("header")))
+    missing = F.array_except(F.array(*[F.lit(c) for c in expected]), csv_fields("head"))
+    return (lines.where(F.size(missing) > 0)
+            .select(_symbol(lines).alias("Symbol"), "file", F.col("head").alias("header")).distinct())
 
 
-def _sheet_keys(lines: DataFrame) -> list[F.Column]:
+def _sheet_keys(lines: DataFrame) -> list[Column]:
     """Symbol, report and freq of a sheet file: from ``Symbol=/report=/freq=``
     folders, else from a ``sheet=`` folder or file name '<symbol>_<report>_<freq>'."""
     cols = lines.columns
     if "report" in cols and "freq" in cols:
-        return [_symbol(lines).alias("Symbol"), F.col("report").cast("string").alias("report"),
-                F.col("freq").cast("int").alias("freq")]
-    name = F.col("sheet").cast("string") if "sheet" in cols else \
-        F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
+        return [_symbol(lines).alias("Symbol"), F.col("report"), F.col("freq").try_cast("int").alias("freq")]
+    name = F.col("sheet") if "sheet" in cols else F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
     parsed = [F.regexp_extract(name, SHEET_NAME, i) for i in (1, 2, 3)]
     return [F.when(parsed[0] != "", parsed[0]).otherwise(name).alias("Symbol"),
             F.when(parsed[1] != "", parsed[1]).alias("report"),
             F.when(parsed[2] != "", parsed[2]).cast("int").alias("freq")]
 
 
-def csv_fields(col) -> F.Column:
-    """Split one CSV line into its fields (commas inside quotes kept, quotes
-    removed, doubled quotes unescaped, trailing empty fields kept)."""
-    parts = F.split(F.col(col) if isinstance(col, str) else col, CSV_SPLIT, -1)
-    return F.transform(parts, lambda f: F.regexp_replace(F.regexp_replace(f, r'^"|"$', ""), '""', '"'))
-
-
-def read_sheets(spark: SparkSession, path, skip: int, check_split: bool = True) -> DataFrame:
+def read_sheets(spark: SparkSession, path, skip: int) -> DataFrame:
     """Financial-sheet files -> long rows (Symbol, report, freq, pos, item, label,
     period, value).
 
     The header differs per file: its first cell is the label ('Fiscal year ends
-    ...'), the other cells name the periods. Every body cell under a named
-    period becomes one row; empty cells give NULL values, thousands separators
-    ('1,000') are dropped before the number guard. ``pos`` orders the
-    items of a file (1 = first item line for files read in one split). Lines
-    are split in full, whatever their width.
+    ...'), the other cells name the periods. Every item line gives one row per
+    period of the header; cells that are empty, or missing because the line is
+    short or has no comma at all, are NULL, and thousands separators ('1,000')
+    are dropped before the number guard. ``pos`` is the item line's number below
+    the header. Lines are split in full, whatever their width.
     """
     lines = numbered_lines(spark, path, skip)
-    body = _with_headers(spark, path, lines, skip, check_split)
-    cells = body.select(
-        *_sheet_keys(lines),
-        (F.col("block") + F.col("seq") - F.lit(skip)).alias("pos"),
-        csv_fields("value").alias("__v"),
-        csv_fields("head").alias("__h"),
-    )
-    exploded = cells.select(
-        "*", F.posexplode(F.slice("__v", 2, F.greatest(F.size("__v") - 1, F.lit(1)))).alias("__i", "__text"))
-    period = F.try_element_at("__h", (F.col("__i") + 2).cast("int"))
-    return (exploded
-            .where(period.isNotNull())
-            .select(*[c for c in cells.columns if not c.startswith("__")],
-                    F.col("__v").getItem(0).alias("item"),
-                    F.col("__h").getItem(0).alias("label"),
-                    period.alias("period"),
-                    X.volume_number("__text").alias("value")))
+    cells = lines.select(*_sheet_keys(lines), (F.col("line") - F.lit(skip)).alias("pos"),
+                         csv_fields("value").alias("__v"), csv_fields("head").alias("__h"))
+    names = F.slice("__h", F.lit(2), F.greatest(F.size("__h") - 1, F.lit(0)))
+    exploded = cells.select("*", F.posexplode(names).alias("__i", "period"))
+    return exploded.select(*[c for c in cells.columns if not c.startswith("__")],
+                           F.get(F.col("__v"), F.lit(0)).alias("item"),
+                           F.get(F.col("__h"), F.lit(0)).alias("label"), "period",
+                           X.volume_number(F.get(F.col("__v"), F.col("__i") + 1)).alias("value"))
 
 
 # -- writers (fixtures and exports) ---------------------------------------------
@@ -228,40 +187,46 @@ def _writers(df: DataFrame) -> int:
 
 def write_offset_csv(df: DataFrame, out: str, columns: Sequence[str], title: str,
                      partition_cols: Sequence[str] = ("Symbol",)) -> str:
-    """One CSV file per partition key: a title line, the header, then the rows.
+    """CSV files per partition key, each with a title line, the header, then rows.
 
-    Rows of one key go to one task so its file starts with title and header.
+    A key of more than about ``ROWS_PER_FILE`` rows gets several files (folders
+    ``part=0``, ``part=1``, ...), so no task writes a hot key alone.
     """
     keys = list(partition_cols)
-    body = df.select(*keys, F.lit(2).alias("__o"), F.to_csv(F.struct(*columns)).alias("value"))
-    heads = df.select(*keys).distinct()
-    head_rows = heads.select(*keys, F.lit(1).alias("__o"), F.lit(",".join(columns)).alias("value"))
-    title_rows = heads.select(*keys, F.lit(0).alias("__o"),
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    parts = sizes.select(*keys, F.ceil(F.col("__n") / ROWS_PER_FILE).cast("int").alias("__parts"))
+    rows = df.join(parts, keys)
+    body = rows.select(*keys, F.pmod(F.xxhash64(*columns), "__parts").cast("int").alias("part"),
+                       F.lit(2).alias("__o"), F.to_csv(F.struct(*columns)).alias("value"))
+    files = parts.select(*keys, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("part"))
+    head_rows = files.select(*keys, "part", F.lit(1).alias("__o"), F.lit(",".join(columns)).alias("value"))
+    title_rows = files.select(*keys, "part", F.lit(0).alias("__o"),
                               F.concat_ws(" ", *[F.col(k).cast("string") for k in keys], F.lit(title))
                               .alias("value"))
     allrows = title_rows.unionByName(head_rows).unionByName(body)
-    (allrows.repartition(_writers(df), *keys).sortWithinPartitions(*keys, "__o")
-     .select(*keys, "value").write.partitionBy(*keys).mode("errorifexists").text(out))
+    (allrows.repartition(_writers(df), *keys, "part").sortWithinPartitions(*keys, "part", "__o")
+     .select(*keys, "part", "value").write.partitionBy(*keys, "part").mode("errorifexists").text(out))
     return out
 
 
-def write_sheets(long: DataFrame, out: str, title: str = "REPORT") -> str:
+def write_sheets(long: DataFrame, out: str, title: str = "REPORT", short: bool = False) -> str:
     """Long sheet rows -> one CSV per (Symbol, report, freq) in folder
     ``sheet=<symbol>_<report>_<freq>``: title line, header (label, then the
-    sheet's periods in order) and one line per item."""
+    sheet's periods in order) and one line per item. ``short`` leaves out the
+    empty cells at the end of a line, as some reports do. One report of one
+    company is one file; its size does not grow with the number of companies."""
     keys = ["Symbol", "report", "freq"]
     periods = (long.groupBy(*keys)
                .agg(F.array_sort(F.collect_set("period")).alias("periods"),
                     F.first("label", ignorenulls=True).alias("label")))
-    cells = long.groupBy(*keys, "pos", "item", "period").agg(F.max("value").alias("value"))
-    items = (cells.groupBy(*keys, "pos", "item")
+    items = (long.groupBy(*keys, "pos", "item")
              .agg(F.map_from_entries(F.collect_list(F.struct("period", "value"))).alias("cells")))
     joined = items.join(periods.select(*keys, "periods"), keys)
     text_cells = F.transform("periods", lambda p: F.coalesce(F.element_at("cells", p).cast("string"), F.lit("")))
+    line = F.concat_ws(",", F.to_csv(F.struct(F.col("item").alias("i"))), F.array_join(text_cells, ","))
     sheet = F.concat_ws("_", "Symbol", "report", F.col("freq").cast("string")).alias("sheet")
     body = joined.select(sheet, F.lit(2).alias("__o"), F.col("pos").alias("__p"),
-                         F.concat_ws(",", F.to_csv(F.struct(F.col("item").alias("i"))), F.array_join(text_cells, ","))
-                         .alias("value"))
+                         (F.regexp_replace(line, ",+$", "") if short else line).alias("value"))
     head = periods.select(sheet, F.lit(1).alias("__o"), F.lit(0).alias("__p"),
                           F.concat_ws(",", F.to_csv(F.struct(F.col("label").alias("l"))),
                                       F.array_join("periods", ",")).alias("value"))

@@ -1,24 +1,29 @@
 """Parquet tables under one root folder (a shared filesystem on a cluster).
 
-Appends go straight into a table's current version. A full rewrite writes a
-complete new version next to the old one and only then becomes current, so a
-job never overwrites files it is reading and a failed rewrite leaves the
-previous version intact. A version is current once its ``_SUCCESS`` marker
-exists; readers take the highest such version.
-
-The price history -- by far the largest table -- is laid out in ``bucket=``
-folders by a hash of Symbol. A ticker rename then replaces only the buckets its
-old and new symbols live in (dynamic partition overwrite of a checkpointed
-copy), instead of rewriting years of history for every symbol.
+A run writes every table it changes into folders named by its run id and commits
+them all at once: a manifest file, made visible by a single rename, lists the
+folders that make up each table. Until then nothing of the run is visible, so a
+run that stops anywhere can be repeated under the same id: it starts from the
+committed state and overwrites its own folders. A run that is already committed
+is not applied again.
+
+The large tables are laid out in ``bucket=`` folders by a hash of Symbol. A
+ticker rename rewrites only the buckets its symbols live in: the new folder holds
+them, and the manifest no longer lists them for the older folders. One writer at
+a time; readers see the last committed manifest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import copy
+import json
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Stored table names (the key table keeps its historic name).
 KEY_TABLE = "AllStocksKey"
@@ -28,16 +33,43 @@ DIVIDENDS = "Dividends"
 LATEST = "LatestPrice"
 STATUS = "Status"
 
-PARTITIONS = {SHEETS: ["report", "freq"], STATUS: ["run_id"]}
 BUCKET = "bucket"
+MANIFESTS = "_manifests"
+# Run folders per table before a run merges them.
+MOST_FOLDERS = 32
+
+KEY_SCHEMA = T.StructType([T.StructField("Symbol", T.StringType()), T.StructField("Market", T.StringType())])
+PRICE_SCHEMA = T.StructType([
+    T.StructField("Symbol", T.StringType()), T.StructField("Reference", T.DateType()),
+    T.StructField("Open", T.DoubleType()), T.StructField("High", T.DoubleType()),
+    T.StructField("Low", T.DoubleType()), T.StructField("Close", T.DoubleType()),
+    T.StructField("Volume", T.DoubleType())])
+LATEST_SCHEMA = T.StructType([T.StructField("Symbol", T.StringType()),
+                              T.StructField("last_reference", T.DateType())])
+SHEET_SCHEMA = T.StructType([
+    T.StructField("Symbol", T.StringType()), T.StructField("pos", T.LongType()),
+    T.StructField("item", T.StringType()), T.StructField("label", T.StringType()),
+    T.StructField("period", T.StringType()), T.StructField("value", T.DoubleType()),
+    T.StructField("report", T.StringType()), T.StructField("freq", T.IntegerType())])
+STATUS_SCHEMA = T.StructType([
+    T.StructField("job", T.StringType()), T.StructField("step", T.StringType()),
+    T.StructField("Symbol", T.StringType()), T.StructField("status", T.StringType()),
+    T.StructField("n_rows", T.LongType()), T.StructField("run_id", T.StringType()),
+    T.StructField("run_ts", T.TimestampType())])
+# Tables with a fixed schema are read with it; others (dividends) may gain columns and are merged.
+SCHEMAS = {KEY_TABLE: KEY_SCHEMA, PRICES: PRICE_SCHEMA, LATEST: LATEST_SCHEMA, SHEETS: SHEET_SCHEMA, STATUS: STATUS_SCHEMA}
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def symbol_bucket(symbol, buckets: int) -> Column:
     col = F.col(symbol) if isinstance(symbol, str) else symbol
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
@@ -49,109 +81,155 @@ class Store:
     root: str
     # Symbol buckets per table (folder layout). Size so one bucket holds a few
     # GB at the target scale, e.g. 1024-4096 for a multi-TB price history.
-    buckets: dict = field(default_factory=lambda: {PRICES: 16})
-
-    def _versions(self, name: str) -> list[int]:
-        fs, base = _fs(self.spark, f"{self.root}/{name}")
-        if not fs.exists(base):
-            return []
-        out = []
-        for st in fs.listStatus(base):
-            n = st.getPath().getName()
-            if n.startswith("v=") and fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")):
-                out.append(int(n[2:]))
-        return sorted(out)
-
-    def path(self, name: str) -> str | None:
-        v = self._versions(name)
-        return f"{self.root}/{name}/v={v[-1]}" if v else None
+    buckets: dict = field(default_factory=lambda: {PRICES: 16, SHEETS: 16, DIVIDENDS: 16})
 
-    def exists(self, name: str) -> bool:
-        return self.path(name) is not None
+    def manifest(self) -> tuple[int, dict]:
+        """Number and content of the last committed manifest (0 and empty before the first run)."""
+        done = [n for n in _names(self.spark, f"{self.root}/{MANIFESTS}") if n.endswith(".json") and n[0] != "."]
+        if not done:
+            return 0, {"runs": [], "tables": {}}
+        text = self.spark.read.option("wholetext", "true").text(f"{self.root}/{MANIFESTS}/{done[-1]}").first()[0]
+        return int(done[-1].split(".")[0]), json.loads(text)
+
+    def run(self, run_id: str) -> Run:
+        return Run(self, run_id)
+
+    def view(self) -> Run:
+        """The committed tables, to read."""
+        return Run(self, "")
 
     def read(self, name: str) -> DataFrame:
-        p = self.path(name)
-        if p is None:
+        return self.view().read(name)
+
+    def exists(self, name: str) -> bool:
+        return self.view().exists(name)
+
+    def tables(self) -> list[str]:
+        return self.view().names()
+
+    def sweep(self) -> list[str]:
+        """Delete folders that no table lists: those of stopped runs and of replaced data. No run may be under way."""
+        _, state = self.manifest()
+        live = {e["path"] for entries in state["tables"].values() for e in entries}
+        gone = []
+        for table in _names(self.spark, self.root):
+            if table == MANIFESTS:
+                continue
+            for name in _names(self.spark, f"{self.root}/{table}"):
+                if f"{table}/{name}" not in live:
+                    fs, p = _fs(self.spark, f"{self.root}/{table}/{name}")
+                    fs.delete(p, True)
+                    gone.append(f"{table}/{name}")
+        return gone
+
+
+class Run:
+    """One run's view of the tables: the committed state plus its own changes, which ``commit`` publishes together."""
+
+    def __init__(self, store: Store, run_id: str):
+        self.store, self.spark, self.run_id = store, store.spark, run_id
+        self.number, state = store.manifest()
+        self.state = copy.deepcopy(state)
+        self.entries: dict[str, list[dict]] = self.state["tables"]
+        self.done = run_id in self.state["runs"]
+        self.writes = 0
+
+    def names(self) -> list[str]:
+        return sorted(self.entries)
+
+    def exists(self, name: str) -> bool:
+        return name in self.entries
+
+    def read(self, name: str, only: list[int] | None = None) -> DataFrame:
+        """The table's rows; ``only`` reads just those buckets."""
+        if name not in self.entries:
             raise ValueError(f"table {name} does not exist")
-        df = self.spark.read.option("mergeSchema", "true").parquet(p)
-        return df.drop(BUCKET) if name in self.buckets else df
-
-    def read_or_empty(self, name: str, schema) -> DataFrame:
-        if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.read(name)
-
-    def create(self, name: str, df: DataFrame) -> str:
-        """Create a table; an existing one is an error (nothing is replaced)."""
-        if self.exists(name):
-            raise ValueError(f"table {name} already exists")
-        return self._write(name, df, 0, "errorifexists")
-
-    def append(self, name: str, df: DataFrame) -> str:
-        """Append rows (new columns allowed: readers merge schemas)."""
-        v = self._versions(name)
-        if not v:
-            return self._write(name, df, 0, "errorifexists")
-        return self._write(name, df, v[-1], "append")
-
-    def rewrite(self, name: str, df: DataFrame) -> str:
-        """Write ``df`` as the next version; it becomes current when complete."""
-        v = self._versions(name)
-        return self._write(name, df, (v[-1] + 1) if v else 0, "errorifexists")
-
-    def rename_symbols(self, name: str, mapping: DataFrame, apply) -> None:
-        """Apply a rename map (Old -> New) to a stored table.
-
-        Bucketed tables: only the buckets of the map's Old and New symbols are
-        read (partition pruning), renamed, checkpointed and written back with a
-        dynamic partition overwrite; buckets left empty are removed. Other
-        tables -- and a bucketed one whose buckets mostly change -- get a full
-        rewrite into a new version. ``apply(df, mapping)``
-        does the renaming.
+        return self._rows(name, self.entries[name], only)
+
+    def read_or_empty(self, name: str, schema=None) -> DataFrame:
+        if name in self.entries:
+            return self.read(name)
+        return self.spark.createDataFrame([], schema or SCHEMAS[name])
+
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        """Add rows (a table without a fixed schema may gain columns); returns them as stored."""
+        entry = self._write(name, df)
+        self.entries.setdefault(name, []).append(entry)
+        return self._rows(name, [entry])
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Make ``df`` the whole table; it may read the table's present rows."""
+        entry = self._write(name, df)
+        self.entries[name] = [entry]
+        return self._rows(name, [entry])
+
+    def rename_symbols(self, name: str, mapping: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Apply a rename map (Old -> New): only the buckets of its Old and New symbols are rewritten.
+
+        Tables without buckets hold one row per symbol and are replaced. An empty map changes nothing.
         """
-        if name not in self.buckets:
-            self.rewrite(name, apply(self.read(name), mapping))
+        n = self.store.buckets.get(name)
+        if n is None:
+            if not mapping.isEmpty():
+                self.replace(name, apply(self.read(name), mapping))
             return
-        n, path = self.buckets[name], self.path(name)
-        moved = mapping.select(F.explode(F.array("Old", "New")).alias("s")).select(
-            symbol_bucket("s", n).alias("b")).distinct()
+        moved = mapping.select(F.explode(F.array("Old", "New")).alias("s")).select(symbol_bucket("s", n).alias("b")).distinct()
         touched = sorted(r.b for r in moved.collect())  # at most n small ints
         if not touched:
             return
-        if 2 * len(touched) >= n:  # most buckets change: one full rewrite is cheaper
-            self.rewrite(name, apply(self.read(name), mapping))
-            return
-        cur = self.spark.read.parquet(path).where(F.col(BUCKET).cast("int").isin(touched)).drop(BUCKET)
-        renamed = apply(cur, mapping)
-        renamed = (renamed.withColumn(BUCKET, symbol_bucket("Symbol", n)).hint("rebalance", BUCKET)
-                   .checkpoint(eager=True))
-        (renamed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(path))
-        kept = {r[BUCKET] for r in renamed.select(BUCKET).distinct().collect()}
-        fs, _ = _fs(self.spark, path)
-        jvm = self.spark.sparkContext._jvm
-        for b in touched:
-            if b not in kept:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={b}"), True)
-
-    def tables(self) -> list[str]:
-        fs, base = _fs(self.spark, self.root)
-        if not fs.exists(base):
-            return []
-        return sorted(st.getPath().getName() for st in fs.listStatus(base)
-                      if self.exists(st.getPath().getName()))
-
-    def _write(self, name: str, df: DataFrame, version: int, mode: str) -> str:
-        target = f"{self.root}/{name}/v={version}"
-        parts: Sequence[str] = PARTITIONS.get(name, [])
-        if name in self.buckets:
-            # Rebalance by bucket: one file per bucket per write, while AQE
-            # splits a bucket that holds a hot symbol over several tasks.
-            df = df.withColumn(BUCKET, symbol_bucket("Symbol", self.buckets[name])).hint("rebalance", BUCKET)
-            parts = [BUCKET]
-        w = df.write.mode(mode)
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(target)
-        return target
+        entry = self._write(name, apply(self.read(name, touched), mapping))
+        kept = [{**e, "buckets": [b for b in e["buckets"] if b not in touched]} for e in self.entries[name]]
+        self.entries[name] = [e for e in kept if e["buckets"]] + [entry]
+
+    def compact(self, name: str, most: int = MOST_FOLDERS) -> None:
+        """Merge a table's run folders into one once there are more than ``most``; its rows stay the same."""
+        if len(self.entries.get(name, [])) > most:
+            self.replace(name, self.read(name))
+
+    def commit(self) -> None:
+        """Publish all changes of the run by one rename."""
+        self.state["runs"].append(self.run_id)
+        root = f"{self.store.root}/{MANIFESTS}"
+        fs, tmp = _fs(self.spark, f"{root}/.{uuid.uuid4().hex}")
+        out = fs.create(tmp)
+        out.write(bytearray(json.dumps(self.state).encode()))
+        out.close()
+        final = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{self.number + 1:012d}.json")
+        if fs.exists(final) or not fs.rename(tmp, final):
+            raise RuntimeError(f"another run committed manifest {self.number + 1} meanwhile; repeat run {self.run_id}")
+        self.done = True
+
+    def _rows(self, name: str, entries: list[dict], only: list[int] | None = None) -> DataFrame:
+        root = self.store.root
+        paths = []
+        for e in entries:
+            if e["buckets"] is None:
+                paths.append(f"{root}/{e['path']}")
+            else:
+                paths += [f"{root}/{e['path']}/{BUCKET}={b}" for b in e["buckets"] if only is None or b in only]
+        schema = SCHEMAS.get(name)
+        if not paths:
+            shape = schema or self._rows(name, entries).schema
+            return self.spark.createDataFrame([], shape)
+        if schema is not None:
+            return self.spark.read.schema(schema).parquet(*paths)
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+
+    def _write(self, name: str, df: DataFrame) -> dict:
+        if not self.run_id:
+            raise ValueError("this view only reads; changes need a run id")
+        if name in SCHEMAS:
+            df = df.select(*SCHEMAS[name].fieldNames())
+        self.writes += 1
+        path = f"{name}/{self.run_id}-{self.writes:03d}"
+        target = f"{self.store.root}/{path}"
+        n = self.store.buckets.get(name)
+        if n is None:
+            df.write.mode("overwrite").parquet(target)
+            return {"path": path, "buckets": None}
+        # Rebalance by bucket: one file per bucket and write, while AQE splits a
+        # bucket that holds a hot symbol over several tasks.
+        df = df.withColumn(BUCKET, symbol_bucket("Symbol", n)).hint("rebalance", BUCKET)
+        df.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        found = [x for x in _names(self.spark, target) if x.startswith(f"{BUCKET}=")]
+        return {"path": path, "buckets": sorted(int(x.split("=")[1]) for x in found)}
