@@ -1,8 +1,8 @@
 """Token ids of whole texts by a ``tokenizers`` file, remembered per word.
 
 The file's pre-tokenizer cuts a text into words whose ids do not depend on their
-surroundings, so each distinct word goes through the library once per task and
-is looked up afterwards. Texts with characters outside the plain Latin range, or
+surroundings (no word holds white space), so each distinct blank-separated chunk is
+cut and looked up once per task, and each distinct word goes through the library once. Texts with characters outside the plain Latin range, or
 with the file's special strings, go through the library whole.
 """
 
@@ -14,7 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 400_000
+#: Chunks, and words, remembered per Python worker.
+REMEMBERED = 300_000
 
 
 def _class(kinds: str) -> str:
@@ -35,23 +36,34 @@ class WordIds:
         special = "|".join(re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values())
         # The capital dotted I lower-cases to two characters, one outside the range.
         self.odd = re.compile(rf"[^\t\n\r\x20-\x7E¡-¬®-ɏ]|İ" + (f"|{special}" if special else ""))
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _chunk(self, chunk: str) -> bytes:
+        words, out = self.words, []
+        for word in self.word.findall(chunk):
+            b = words.get(word)
+            if b is None:
+                b = self._library(word)
+                if len(words) < REMEMBERED:
+                    words[word] = b
+            out.append(b)
+        ids = b"".join(out)
+        if len(self.chunks) < REMEMBERED:
+            self.chunks[chunk] = ids
+        return ids
+
     def ids(self, text: str) -> bytes:
         if self.odd.search(text):
             return self._library(text)
-        known = self.known
+        get, cut = self.chunks.get, self._chunk
         out = []
-        for word in self.word.findall(text.lower()):
-            b = known.get(word)
-            if b is None:
-                b = self._library(word)
-                if len(known) < REMEMBERED:
-                    known[word] = b
-            out.append(b)
+        for chunk in text.lower().split():
+            b = get(chunk)
+            out.append(cut(chunk) if b is None else b)
         return b"".join(out)
 
 
