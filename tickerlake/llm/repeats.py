@@ -47,9 +47,9 @@ WINDOW = LEAST - GRAM + 1
 #: Positions handled at once (they fit the processor's cache), and the bits that hold a position.
 CHUNK, PLACE_BITS = 1 << 17, 24
 #: Anchors a task gathers before it sends them on, anchors per bucket, and context bytes per bucket.
-FLUSH_ENTRIES, BUCKET_ENTRIES, BUCKET_BYTES = 1_500_000, 3_000_000, 12_000_000
-FLUSH_BYTES = 24_000_000
-PIECE_BYTES = 4 << 20
+FLUSH_ENTRIES, BUCKET_ENTRIES, BUCKET_BYTES = 1_000_000, 2_000_000, 4_000_000
+FLUSH_BYTES = 5_000_000
+PIECE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -301,9 +301,15 @@ def window_minimum(body: np.ndarray, size: np.ndarray, ids: np.ndarray, least: i
 def _equal_contexts(body: np.ndarray, size: np.ndarray) -> np.ndarray:
     """128-bit identities (as rows of two integers) of contexts laid end to end."""
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
-    one = V.word_hashes(body, start, start + size)
-    two = V.word_hashes(255 - body, start, start + size)
-    return np.stack([one, V.mix(two, 5)], axis=1)
+    marks = np.empty((len(size), 2), np.uint64)
+    step = 8192  # contexts at once: the hash takes some 40 bytes of memory per byte
+    for a in range(0, len(size), step):
+        z = min(len(size), a + step)
+        part = body[start[a]:start[z - 1] + size[z - 1]]
+        at, length = start[a:z] - start[a], size[a:z]
+        marks[a:z, 0] = V.word_hashes(part, at, at + length)
+        marks[a:z, 1] = V.mix(V.word_hashes(255 - part, at, at + length), 5)
+    return marks
 
 
 def _distinct(marks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
