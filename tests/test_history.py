@@ -62,4 +62,4 @@ def test_route_report(spark):
                                  ("B", "bs", 6, 1, "x", "2021", 1.0)], schema)
     got = rows(history.route_report(stored, inc), "Symbol", "table")
     assert got == [("A", "TenQCashflow"), ("B", "TenKIncome")]
-    assert history.unroutable(inc).count() == 2
+    assert rows(history.route_rejects(inc), "Symbol", "report", "freq", "n_rows") == [("B", "bs", 6, 1), ("B", "zz", 12, 1)]

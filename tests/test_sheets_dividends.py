@@ -34,13 +34,22 @@ def test_format_sheet_wide(spark):
 
 
 def test_format_sheet_requires_fiscal_label(spark):
-    with pytest.raises(ValueError, match="Fiscal"):
-        sheets.format_sheet(_sheet(spark, label="Something else"), "cf", ["2015"], freq=12)
+    with pytest.raises(Exception, match="Fiscal"):  # raised where the rows are read: building the report runs no job
+        sheets.format_sheet(_sheet(spark, label="Something else"), "cf", ["2015"], freq=12).collect()
     assert sheets.format_sheet(_sheet(spark, label="Other"), "cf", ["2015"], freq=12, strict=False).count() == 0
     with pytest.raises(ValueError):
         sheets.format_sheet(_sheet(spark), "xx", ["2015"])
 
 
+def test_format_sheet_keeps_every_live_period_and_rejects_double_cells(spark):
+    df = spark.createDataFrame([("A", "is", 3, 1, "x", LABEL, "2014-Q1", 1.0), ("A", "is", 3, 2, "y", LABEL, "2015-Q1", None),
+                                ("B", "is", 3, 1, "x", LABEL, "1999-Q4", 3.0)], SHEET)
+    assert sheets.format_sheet(df, "is", freq=3).columns == ["Symbol", "pos", "Income_item", "1999-Q4", "2014-Q1"]
+    assert rows(sheets.format_sheet(df.where("value is null"), "is", freq=3)) == [("A", 2, "y")]
+    with pytest.raises(Exception, match="two cells"):
+        sheets.format_sheet(df.unionByName(df), "is", freq=3).collect()
+
+
 DIV = "Symbol string, `Ex-Dividend Date` string, `Declaration Date` string, `Record Date` string, " \
       "`Payable Date` string, `Dividend Type` string, Amount string"
 

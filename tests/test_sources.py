@@ -27,8 +27,8 @@ def test_read_offset_csv_title_and_blank_lines(spark):
 def test_read_offset_csv_skip_two(spark):
     d = tempfile.mkdtemp(prefix="tl-ratios-")
     _write(d, "ACME.csv", "Growth ratios for ACME\nKey Financials USD\nitem,2016,2017\nRevenue,1,2\n")
-    out = CSV.read_offset_csv(spark, d, 2, "item STRING, a STRING, b STRING")
-    assert rows(out, "Symbol", "item", "a", "b") == [("ACME", "Revenue", "1", "2")]
+    out = CSV.read_offset_csv(spark, d, 2, "item STRING, `2016` STRING, `2017` STRING")
+    assert rows(out, "Symbol", "item", "2016", "2017") == [("ACME", "Revenue", "1", "2")]
 
 
 def test_read_sheets_quoted_and_empty_cells(spark):
@@ -60,7 +60,7 @@ def test_large_file_split_across_tasks(spark):
         assert {r.Symbol: r["count"] for r in agg} == {"BIG": 60000, "SMALL": 1}
         assert out.where("period is null or value is null").count() == 0
         assert out.where("Symbol = 'BIG'").select("pos").distinct().count() == 20000
-        prices = CSV.read_offset_csv(spark, d, 1, "item STRING, a DOUBLE")
+        prices = CSV.read_offset_csv(spark, d, 1, "`Fiscal year ends` STRING, P0 DOUBLE")
         assert prices.where("Symbol = 'BIG'").count() == 20000
     finally:
         for k, v in old.items():
@@ -91,16 +91,78 @@ def test_read_key_ratios_header_on_row_three(spark):
                    ("ACME", "Revenue USD Mil", "", "TTM", None)]
 
 
-def test_split_check_uses_smaller_of_both_limits(spark):
-    d = tempfile.mkdtemp(prefix="tl-limit-")
-    _write(d, "X.csv", "t\nh\n" + "a,1\n" * 5000)   # ~20 KB
+def _with_splits(spark, size, fn):
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "4096")
     try:
-        spark.conf.set("spark.sql.files.openCostInBytes", "1g")
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
-        assert CSV._may_split(spark, d)
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1g")
-        assert not CSV._may_split(spark, d)
+        return fn()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_rows_and_pos_do_not_depend_on_splits(spark):
+    d = tempfile.mkdtemp(prefix="tl-splits-")
+    _write(d, "BIG.csv", "title\n\nFiscal year,2015,2016\n" + "".join(f"item {i},{i},{i + 1}\n\n" for i in range(4000)))
+    _write(d, "LATE.csv", "title " + "x" * 40000 + "\nFiscal year,2015\nonly,1\n")  # the header is in a later split
+    got = [_with_splits(spark, size, lambda: rows(CSV.read_sheets(spark, d, 1))) for size in ("8192", "100000", "128m")]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 8001
+    orders = [_with_splits(spark, size, lambda: rows(CSV.read_offset_csv(spark, d, 1, "`2016` DOUBLE"))) for size in ("8192", "128m")]
+    assert orders[0] == orders[1]
+
+
+def test_short_and_comma_free_lines_keep_their_cells(spark):
+    d = tempfile.mkdtemp(prefix="tl-short-")
+    _write(d, "ACME.csv", "t\nFiscal year,2015,2016\nA,1,2\nSection\nB,3\n")
+    got = rows(CSV.read_sheets(spark, d, 1), "pos", "item", "period", "value")
+    assert got == sorted([(1, "A", "2015", 1.0), (1, "A", "2016", 2.0), (2, "Section", "2015", None), (2, "Section", "2016", None),
+                          (3, "B", "2015", 3.0), (3, "B", "2016", None)], key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_cells_go_by_header_name(spark):
+    d = tempfile.mkdtemp(prefix="tl-order-")
+    _write(d, "A.csv", "t\nDate,Close,High,Low,Open,Extra\n1/2/2020,9,8,7,6,x\n")
+    r = CSV.read_offset_csv(spark, d, 1, PRICE_SCHEMA).first()
+    assert (r.Open, r.High, r.Low, r.Close, r.Volume) == (6.0, 8.0, 7.0, 9.0, None)
+    assert [x.Symbol for x in CSV.header_mismatches(spark, d, 1, ["Date", "Volume"]).collect()] == ["A"]
+
+
+def test_folder_symbols_stay_text_under_default_inference(spark):
+    d = tempfile.mkdtemp(prefix="tl-names-")
+    for name in ("007", "1E5", "NA"):
+        _write(f"{d}/Symbol={name}", "x.csv", "t\nDate,Open\n1/2/2020,1\n")
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        assert rows(CSV.read_offset_csv(spark, d, 1, "Open DOUBLE"), "Symbol") == [("007",), ("1E5",), ("NA",)]
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_very_wide_quoted_lines(spark):
+    d = tempfile.mkdtemp(prefix="tl-wide-")
+    n = 10_000
+    cells = ",".join(f'"{i},0"' for i in range(n))
+    _write(d, "W.csv", "t\nFiscal," + ",".join(f"P{i}" for i in range(n)) + f'\n"a ""quoted"" item",{cells}\n' + '"' + '""' * 50_000 + '",1\n')
+    out = CSV.read_sheets(spark, d, 1)
+    assert out.count() == 2 * n and out.where("item = 'a \"quoted\" item' and value is not null").count() == n
+
+
+def test_read_listing(spark):
+    d = tempfile.mkdtemp(prefix="tl-list-")
+    _write(d, "nasdaq.csv", '\ufeff"Symbol","Name","LastSale","MarketCap","industry","Summary Quote",\n'
+                            '"AA ","A, Inc","1.015","$1.2B","x","q",\n"NA","N","n/a","n/a","","q",\n')
+    out = CSV.read_listing(spark, d)
+    assert out.columns == ["Symbol", "Name", "LastSale", "MarketCap", "industry", "Summary Quote", "pos"]
+    assert rows(out, "pos", "Symbol", "Name", "MarketCap", "industry") == [(1, "AA ", "A, Inc", "$1.2B", "x"), (2, "NA", "N", "n/a", None)]
+
+
+def test_hot_key_gets_several_files(spark, monkeypatch):
+    from tickerlake.session import shared_dir
+    monkeypatch.setattr(CSV, "ROWS_PER_FILE", 100)
+    df = spark.range(950).selectExpr("if(id < 900, 'HOT', 'S') as Symbol", "cast(id as string) as Date", "cast(id as double) as Open")
+    out = CSV.write_offset_csv(df, shared_dir(spark, "test-hot"), ["Date", "Open"], "t")
+    assert len(os.listdir(os.path.join(out.removeprefix("file:"), "Symbol=HOT"))) == 9
+    assert rows(CSV.read_offset_csv(spark, out, 1, "Date STRING, Open DOUBLE"), "Symbol", "Date", "Open") == rows(df, "Symbol", "Date", "Open")

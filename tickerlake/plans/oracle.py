@@ -13,7 +13,7 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 SHEET_LABEL = "Fiscal year ends in December. USD in millions"
 DIVIDEND_AS_OF, DIVIDEND_YEARS = "2001-08-01", 3
 ANNUAL_PERIODS = ["1995", "1996", "1997", "1998", "1999", "2000", "2001"]
-QUARTERLY_PERIODS = [f"{y}-Q{q}" for y in ANNUAL_PERIODS for q in (1, 2, 3, 4)]
+QUARTERLY_PERIODS = [f"{y}-Q{q}" for y in ANNUAL_PERIODS for q in (1, 2, 3, 4)][:-1]  # orders end in 2001-Q3
 
 
 def _num(x: str) -> str:
