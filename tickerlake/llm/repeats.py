@@ -47,8 +47,8 @@ WINDOW = LEAST - GRAM + 1
 #: Positions handled at once (they fit the processor's cache), and the bits that hold a position.
 CHUNK, PLACE_BITS = 1 << 17, 24
 #: Anchors a task gathers before it sends them on, anchors per bucket, and context bytes per bucket.
-FLUSH_ENTRIES, BUCKET_ENTRIES, BUCKET_BYTES = 1_000_000, 2_000_000, 4_000_000
-FLUSH_BYTES = 5_000_000
+FLUSH_ENTRIES, BUCKET_ENTRIES, BUCKET_BYTES = 500_000, 1_000_000, 1_500_000
+FLUSH_BYTES = 3_000_000
 PIECE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 
