@@ -31,7 +31,7 @@ from tickerlake.llm import textvec as V
 from tickerlake.llm.common import stored
 
 #: Labelled rows that the models are fitted on, at most: those with the smallest hash of their id.
-MOST_LABELLED = 12_000
+MOST_LABELLED = 8_000
 HASH_BITS = 20
 #: Hashed features kept after screening.
 MOST_FEATURES = 6_000
@@ -159,10 +159,13 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list
     rows = labelled_sample(docs, labels, most).mapInArrow(run, "body binary, poor boolean, toxic boolean").collect()
     rows.sort(key=lambda r: (bytes(r["body"]), r["poor"], r["toxic"]))  # the fit does not depend on the rows' arrival
     rows = rows[:most]  # ids of the sample that stand on several rows
-    parts = [np.frombuffer(r["body"], "<u4").astype(np.int64) for r in rows]
-    feature = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(parts)), [len(p) for p in parts]) if parts else np.zeros(0, np.int64)
-    return [fit(doc, feature, np.array([float(r[name]) for r in rows])) for name in ("poor", "toxic")]
+    y = {name: np.array([float(r[name]) for r in rows]) for name in ("poor", "toxic")}
+    body = [bytes(r["body"]) for r in rows]
+    del rows
+    doc = np.repeat(np.arange(len(body), dtype=np.int32), [len(b) // 4 for b in body])
+    feature = np.frombuffer(b"".join(body), "<i4")
+    del body
+    return [fit(doc, feature, y[name]) for name in ("poor", "toxic")]
 
 
 def evidence(models: list[Linear], text: Column) -> Column:
