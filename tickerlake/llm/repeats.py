@@ -9,7 +9,7 @@ smaller id is removed. Matches never cross documents.
    smallest hash is the window's anchor; equal windows have equal anchors. Anchors
    that only one text holds are dropped: every window of theirs is unique. No repeat is lost.
 3. Each remaining anchor is sent, with the bytes of its windows (its context), to the
-   bucket of its hash. Contexts that are equal within a task are sent once.
+   bucket of its hash. Contexts that are equal within a task are sent once, with their places.
 4. A bucket joins its distinct contexts to one string, sorts its suffixes, and takes
    their common prefix lengths from the Burrows-Wheeler transform breadth first:
    entries with value l are found by extending those with smaller values
@@ -344,14 +344,21 @@ def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
         gone = ids > ids[pick][which]
         gone_tid, gone_spans = _span_rows(tid[gone], first[gone], (first + size)[gone])
         out = [(buckets + int(np.int64(t).view(np.uint64) % U64(buckets)), np.int64(t).tobytes(), b"", b"", b"", s) for t, s in zip(gone_tid, gone_spans)]
-        keep = np.flatnonzero(~gone)
-        # Of equal contexts with equal ids (one text holding a passage twice) all are sent.
-        keep = keep[np.argsort(bucket_of(keys[keep], buckets), kind="stable")]
-        cut = np.searchsorted(bucket_of(keys[keep], buckets), np.arange(buckets + 1))
+        # Of equal contexts with equal ids, one goes on per text, with all its places.
+        rest = np.flatnonzero(~gone)
+        rest = rest[np.lexsort((first[rest], tid[rest], which[rest]))]
+        new = np.ones(len(rest), bool)
+        new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
+        head = np.flatnonzero(new)
+        times = np.diff(np.concatenate([head, [len(rest)]]))
+        order = np.argsort(bucket_of(keys[rest[head]], buckets), kind="stable")
+        cut = np.searchsorted(bucket_of(keys[rest[head]], buckets)[order], np.arange(buckets + 1))
         for b in range(buckets):
-            k = keep[cut[b]:cut[b + 1]]
-            if len(k):
-                out.append((b, tid[k].tobytes(), ids[k].tobytes(), first[k].tobytes(), size[k].astype("<u1").tobytes(),
+            h = order[cut[b]:cut[b + 1]]
+            if len(h):
+                k = rest[head[h]]
+                places = first[rest[np.repeat(head[h], times[h]) + _runs(times[h])]]
+                out.append((b, tid[k].tobytes(), ids[k].tobytes(), places.tobytes(), np.stack([size[k], times[h]]).astype("<u4").tobytes(),
                             gather(body, start[k], size[k]).tobytes()))
         cols = list(zip(*out)) if out else [[]] * 6
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
@@ -388,22 +395,25 @@ def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
             return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tid").to_pylist()], pa.int64()),
                              "spans": table.column("body").cast(pa.binary())})
         read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-        tid, ids, first = read("tid", np.int64), read("ids", np.int64), read("first", np.int64)
-        size, body = read("size", np.uint8).astype(np.int64), read("body", np.uint8)
+        tid, ids, places, body = read("tid", np.int64), read("ids", np.int64), read("first", np.int64), read("body", np.uint8)
+        size, times = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in table.column("size").to_pylist()], axis=1).astype(np.int64)
         start = np.concatenate([[0], np.cumsum(size)])[:-1]
         pick, which = _distinct(_equal_contexts(body, size), ids)
         low = window_minimum(gather(body, start[pick], size[pick]), size[pick], ids[pick], LEAST)
         n = size - LEAST + 1
         base = np.concatenate([[0], np.cumsum(n[pick])])[:-1]
         within = _runs(n)
-        occurrence = np.repeat(np.arange(len(n)), n)
-        gone = low[base[which][occurrence] + within] < ids[occurrence]
+        owner = np.repeat(np.arange(len(n)), n)
+        gone = low[base[which][owner] + within] < ids[owner]
         fresh = within == 0
         before = np.concatenate([[False], gone[:-1]]) & ~fresh
         after = np.concatenate([gone[1:], [False]]) & ~np.concatenate([fresh[1:], [True]])
         begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
-        o = occurrence[begin]
-        t, spans = _span_rows(tid[o], first[o] + within[begin], first[o] + within[end] + LEAST)
+        # Each run of windows goes at every place of its context.
+        o = owner[begin]
+        many = times[o]
+        place = places[np.repeat(np.concatenate([[0], np.cumsum(times)])[:-1][o], many) + _runs(many)]
+        t, spans = _span_rows(np.repeat(tid[o], many), place + np.repeat(within[begin], many), place + np.repeat(within[end] + LEAST, many))
         return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
 
     sent = rows.select("tid", "id", "text", "keys").mapInArrow(
