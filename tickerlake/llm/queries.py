@@ -6,6 +6,9 @@ import public_tokenizers
 
 from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, mixing, packing, repeats, rules, sharding, tokencount)
 from tickerlake.llm.common import table
+from tickerlake.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 SEQUENCE_TOKENS = 2048
 SHARDS = 40
@@ -58,4 +61,3 @@ QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_jump_sharding, op3_weighted_mixing, op4_one_permutation_minhash, op5_quality_classifier,
     op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op9_repeated_passages, op10_quality_rules)}
 
-ORACLE: dict[str, str] = {}
