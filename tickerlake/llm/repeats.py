@@ -96,7 +96,7 @@ def anchors(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
         begin = np.flatnonzero(new)
         end = np.concatenate([begin[1:], [len(at)]]) - 1
-        keys.append(h[place[begin]])
+        keys.append(V.mix(h[place[begin]], 31))  # anchors have small hashes: mixed again, they spread evenly over the buckets
         firsts.append(a + at[begin])
         lasts.append(a + at[end])
     if not keys:
@@ -332,38 +332,68 @@ def _span_rows(tid: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[lis
     return [int(t) for t in tid[cut[:-1]]], [both[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
 
 
+def _context_rows(held: list[tuple], buckets: int) -> pa.RecordBatch:
+    """One task flush of contexts (key, text, id, place, size, bytes) as packed rows, one per bucket."""
+    keys, tid, ids, first, size = (np.concatenate([h[i] for h in held]) for i in range(5))
+    body = np.concatenate([h[5] for h in held])
+    start = np.concatenate([[0], np.cumsum(size)])[:-1]
+    pick, which = _distinct(_equal_contexts(body, size), ids)
+    # An equal context with a smaller id is here already: all its bytes go, and only that one is sent on.
+    gone = ids > ids[pick][which]
+    gone_tid, gone_spans = _span_rows(tid[gone], first[gone], (first + size)[gone])
+    out = [(buckets + int(np.int64(t).view(np.uint64) % U64(buckets)), np.int64(t).tobytes(), b"", b"", b"", s) for t, s in zip(gone_tid, gone_spans)]
+    # Of equal contexts with equal ids, one goes on per text, with all its places.
+    rest = np.flatnonzero(~gone)
+    rest = rest[np.lexsort((first[rest], tid[rest], which[rest]))]
+    new = np.ones(len(rest), bool)
+    new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
+    head = np.flatnonzero(new)
+    times = np.diff(np.concatenate([head, [len(rest)]]))
+    order = np.argsort(bucket_of(keys[rest[head]], buckets), kind="stable")
+    cut = np.searchsorted(bucket_of(keys[rest[head]], buckets)[order], np.arange(buckets + 1))
+    for b in range(buckets):
+        h = order[cut[b]:cut[b + 1]]
+        if len(h):
+            k = rest[head[h]]
+            places = first[rest[np.repeat(head[h], times[h]) + _runs(times[h])]]
+            out.append((b, tid[k].tobytes(), ids[k].tobytes(), places.tobytes(), np.stack([size[k], times[h]]).astype("<u4").tobytes(),
+                        gather(body, start[k], size[k]).tobytes()))
+    cols = list(zip(*out)) if out else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
+                                      ["bucket", "tid", "ids", "first", "size", "body"])
+
+
+def _bucket_spans(table: pa.Table, buckets: int) -> pa.Table:
+    """(tid, spans) of one bucket's contexts."""
+    if table.column("bucket")[0].as_py() >= buckets:
+        return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tid").to_pylist()], pa.int64()),
+                         "spans": table.column("body").cast(pa.binary())})
+    read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+    tid, ids, places, body = read("tid", np.int64), read("ids", np.int64), read("first", np.int64), read("body", np.uint8)
+    size, times = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in table.column("size").to_pylist()], axis=1).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(size)])[:-1]
+    pick, which = _distinct(_equal_contexts(body, size), ids)
+    low = window_minimum(gather(body, start[pick], size[pick]), size[pick], ids[pick], LEAST)
+    n = size - LEAST + 1
+    base = np.concatenate([[0], np.cumsum(n[pick])])[:-1]
+    within = _runs(n)
+    owner = np.repeat(np.arange(len(n)), n)
+    gone = low[base[which][owner] + within] < ids[owner]
+    fresh = within == 0
+    before = np.concatenate([[False], gone[:-1]]) & ~fresh
+    after = np.concatenate([gone[1:], [False]]) & ~np.concatenate([fresh[1:], [True]])
+    begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
+    # Each run of windows goes at every place of its context.
+    o = owner[begin]
+    many = times[o]
+    place = places[np.repeat(np.concatenate([[0], np.cumsum(times)])[:-1][o], many) + _runs(many)]
+    t, spans = _span_rows(np.repeat(tid[o], many), place + np.repeat(within[begin], many), place + np.repeat(within[end] + LEAST, many))
+    return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
+
+
 def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
     """(tid, spans): what to cut. ``rows`` has (tid, id, text, keys): a text, its smallest id and its shared anchors."""
 
-    def send(held) -> pa.RecordBatch:
-        keys, tid, ids, first, size = (np.concatenate([h[i] for h in held]) for i in range(5))
-        body = np.concatenate([h[5] for h in held])
-        start = np.concatenate([[0], np.cumsum(size)])[:-1]
-        pick, which = _distinct(_equal_contexts(body, size), ids)
-        # An equal context with a smaller id is here already: all its bytes go, and only that one is sent on.
-        gone = ids > ids[pick][which]
-        gone_tid, gone_spans = _span_rows(tid[gone], first[gone], (first + size)[gone])
-        out = [(buckets + int(np.int64(t).view(np.uint64) % U64(buckets)), np.int64(t).tobytes(), b"", b"", b"", s) for t, s in zip(gone_tid, gone_spans)]
-        # Of equal contexts with equal ids, one goes on per text, with all its places.
-        rest = np.flatnonzero(~gone)
-        rest = rest[np.lexsort((first[rest], tid[rest], which[rest]))]
-        new = np.ones(len(rest), bool)
-        new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
-        head = np.flatnonzero(new)
-        times = np.diff(np.concatenate([head, [len(rest)]]))
-        order = np.argsort(bucket_of(keys[rest[head]], buckets), kind="stable")
-        cut = np.searchsorted(bucket_of(keys[rest[head]], buckets)[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            h = order[cut[b]:cut[b + 1]]
-            if len(h):
-                k = rest[head[h]]
-                places = first[rest[np.repeat(head[h], times[h]) + _runs(times[h])]]
-                out.append((b, tid[k].tobytes(), ids[k].tobytes(), places.tobytes(), np.stack([size[k], times[h]]).astype("<u4").tobytes(),
-                            gather(body, start[k], size[k]).tobytes()))
-        cols = list(zip(*out)) if out else [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
-                                          ["bucket", "tid", "ids", "first", "size", "body"])
-
     def emit(batches):
         held, seen = [], 0
         for batch in batches:
@@ -385,40 +415,14 @@ def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
                              first[at] - off[doc[at]], size, gather(data, first[at], size)))
                 seen += int(size.sum())
                 if seen >= FLUSH_BYTES:
-                    yield send(held)
+                    yield _context_rows(held, buckets)
                     held, seen = [], 0
         if held:
-            yield send(held)
-
-    def expand(table: pa.Table) -> pa.Table:
-        if table.column("bucket")[0].as_py() >= buckets:
-            return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tid").to_pylist()], pa.int64()),
-                             "spans": table.column("body").cast(pa.binary())})
-        read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
-        tid, ids, places, body = read("tid", np.int64), read("ids", np.int64), read("first", np.int64), read("body", np.uint8)
-        size, times = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in table.column("size").to_pylist()], axis=1).astype(np.int64)
-        start = np.concatenate([[0], np.cumsum(size)])[:-1]
-        pick, which = _distinct(_equal_contexts(body, size), ids)
-        low = window_minimum(gather(body, start[pick], size[pick]), size[pick], ids[pick], LEAST)
-        n = size - LEAST + 1
-        base = np.concatenate([[0], np.cumsum(n[pick])])[:-1]
-        within = _runs(n)
-        owner = np.repeat(np.arange(len(n)), n)
-        gone = low[base[which][owner] + within] < ids[owner]
-        fresh = within == 0
-        before = np.concatenate([[False], gone[:-1]]) & ~fresh
-        after = np.concatenate([gone[1:], [False]]) & ~np.concatenate([fresh[1:], [True]])
-        begin, end = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
-        # Each run of windows goes at every place of its context.
-        o = owner[begin]
-        many = times[o]
-        place = places[np.repeat(np.concatenate([[0], np.cumsum(times)])[:-1][o], many) + _runs(many)]
-        t, spans = _span_rows(np.repeat(tid[o], many), place + np.repeat(within[begin], many), place + np.repeat(within[end] + LEAST, many))
-        return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
+            yield _context_rows(held, buckets)
 
     sent = rows.select("tid", "id", "text", "keys").mapInArrow(
         emit, "bucket int, tid binary, ids binary, first binary, size binary, body binary")
-    found = sent.groupBy("bucket").applyInArrow(expand, "tid long, spans binary")
+    found = sent.groupBy("bucket").applyInArrow(lambda t: _bucket_spans(t, buckets), "tid long, spans binary")
     return found.groupBy("tid").agg(F.collect_list("spans").alias("spans"))
 
 
