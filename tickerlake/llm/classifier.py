@@ -241,14 +241,13 @@ def classified(docs: DataFrame, labels: DataFrame, host: str = "source", path: s
 def kept_documents(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """The rows of ``docs`` (all its columns) that the classifier keeps.
 
-    Site rates need every score before the first verdict, so the texts are scored
-    twice instead of being shuffled or stored.
+    Site rates need every score before the first verdict: the rows are stored with
+    their evidence, so that each text is scored once.
     """
     columns = docs.columns
     models = train(docs, labels)
-    score = evidence(models, F.coalesce(F.col("text"), F.lit(""))).alias("evidence")
-    sites = posteriors(docs.select(F.col(host).alias("host"), F.col(path).alias("path"), score))
-    sites = stored(sites.select("__host", "__path", F.col("shift").alias("__shift")), "eb-sites")
-    both = docs.withColumn("__evidence", evidence(models, F.coalesce(F.col("text"), F.lit(""))))
-    out = both.join(sites, both[host].eqNullSafe(F.col("__host")) & both[path].eqNullSafe(F.col("__path")))
-    return out.filter(F.col("__evidence") + F.col("__shift") <= 0).select(*[both[f"`{c}`"] for c in columns])
+    scored = stored(docs.withColumn("__evidence", evidence(models, F.coalesce(F.col("text"), F.lit("")))), "eb-rows")
+    sites = posteriors(scored.select(F.col(host).alias("host"), F.col(path).alias("path"), F.col("__evidence").alias("evidence")))
+    sites = sites.select("__host", "__path", F.col("shift").alias("__shift"))
+    out = scored.join(sites, scored[host].eqNullSafe(F.col("__host")) & scored[path].eqNullSafe(F.col("__path")))
+    return out.filter(F.col("__evidence") + F.col("__shift") <= 0).select(*[scored[f"`{c}`"] for c in columns])
