@@ -65,14 +65,16 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) ->
     """Body lines (below the header) with ``line`` = number in the file from 0, title lines included, and ``head``."""
     lines = _raw_lines(spark, path)
     numbered = lines.mapInPandas(line_numbering(), T.StructType(lines.schema.fields + [T.StructField("seq", T.LongType())]))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # Counted behind the Arrow pass: a filter on the file name that reached the scan would keep only the files' first splits.
-    starts = (numbered.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
-              .select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
-    # The header is in the split that line number ``skip`` falls into.
-    heads = numbered.select("file", "block", "seq", "value").join(starts, ["file", "block"]).where(
-        F.col("seq") + F.col("start") == skip).select("file", F.col("value").alias("head"))
-    splits = starts.join(heads, "file").select(F.col("file").alias("__f"), F.col("block").alias("__b"), "start", "head")
+    # One pass behind the Arrow step gives each split's line count and its first lines, among which the header is.
+    # (A filter on the file name that reached the scan would keep only the files' first splits.)
+    upper = F.when(F.col("seq") <= skip, F.struct("seq", "value"))
+    splits = numbered.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.collect_list(upper).alias("upper"))
+    of_file = Window.partitionBy("file")
+    before = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    here = F.get(F.filter("upper", lambda x: x["seq"] + F.col("start") == skip), F.lit(0))["value"]
+    splits = splits.withColumn("here", here).withColumn("head", F.max("here").over(of_file)).where(F.col("head").isNotNull())
+    splits = splits.select(F.col("file").alias("__f"), F.col("block").alias("__b"), "start", "head")
     joined = numbered.join(splits, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
     return (joined.withColumn("line", F.col("seq") + F.col("start")).where(F.col("line") > skip)
             .drop("__f", "__b", "start", "seq"))
