@@ -33,7 +33,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -467,6 +467,11 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _same(a: str, b: str) -> Column:
+    """Equality that does not become a join key: the join stays on the bucket column alone, and the texts in their buckets."""
+    return (F.col(a) <= F.col(b)) & (F.col(a) >= F.col(b))
+
+
 def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataFrame]:
     """(texts, spans): the stored texts (id, text, md5, tid, others), and (tid, id, spans) of the texts that lose bytes.
 
@@ -479,7 +484,7 @@ def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataF
     release(docs)
     smallest = rows.groupBy("tid", "md5").agg(F.min("id").alias("low"))
     wanted = keys.join(smallest, "tid").select("tid", F.col("md5").alias("__md5"), "low", "keys")
-    held = rows.join(wanted, "tid").filter((F.col("md5") == F.col("__md5")) & (F.col("id") == F.col("low")))
+    held = rows.join(wanted, "tid").filter(_same("md5", "__md5") & _same("id", "low"))
     n_keys = keys.agg(F.sum(F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a + F.octet_length(k)))).first()[0] or 0
     n = max(1, -(-(n_keys // 8 * 64) // BUCKET_BYTES))
     spans = stored(covered_spans(held.select("tid", "id", "text", "keys"), n), "repeat-spans")
@@ -516,7 +521,7 @@ def _with_kept(docs: DataFrame, as_digest: bool, others: list[str]) -> DataFrame
     """(id, text, others, n_bytes, n_removed, n_spans, kept) of every row."""
     rows, spans = repeated_spans(docs, others)
     low = rows.groupBy("tid", "md5").agg(F.min("id").alias("low")).select(F.col("tid").alias("__tid"), F.col("md5").alias("__md5"), "low")
-    both = rows.join(low, (F.col("tid") == F.col("__tid")) & (F.col("md5") == F.col("__md5")))
+    both = rows.join(low, (F.col("tid") == F.col("__tid")) & _same("md5", "__md5"))
     both = both.join(spans.withColumnRenamed("tid", "__t"), F.col("tid") == F.col("__t"), "left")
     size = F.octet_length("text")
     copy = (F.col("id") > F.col("low")) & (size >= LEAST)
