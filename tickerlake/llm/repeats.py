@@ -18,8 +18,8 @@ smaller id is removed. Matches never cross documents.
    Each interval's smallest id decides which of its windows go.
 5. A document's spans are joined and cut out.
 
-The texts are written once as a table bucketed by text, so that neither the anchors nor
-the spans move them again.
+The texts are written once as a table bucketed by text and id, so that neither the
+anchors nor the spans move them again, and copies of a text spread over all buckets.
 
 Defined results: a null or empty text has 0 bytes and loses none; repeated rows with one
 id do not remove each other; a null id counts as the largest; very long texts are
@@ -196,57 +196,84 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             yield flush()
 
     def group(table: pa.Table) -> pa.Table:
+        """One row per bucket of texts: the shared keys found here, by text."""
         if table.column("bucket")[0].as_py() >= buckets:
-            return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tids").to_pylist()], pa.int64()),
-                             "keys": table.column("keys").cast(pa.binary())})
-        keys, tids = [], []
-        for k, i, t in zip(*(table.column(c).to_pylist() for c in ("keys", "index", "tids"))):
-            keys.append(_unplanes(k))
-            index = np.ascontiguousarray(np.frombuffer(i, np.uint8).reshape(4, -1).T).view("<u4").ravel()
-            tids.append(np.frombuffer(t, np.int64)[index])
-        keys, tids = np.concatenate(keys), np.concatenate(tids)
-        order = np.lexsort((tids, keys))
-        keys, tids = keys[order], tids[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (tids[1:] != tids[:-1])
-        keys, tids = keys[new], tids[new]
-        same = np.zeros(len(keys) + 1, bool)
-        same[1:-1] = keys[1:] == keys[:-1]
-        many = same[1:] | same[:-1]
-        keys, tids = keys[many], tids[many]
-        order = np.argsort(tids, kind="stable")
+            tids = [np.frombuffer(t, np.int64)[0] for t in table.column("tids").to_pylist()]
+            bodies = table.column("keys").to_pylist()
+            keys = np.frombuffer(b"".join(bodies), np.uint64)
+            tids = np.repeat(np.array(tids, np.int64), [len(b) // 8 for b in bodies])
+        else:
+            keys, tids = [], []
+            for k, i, t in zip(*(table.column(c).to_pylist() for c in ("keys", "index", "tids"))):
+                keys.append(_unplanes(k))
+                index = np.ascontiguousarray(np.frombuffer(i, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+                tids.append(np.frombuffer(t, np.int64)[index])
+            keys, tids = np.concatenate(keys), np.concatenate(tids)
+            order = np.lexsort((tids, keys))
+            keys, tids = keys[order], tids[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (tids[1:] != tids[:-1])
+            keys, tids = keys[new], tids[new]
+            same = np.zeros(len(keys) + 1, bool)
+            same[1:-1] = keys[1:] == keys[:-1]
+            many = same[1:] | same[:-1]
+            keys, tids = keys[many], tids[many]
+        part = (tids.view(np.uint64) % U64(buckets)).astype(np.int64)
+        order = np.lexsort((tids, part))
+        keys, tids, part = keys[order], tids[order], part[order]
+        cut = np.searchsorted(part, np.arange(buckets + 1))
+        used = np.flatnonzero(np.diff(cut))
+        return pa.table({"part": pa.array(used, pa.int32()), "tids": pa.array([tids[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary()),
+                         "keys": pa.array([keys[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary())})
+
+    def by_text(table: pa.Table) -> pa.Table:
+        tids = np.frombuffer(b"".join(table.column("tids").to_pylist()), np.int64)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
+        order = np.lexsort((keys, tids))
         keys, tids = keys[order], tids[order]
         cut = np.concatenate([[0], np.flatnonzero(tids[1:] != tids[:-1]) + 1, [len(tids)]]) if len(tids) else np.zeros(1, np.int64)
         return pa.table({"tid": pa.array(tids[cut[:-1]], pa.int64()),
                          "keys": pa.array([keys[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])], pa.binary())})
 
     rows = docs.select("tid", "text").mapInArrow(emit, "bucket int, keys binary, index binary, tids binary")
-    found = rows.groupBy("bucket").applyInArrow(group, "tid long, keys binary")
-    return found.groupBy("tid").agg(F.collect_list("keys").alias("keys"))
+    found = rows.groupBy("bucket").applyInArrow(group, "part int, tids binary, keys binary")
+    return found.groupBy("part").applyInArrow(by_text, "tid long, keys binary")
 
 
 # --- repeated windows of a bucket ------------------------------------------------------------------------------------
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes by their first ``depth`` or more symbols (prefix doubling from 8 packed symbols)."""
+    """Suffixes by their first ``depth`` or more symbols: prefix doubling from 8 packed symbols, re-sorting only what is still tied."""
     n = len(text)
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key <<= U64(8)
-        key[:n - j] |= text[j:].astype(np.uint64) if j else text.astype(np.uint64)
+        key[:n - j] |= text[j:]
+    order = np.argsort(key)
+    key = key[order]
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
+    rank = np.empty(n + 1, np.uint64)
+    rank[n] = 0
     size = 8
-    while True:
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new = np.zeros(n, np.int64)
-        new[1:] = sorted_key[1:] != sorted_key[:-1]
-        if size >= depth:
-            return order
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64) + U64(1)
-        key = rank << U64(32)
-        key[:n - size] |= rank[size:]
+    while size < depth:
+        # A suffix's rank is the place where its group of ties starts, counted from 1.
+        rank[order] = np.maximum.accumulate(np.where(new, np.arange(1, n + 1), 0)).astype(np.uint64)
+        tied = ~new
+        tied[:-1] |= ~new[1:]
+        at = np.flatnonzero(tied)
+        if len(at) == 0:
+            break
+        member = order[at]
+        key = (rank[member] << U64(32)) | rank[np.minimum(member + size, n)]
+        again = np.argsort(key)
+        order[at] = member[again]
+        key = key[again]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        new[at] = fresh
         size *= 2
+    return order
 
 
 def repeat_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -262,20 +289,25 @@ def repeat_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     n = len(text)
     order = suffix_order(text, least)
     bwt = text[order - 1]
-    back = np.argsort(bwt, kind="stable")
+    back = np.argsort(bwt, kind="stable").astype(np.int32)
     begins = np.sort(text, kind="stable")
     unlike = np.ones(n, bool)  # entry has a value so far: it differs from the one before within the level's symbols
     unlike[1:] = begins[1:] != begins[:-1]
-    open_ = np.flatnonzero(~unlike)
+    open_ = np.flatnonzero(~unlike).astype(np.int32)
     lo, hi = np.minimum(back[open_ - 1], back[open_]), np.maximum(back[open_ - 1], back[open_])
+    beside = hi == lo + 1  # extensions of neighbours: one entry decides, the one at hi
+    near, near_hi = open_[beside], hi[beside]
+    open_, lo, hi = open_[~beside], lo[~beside], hi[~beside]
     for _ in range(least - 1):
-        if len(open_) == 0:
+        if len(open_) == 0 and len(near) == 0:
             break
-        upto = np.cumsum(unlike, dtype=np.int32)
-        parted = upto[hi] != upto[lo]
-        unlike[open_[parted]] = True
-        stay = ~parted
-        open_, lo, hi = open_[stay], lo[stay], hi[stay]
+        parted = unlike[near_hi]
+        upto = np.cumsum(unlike, dtype=np.int32) if len(open_) else unlike
+        apart = upto[hi] != upto[lo]
+        unlike[near[parted]] = True
+        unlike[open_[apart]] = True
+        near, near_hi = near[~parted], near_hi[~parted]
+        open_, lo, hi = open_[~apart], lo[~apart], hi[~apart]
     return order, np.cumsum(unlike) - 1
 
 
@@ -405,7 +437,7 @@ def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
                 cut = np.searchsorted(doc, np.arange(piece.num_rows + 1))
                 hit = np.zeros(len(keys), bool)
                 for i in range(piece.num_rows):
-                    mine = np.frombuffer(b"".join(wanted[i].as_py()), np.uint64)
+                    mine = np.frombuffer(wanted[i].as_py(), np.uint64)
                     hit[cut[i]:cut[i + 1]] = np.isin(keys[cut[i]:cut[i + 1]], mine)
                 at = np.flatnonzero(hit)
                 if len(at) == 0:
@@ -450,20 +482,30 @@ def cut_out(text: bytes, spans: np.ndarray) -> bytes:
 
 
 def _identified(docs: DataFrame, others: list[str]) -> DataFrame:
-    """(id, text, md5, tid, others) of every row; a null id is the largest. ``others`` are further columns, as one struct."""
+    """(id, text, md5, tid, rid, others) of every row; a null id is the largest. ``others`` are further columns, as one struct.
+
+    ``tid`` belongs to the text, ``rid`` to the text and the id: copies of a text have one tid and different rids.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
                        row.alias("others"))
     rows = rows.withColumn("md5", F.md5(F.col("text").cast("binary")))
-    return rows.withColumn("tid", F.conv(F.substring("md5", 1, 15), 16, 10).cast("long"))
+    return rows.withColumn("tid", F.conv(F.substring("md5", 1, 15), 16, 10).cast("long")).withColumn("rid", _rid("md5", "id"))
+
+
+def _rid(md5: str, key: str) -> Column:
+    return F.xxhash64(md5, key)
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
-    """One row per id and text, as a table bucketed by text id in the shared warehouse."""
+    """The rows as a table bucketed by ``rid`` in the shared warehouse, one file per bucket.
+
+    Rids spread copies of a text evenly, so no bucket grows with a group of copies.
+    """
     spark = rows.sparkSession
     name = f"repeats_{uuid.uuid4().hex[:16]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.write.option("compression", "zstd").bucketBy(n, "tid").saveAsTable(name)
+    rows.repartition(n, "rid").write.option("compression", "zstd").bucketBy(n, "rid").saveAsTable(name)
     return spark.table(name)
 
 
@@ -473,21 +515,23 @@ def _same(a: str, b: str) -> Column:
 
 
 def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): the stored texts (id, text, md5, tid, others), and (tid, id, spans) of the texts that lose bytes.
+    """(rows, spans): the stored rows (id, text, md5, tid, rid, others), and (rid, spans) of the texts that lose bytes.
 
-    ``id`` is the smallest id of a text; rows with larger ids are copies.
+    Only the row with a text's smallest id is looked at; the others are copies.
     """
     rows = _bucketed(_identified(docs, others))
+    release(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = 2 * size // (WINDOW + 1)
     keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES))), "repeat-anchors")
     release(docs)
     smallest = rows.groupBy("tid", "md5").agg(F.min("id").alias("low"))
-    wanted = keys.join(smallest, "tid").select("tid", F.col("md5").alias("__md5"), "low", "keys")
-    held = rows.join(wanted, "tid").filter(_same("md5", "__md5") & _same("id", "low"))
-    n_keys = keys.agg(F.sum(F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a + F.octet_length(k)))).first()[0] or 0
+    wanted = keys.join(smallest, "tid").select(_rid("md5", "low").alias("__rid"), F.col("md5").alias("__md5"), "low", "keys")
+    held = rows.join(wanted, F.col("rid") == F.col("__rid")).filter(_same("md5", "__md5") & _same("id", "low"))
+    n_keys = keys.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     n = max(1, -(-(n_keys // 8 * 64) // BUCKET_BYTES))
-    spans = stored(covered_spans(held.select("tid", "id", "text", "keys"), n), "repeat-spans")
+    spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys"), n)
+    spans = stored(spans.select(F.col("tid").alias("__rid"), "spans"), "repeat-spans")
     release(docs)
     return rows, spans
 
@@ -520,11 +564,15 @@ def _kept(as_digest: bool):
 def _with_kept(docs: DataFrame, as_digest: bool, others: list[str]) -> DataFrame:
     """(id, text, others, n_bytes, n_removed, n_spans, kept) of every row."""
     rows, spans = repeated_spans(docs, others)
-    low = rows.groupBy("tid", "md5").agg(F.min("id").alias("low")).select(F.col("tid").alias("__tid"), F.col("md5").alias("__md5"), "low")
-    both = rows.join(low, (F.col("tid") == F.col("__tid")) & _same("md5", "__md5"))
-    both = both.join(spans.withColumnRenamed("tid", "__t"), F.col("tid") == F.col("__t"), "left")
+    names = rows.select("id", "md5", "rid")
+    low = names.groupBy("md5").agg(F.min("id").alias("low")).withColumnRenamed("md5", "__md5")
+    copies = names.join(low, F.col("md5") == F.col("__md5")).filter(F.col("id") > F.col("low"))
+    copies = copies.select(F.col("rid").alias("__copy"), F.col("id").alias("__id"), "__md5").distinct()
+    # Both sides come to the rows' buckets; the texts stay where they are.
+    both = rows.join(spans, F.col("rid") == F.col("__rid"), "left").join(
+        copies, (F.col("rid") == F.col("__copy")) & _same("id", "__id") & _same("md5", "__md5"), "left")
     size = F.octet_length("text")
-    copy = (F.col("id") > F.col("low")) & (size >= LEAST)
+    copy = F.col("__copy").isNotNull() & (size >= LEAST)
     both = both.withColumn("spans", F.when(copy, F.array()).otherwise(F.col("spans")).cast("array<binary>"))
     both = both.withColumn("out", _kept(as_digest)(F.col("text"), F.col("spans")))
     empty = F.lit(hashlib.sha256(b"").hexdigest() if as_digest else "")
