@@ -298,16 +298,25 @@ def repeat_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     beside = hi == lo + 1  # extensions of neighbours: one entry decides, the one at hi
     near, near_hi = open_[beside], hi[beside]
     open_, lo, hi = open_[~beside], lo[~beside], hi[~beside]
+    fresh = None  # entries that the last level gave a value: only they can part what was together so far
     for _ in range(least - 1):
-        if len(open_) == 0 and len(near) == 0:
-            break
         parted = unlike[near_hi]
-        upto = np.cumsum(unlike, dtype=np.int32) if len(open_) else unlike
-        apart = upto[hi] != upto[lo]
-        unlike[near[parted]] = True
-        unlike[open_[apart]] = True
-        near, near_hi = near[~parted], near_hi[~parted]
-        open_, lo, hi = open_[~apart], lo[~apart], hi[~apart]
+        found = [near[parted]]
+        if len(open_):
+            if fresh is None or len(open_) * 16 > n:
+                upto = np.cumsum(unlike, dtype=np.int32)
+                apart = upto[hi] != upto[lo]
+            else:
+                apart = np.searchsorted(fresh, hi, "right") != np.searchsorted(fresh, lo, "right")
+            found.append(open_[apart])
+            open_, lo, hi = open_[~apart], lo[~apart], hi[~apart]
+        fresh = np.concatenate(found)
+        fresh = np.sort(fresh[~unlike[fresh]])
+        if len(fresh) == 0:
+            break
+        unlike[fresh] = True
+        if len(found[0]) * 4 > len(near):
+            near, near_hi = near[~parted], near_hi[~parted]
     return order, np.cumsum(unlike) - 1
 
 
