@@ -7,7 +7,7 @@ so neither lineage nor a lost executor repeats earlier rounds.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickerlake.llm.common import stored
@@ -27,7 +27,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = both.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = both.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("n").alias("a"), F.col("m").alias("b")))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+    out = out.filter(F.col("a") != F.col("b"))
+    return out if large else out.distinct()  # a large star's repeats go with the small star after it
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,9 +36,13 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.filter(F.col("a") != F.col("b")).select("a", "b").distinct(), "links")
     print_of = None
     for _ in range(MOST_ROUNDS):
-        edges = stored(_star(_star(edges, True), False), "stars")
-        # XOR of row hashes: equal tables have equal prints whatever their order.
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+        # Count and XOR of row hashes, taken while the round is written: equal tables
+        # have equal prints whatever their order.
+        seen = Observation()
+        edges = _star(_star(edges, True), False).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
+        edges = stored(edges, "stars")
+        now = (seen.get["n"], seen.get["x"])
         if now == print_of:
             break
         print_of = now
