@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Chunks, and words, remembered per Python worker.
-REMEMBERED = 300_000
+#: Words (a call of the library each, some 10 microseconds) and chunks (a cut and look-ups) remembered per Python worker.
+WORDS_REMEMBERED, CHUNKS_REMEMBERED = 600_000, 150_000
 
 
 def _class(kinds: str) -> str:
@@ -48,11 +48,11 @@ class WordIds:
             b = words.get(word)
             if b is None:
                 b = self._library(word)
-                if len(words) < REMEMBERED:
+                if len(words) < WORDS_REMEMBERED:
                     words[word] = b
             out.append(b)
         ids = b"".join(out)
-        if len(self.chunks) < REMEMBERED:
+        if len(self.chunks) < CHUNKS_REMEMBERED:
             self.chunks[chunk] = ids
         return ids
 
