@@ -444,6 +444,35 @@ def test_repeat_classes_equal_sorted_substrings(least):
             assert (x == y) == (p == q)
 
 
+def test_a_common_string_with_different_surroundings_spreads(spark, monkeypatch):
+    """No bucket holds all contexts of one anchor, and each repeat is still found."""
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    letter = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    tries = [letter(repeats.GRAM) for _ in range(20_000)]
+    low = [int(repeats.gram_hashes(np.frombuffer(t.encode(), np.uint8))[0]) for t in tries]
+    common = tries[int(np.argmin(low))]
+    sides = [(letter(40), letter(40)) for _ in range(1500)]
+    rows = [(i, a + common + b) for i, (a, b) in enumerate(sides)]
+    rows += [(rng.choice([2000 + i, i]), letter(9) + sides[i][0][rng.randint(0, 9):] + common + letter(30)) for i in range(300)]
+    rows += [(5000, f"{letter(60)}{common}{letter(5)}" * 3), (5000, f"{letter(70)}{common}{sides[7][1]}"), (None, letter(3) + rows[9][1])]
+    for name, value in {"MOST_CONTEXTS": 100, "BUCKET_WINDOWS": 500, "BUCKET_BYTES": 10_000}.items():
+        monkeypatch.setattr(repeats, name, value, raising=False)
+    largest, kind = [], type(spark.range(0))
+    group = kind.groupBy
+
+    def watched(df, *by):
+        if by == ("bucket",) and "body" in df.columns:
+            sizes = group(df.select("bucket", F.expr("octet_length(ids) div 8").alias("n")), "bucket").agg(F.sum("n").alias("n"))
+            largest.append(sizes.agg(F.max("n")).first()[0])
+        return group(df, *by)
+
+    monkeypatch.setattr(kind, "groupBy", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert same([tuple(g) for g in repeats.removed_repeats(df).collect()], brute.repeats(rows))
+    assert largest and max(largest) < 1000
+
+
 def test_anchors_depend_on_the_window_alone():
     rng = random.Random(1)
     part = bytes(rng.choice(b"abc ") for _ in range(300))

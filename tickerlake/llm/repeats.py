@@ -10,6 +10,8 @@ smaller id is removed. Matches never cross documents.
    that only one text holds are dropped: every window of theirs is unique. No repeat is lost.
 3. Each remaining anchor is sent, with the bytes of its windows (its context), to the
    bucket of its hash. Contexts that are equal within a task are sent once, with their places.
+   An anchor with more places than ``MOST_CONTEXTS`` is not sent: its windows go singly,
+   each to the bucket of its own hash, so that a common string spreads over many tasks.
 4. A bucket joins its distinct contexts to one string, sorts its suffixes, and takes
    their common prefix lengths from the Burrows-Wheeler transform breadth first:
    entries with value l are found by extending those with smaller values
@@ -49,6 +51,9 @@ CHUNK, PLACE_BITS = 1 << 17, 24
 #: Anchors a task gathers before it sends them on, anchors per bucket, and context bytes per bucket.
 FLUSH_ENTRIES, BUCKET_ENTRIES, BUCKET_BYTES = 500_000, 1_000_000, 1_500_000
 FLUSH_BYTES = 3_000_000
+#: Places of an anchor above which its windows are sent singly (full contexts would fill a bucket),
+#: windows and context bytes expanded at once, and windows per bucket.
+MOST_CONTEXTS, EXPANDED, BUCKET_WINDOWS = 16_384, 1_000_000, 500_000
 PIECE_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 
@@ -148,6 +153,7 @@ def _shared_rows(keys: np.ndarray, owner: np.ndarray, tids: np.ndarray, buckets:
     keys, owner = keys[new], owner[new]
     first = np.ones(len(keys), bool)
     first[1:] = keys[1:] != keys[:-1]
+    times = np.diff(np.concatenate([np.flatnonzero(new)[first], [len(new)]]))  # places of each hash
     many = ~first
     many[:-1] |= ~first[1:]
     rows: list[tuple] = []
@@ -157,7 +163,8 @@ def _shared_rows(keys: np.ndarray, owner: np.ndarray, tids: np.ndarray, buckets:
         x, y = cut[b], cut[b + 1]
         if x < y:
             used, index = np.unique(whose[x:y], return_inverse=True)
-            rows.append((b, _planes(lone[x:y]), index.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), tids[used].tobytes()))
+            rows.append((b, _planes(lone[x:y]), np.stack([index, times[x:y]]).astype("<u4").view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1).tobytes(),
+                         tids[used].tobytes()))
     known, mine = keys[many], owner[many]
     order = np.argsort(mine, kind="stable")
     known, mine = known[order], mine[order]
@@ -170,8 +177,11 @@ def _shared_rows(keys: np.ndarray, owner: np.ndarray, tids: np.ndarray, buckets:
                                       ["bucket", "keys", "index", "tids"])
 
 
-def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """(tid, keys): per text the hashes of its anchors that another text holds too. ``docs`` has (tid, text)."""
+def shared_anchors(docs: DataFrame, buckets: int, most: int = MOST_CONTEXTS) -> DataFrame:
+    """(tid, keys): per text the hashes of its anchors that another text holds too. ``docs`` has (tid, text).
+
+    Rows without a tid hold (hash, places) of the anchors with more than ``most`` places.
+    """
 
     def emit(batches):
         held, tids, seen, texts_seen = [], [], 0, 0
@@ -197,20 +207,25 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
     def group(table: pa.Table) -> pa.Table:
         """One row per bucket of texts: the shared keys found here, by text."""
+        hot = np.zeros((0, 2), np.uint64)
         if table.column("bucket")[0].as_py() >= buckets:
             tids = [np.frombuffer(t, np.int64)[0] for t in table.column("tids").to_pylist()]
             bodies = table.column("keys").to_pylist()
             keys = np.frombuffer(b"".join(bodies), np.uint64)
             tids = np.repeat(np.array(tids, np.int64), [len(b) // 8 for b in bodies])
         else:
-            keys, tids = [], []
+            keys, tids, times = [], [], []
             for k, i, t in zip(*(table.column(c).to_pylist() for c in ("keys", "index", "tids"))):
                 keys.append(_unplanes(k))
-                index = np.ascontiguousarray(np.frombuffer(i, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+                index, n = np.ascontiguousarray(np.frombuffer(i, np.uint8).reshape(2, 4, -1).transpose(0, 2, 1)).view("<u4").reshape(2, -1)
                 tids.append(np.frombuffer(t, np.int64)[index])
-            keys, tids = np.concatenate(keys), np.concatenate(tids)
+                times.append(n)
+            keys, tids, times = np.concatenate(keys), np.concatenate(tids), np.concatenate(times)
             order = np.lexsort((tids, keys))
             keys, tids = keys[order], tids[order]
+            begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            places = np.add.reduceat(times[order], begin, dtype=np.uint64)
+            hot = np.stack([keys[begin], places], axis=1)[places > most]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (tids[1:] != tids[:-1])
             keys, tids = keys[new], tids[new]
@@ -223,10 +238,15 @@ def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         keys, tids, part = keys[order], tids[order], part[order]
         cut = np.searchsorted(part, np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(cut))
-        return pa.table({"part": pa.array(used, pa.int32()), "tids": pa.array([tids[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary()),
-                         "keys": pa.array([keys[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary())})
+        out = [(b, tids[cut[b]:cut[b + 1]].tobytes(), keys[cut[b]:cut[b + 1]].tobytes()) for b in used]
+        if len(hot):
+            out.append((buckets, b"", hot.tobytes()))
+        cols = list(zip(*out)) if out else [[]] * 3
+        return pa.table({"part": pa.array(cols[0], pa.int32()), "tids": pa.array(cols[1], pa.binary()), "keys": pa.array(cols[2], pa.binary())})
 
     def by_text(table: pa.Table) -> pa.Table:
+        if table.column("part")[0].as_py() == buckets:
+            return pa.table({"tid": pa.nulls(table.num_rows, pa.int64()), "keys": table.column("keys").cast(pa.binary())})
         tids = np.frombuffer(b"".join(table.column("tids").to_pylist()), np.int64)
         keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
         order = np.lexsort((keys, tids))
@@ -373,16 +393,68 @@ def _span_rows(tid: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[lis
     return [int(t) for t in tid[cut[:-1]]], [both[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:])]
 
 
-def _context_rows(held: list[tuple], buckets: int) -> pa.RecordBatch:
-    """One task flush of contexts (key, text, id, place, size, bytes) as packed rows, one per bucket."""
+def _gone_rows(tid: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int) -> list[tuple]:
+    """Spans that a flush decides by itself, as packed rows beside the buckets."""
+    return [(buckets + int(np.int64(t).view(np.uint64) % U64(buckets)), np.int64(t).tobytes(), b"", b"", b"", s)
+            for t, s in zip(*_span_rows(tid, start, end))]
+
+
+def _window_spans(tid: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of what single windows cover, touching ones as one."""
+    order = np.lexsort((place, tid))
+    tid, place = tid[order], place[order]
+    new = np.ones(len(tid), bool)
+    new[1:] = (tid[1:] != tid[:-1]) | (place[1:] > place[:-1] + LEAST)
+    begin = np.flatnonzero(new)
+    return tid[begin], place[begin], place[np.append(begin[1:], len(tid))[:len(begin)] - 1] + LEAST
+
+
+def _window_rows(body: np.ndarray, size: np.ndarray, tid: np.ndarray, ids: np.ndarray, places: np.ndarray, times: np.ndarray,
+                 buckets: int, spread: int) -> list[tuple]:
+    """The single windows of contexts (end to end) as packed rows, by the window's own hash; of equal windows the smallest id goes on."""
+    n = size - LEAST + 1
+    at = np.repeat(np.cumsum(size) - size, n) + _runs(n)
+    marks = np.empty((len(at), 2), np.uint64)
+    marks[:, 0] = V.word_hashes(body, at, at + LEAST)
+    marks[:, 1] = V.mix(V.word_hashes(255 - body, at, at + LEAST), 5)
+    # Each window stands at every place of its context.
+    owner, within = np.repeat(np.arange(len(n)), n), _runs(n)
+    many = times[owner]
+    window = np.repeat(np.arange(len(at)), many)
+    owner = owner[window]
+    place = places[(np.cumsum(times) - times)[owner] + _runs(many)] + within[window]
+    marks, tid, ids = marks[window], tid[owner], ids[owner]
+    pick, which = _distinct(marks, ids)
+    gone = ids > ids[pick][which]
+    out = _gone_rows(*_window_spans(tid[gone], place[gone]), buckets)
+    # Of equal windows with equal ids, one goes on per text, with all its places.
+    rest = np.flatnonzero(~gone)
+    rest = rest[np.lexsort((place[rest], tid[rest], which[rest], bucket_of(marks[rest, 0], spread)))]
+    new = np.ones(len(rest), bool)
+    new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
+    head = np.flatnonzero(new)
+    end = np.concatenate([head, [len(rest)]])
+    k = rest[head]
+    cut = np.searchsorted(bucket_of(marks[k, 0], spread), np.arange(spread + 1))
+    for b in np.flatnonzero(np.diff(cut)):
+        x, y = cut[b], cut[b + 1]
+        out.append((2 * buckets + int(b), tid[k[x:y]].tobytes(), ids[k[x:y]].tobytes(), place[rest[end[x]:end[y]]].tobytes(),
+                    np.diff(end[x:y + 1]).astype("<u4").tobytes(), marks[k[x:y]].tobytes()))
+    return out
+
+
+def _context_rows(held: list[tuple], buckets: int, hot: np.ndarray, spread: int) -> pa.RecordBatch:
+    """One task flush of contexts (key, text, id, place, size, bytes) as packed rows, one per bucket.
+
+    Contexts of the sorted ``hot`` keys go as single windows to ``spread`` buckets of their own.
+    """
     keys, tid, ids, first, size = (np.concatenate([h[i] for h in held]) for i in range(5))
     body = np.concatenate([h[5] for h in held])
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     pick, which = _distinct(_equal_contexts(body, size), ids)
     # An equal context with a smaller id is here already: all its bytes go, and only that one is sent on.
     gone = ids > ids[pick][which]
-    gone_tid, gone_spans = _span_rows(tid[gone], first[gone], (first + size)[gone])
-    out = [(buckets + int(np.int64(t).view(np.uint64) % U64(buckets)), np.int64(t).tobytes(), b"", b"", b"", s) for t, s in zip(gone_tid, gone_spans)]
+    out = _gone_rows(tid[gone], first[gone], (first + size)[gone], buckets)
     # Of equal contexts with equal ids, one goes on per text, with all its places.
     rest = np.flatnonzero(~gone)
     rest = rest[np.lexsort((first[rest], tid[rest], which[rest]))]
@@ -390,8 +462,16 @@ def _context_rows(held: list[tuple], buckets: int) -> pa.RecordBatch:
     new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
     head = np.flatnonzero(new)
     times = np.diff(np.concatenate([head, [len(rest)]]))
-    order = np.argsort(bucket_of(keys[rest[head]], buckets), kind="stable")
-    cut = np.searchsorted(bucket_of(keys[rest[head]], buckets)[order], np.arange(buckets + 1))
+    single = np.isin(keys[rest[head]], hot)
+    h = np.flatnonzero(single)
+    upto = np.cumsum((size[rest[head[h]]] - LEAST + 1) * times[h] + size[rest[head[h]]])
+    for h in np.split(h, np.flatnonzero(np.diff(upto // EXPANDED)) + 1) if len(h) else []:
+        k = rest[head[h]]
+        places = first[rest[np.repeat(head[h], times[h]) + _runs(times[h])]]
+        out += _window_rows(gather(body, start[k], size[k]), size[k], tid[k], ids[k], places, times[h], buckets, spread)
+    bucket = np.where(single, buckets, bucket_of(keys[rest[head]], buckets))
+    order = np.argsort(bucket, kind="stable")
+    cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
     for b in range(buckets):
         h = order[cut[b]:cut[b + 1]]
         if len(h):
@@ -405,12 +485,19 @@ def _context_rows(held: list[tuple], buckets: int) -> pa.RecordBatch:
 
 
 def _bucket_spans(table: pa.Table, buckets: int) -> pa.Table:
-    """(tid, spans) of one bucket's contexts."""
-    if table.column("bucket")[0].as_py() >= buckets:
+    """(tid, spans) of one bucket's contexts, or of one bucket's single windows."""
+    bucket = table.column("bucket")[0].as_py()
+    if buckets <= bucket < 2 * buckets:
         return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tid").to_pylist()], pa.int64()),
                          "spans": table.column("body").cast(pa.binary())})
     read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
     tid, ids, places, body = read("tid", np.int64), read("ids", np.int64), read("first", np.int64), read("body", np.uint8)
+    if bucket >= 2 * buckets:
+        times = read("size", "<u4").astype(np.int64)
+        pick, which = _distinct(body.view(np.uint64).reshape(-1, 2), ids)
+        gone = ids > ids[pick][which]
+        t, spans = _span_rows(*_window_spans(np.repeat(tid[gone], times[gone]), places[np.repeat(gone, times)]))
+        return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
     size, times = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in table.column("size").to_pylist()], axis=1).astype(np.int64)
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     pick, which = _distinct(_equal_contexts(body, size), ids)
@@ -432,8 +519,11 @@ def _bucket_spans(table: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
 
 
-def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
-    """(tid, spans): what to cut. ``rows`` has (tid, id, text, keys): a text, its smallest id and its shared anchors."""
+def covered_spans(rows: DataFrame, buckets: int, hot: np.ndarray, spread: int) -> DataFrame:
+    """(tid, spans): what to cut. ``rows`` has (tid, id, text, keys): a text, its smallest id and its shared anchors.
+
+    Windows of the ``hot`` anchors are compared one by one in ``spread`` buckets.
+    """
 
     def emit(batches):
         held, seen = [], 0
@@ -456,10 +546,10 @@ def covered_spans(rows: DataFrame, buckets: int) -> DataFrame:
                              first[at] - off[doc[at]], size, gather(data, first[at], size)))
                 seen += int(size.sum())
                 if seen >= FLUSH_BYTES:
-                    yield _context_rows(held, buckets)
+                    yield _context_rows(held, buckets, hot, spread)
                     held, seen = [], 0
         if held:
-            yield _context_rows(held, buckets)
+            yield _context_rows(held, buckets, hot, spread)
 
     sent = rows.select("tid", "id", "text", "keys").mapInArrow(
         emit, "bucket int, tid binary, ids binary, first binary, size binary, body binary")
@@ -532,14 +622,17 @@ def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataF
     release(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = 2 * size // (WINDOW + 1)
-    keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES))), "repeat-anchors")
+    keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES)), MOST_CONTEXTS), "repeat-anchors")
+    # At most one anchor in MOST_CONTEXTS is hot: 16 bytes each come to the driver.
+    hot = np.frombuffer(b"".join(bytes(r[0]) for r in keys.filter("tid is null").select("keys").collect()), np.uint64).reshape(-1, 2)
+    spread = max(1, -(-int(hot[:, 1].sum()) * WINDOW // BUCKET_WINDOWS))
     release(docs)
     smallest = rows.groupBy("tid", "md5").agg(F.min("id").alias("low"))
     wanted = keys.join(smallest, "tid").select(_rid("md5", "low").alias("__rid"), F.col("md5").alias("__md5"), "low", "keys")
     held = rows.join(wanted, F.col("rid") == F.col("__rid")).filter(_same("md5", "__md5") & _same("id", "low"))
-    n_keys = keys.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
+    n_keys = keys.filter("tid is not null").agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     n = max(1, -(-(n_keys // 8 * 64) // BUCKET_BYTES))
-    spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys"), n)
+    spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys"), n, np.sort(hot[:, 0]), spread)
     spans = stored(spans.select(F.col("tid").alias("__rid"), "spans"), "repeat-spans")
     release(docs)
     return rows, spans
