@@ -407,6 +407,36 @@ def test_seeds_lose_no_match(seed):
                 assert any(a <= m.start() and m.end() <= b for a, b in windows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_adjacent_notices_all_have_spans(seed):
+    """Weaker notices before a better one count too: scan() gives the spans of a scan of the whole text, each planted one among them."""
+    import regex
+    s, rng = licenses.scanner(), random.Random(seed)
+    spans = s.scan("relased undr the mit license released under the mit license")[7]
+    assert [(x["first_word"], x["last_word"], x["edits"]) for x in spans if x["label"] == "mit"] == [(0, 4, 2), (5, 9, 0)]
+
+    def whole(body, a, b, text, k):
+        m = regex.compile(rf"(?b)(?<= )(?:{regex.escape(text)}){{e<={k}}}(?= )").search(body, a, b)
+        return [*whole(body, a, m.start(), text, k), (m.start(), m.end(), sum(m.fuzzy_counts)), *whole(body, m.end(), b, text, k)] if m else []
+
+    for notice, label in licenses.NOTICES.items():
+        k, planted = max(1, len(notice) // licenses.CHARS_PER_EDIT), []
+        for n in [k, *[rng.randint(0, k) for _ in range(4)], 0]:
+            t = list(notice)
+            for i in rng.sample([j for j, c in enumerate(t) if c != " "], n):
+                t[i] = "0"
+            planted.append(("".join(t), n))
+        body = f" some words {' '.join(t for t, _ in planted)} and more "
+        want = sorted((lab, *m) for text, lab, k, _, _ in s.notices for m in whole(body, 0, len(body), text, k))
+        got = s.fuzzy(body)
+        assert sorted(g[:4] for g in got) == want
+        at = len(" some words ")
+        for t, n in planted:
+            assert (label, at, at + len(t), n) in want
+            at += len(t) + 1
+        assert len(s.scan(body)[7]) == len(want)
+
+
 # --- 9 repeated passages ---------------------------------------------------------------------------------------------
 
 def test_repeats_edges(edge, nothing):

@@ -3,8 +3,9 @@
 A notice of L characters that may hold k edits is split into k + 1 pieces: by the
 pigeonhole principle at least one piece stands unchanged in every match. Exact
 search for the pieces locates candidates; around each, the regex library's
-bounded-error matching ``{e<=k}`` verifies the notice and gives its span. The base
-phrases are also found as exact consecutive words.
+bounded-error matching ``{e<=k}`` verifies the notice and gives its span: the best
+match of a place, then the best ones before and behind it. The base phrases are also
+found as exact consecutive words.
 
 Texts are compared as lower-case (A to Z) words joined by single blanks.
 
@@ -80,12 +81,23 @@ class Scanner:
                 merged.append((a, b))
         return merged
 
+    def verified(self, body: str, a: int, b: int, least: int, pattern) -> list:
+        """Matches in ``body[a:b]``: the best one, and those of the parts before and behind it."""
+        out, open_ = [], [(a, b)]
+        while open_:
+            a, b = open_.pop()
+            m = pattern.search(body, a, b) if b - a > least else None
+            if m:
+                out.append(m)
+                open_ += [(a, m.start()), (m.end(), b)]
+        return sorted(out, key=lambda m: m.start())
+
     def fuzzy(self, body: str) -> list[tuple[str, int, int, int, float]]:
         """(label, first char, last char, edits, closeness) of every verified notice."""
         out = []
         for text, label, k, seeds, pattern in self.notices:
             for a, b in self.candidates(body, len(text), k, seeds):
-                for m in pattern.finditer(body, a, b):
+                for m in self.verified(body, a, b, len(text) - k, pattern):
                     edits = sum(m.fuzzy_counts)
                     out.append((label, m.start(), m.end(), edits, 1 - edits / len(text)))
         return out
