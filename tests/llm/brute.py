@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -113,3 +114,63 @@ def mixture_targets(sizes, weights=(1, 2, 3), most=3):
             left -= target[s]
             free.discard(s)
     return target
+
+
+def survivors(rows):
+    """The (id, text, ...) rows that stay: of each component the one with the smallest id, and all without words."""
+    out, seen = [], set()
+    for r, (key, n, component) in zip(rows, jaccard_components([r[:2] for r in rows])):
+        if n == 0 or (key == component and component not in seen):
+            out.append(r)
+            if n:
+                seen.add(component)
+    return out
+
+
+def cut_text(rows, least=50):
+    """(id, text, ...) rows without their repeated passages; bytes of a split character go too."""
+    big = 1 << 63
+    bodies = [((big if r[0] is None else r[0]), (r[1] or "").encode()) for r in rows]
+    first = {}
+    for k, b in bodies:
+        for a in range(len(b) - least + 1):
+            first[b[a:a + least]] = min(first.get(b[a:a + least], big + 1), k)
+    out = []
+    for r, (k, b) in zip(rows, bodies):
+        gone = set()
+        for a in range(len(b) - least + 1):
+            if first[b[a:a + least]] < k:
+                gone.update(range(a, a + least))
+        kept = bytes(x for i, x in enumerate(b) if i not in gone).decode("utf-8", "ignore")
+        out.append((r[0], None if r[1] is None else kept, *r[2:]))
+    return out
+
+
+def mixed(rows):
+    """(id, text, source) rows repeated per epoch in order of their keys, the last one cut to its first words."""
+    def order(r):
+        u = (int(hashlib.md5(f"0:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        n = len(WORD.findall(r[1] or ""))
+        weight = (1 + n) / (1 + n + 2 * min(len(re.findall(r"[#*$%&|<>]", r[1] or "")), n))
+        return -math.log(u) / weight, f"{'null' if r[0] is None else r[0]}:{hashlib.md5((r[1] or '').encode()).hexdigest()}"
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+    size = {s: sum(len(WORD.findall(r[1] or "")) for r in g) for s, g in groups.items()}
+    out = []
+    for s, target in mixture_targets(size).items():
+        epochs = min(3, int(target // size[s])) if size[s] else 0
+        left = round(target - epochs * size[s])
+        ties = {}
+        for r in groups[s]:
+            ties.setdefault(order(r), []).append(r)
+        for tie in sorted(ties):
+            n = len(WORD.findall(ties[tie][0][1] or ""))
+            part = min(n, max(0, left) // len(ties[tie]))
+            left -= n * len(ties[tie])
+            for r in ties[tie]:
+                out += [r] * (epochs + (0 < part == n)) if n else []
+                if 0 < part < n:
+                    out.append((r[0], "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", r[1])[:part]), r[2]))
+    return out
