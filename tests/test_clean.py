@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tickerlake.operators import clean
 
 LISTING_COLS = "Symbol string, Name string, LastSale string, MarketCap string, industry string, " \

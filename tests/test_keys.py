@@ -1,4 +1,4 @@
-from conftest import rows
+from helpers import rows
 from tickerlake.operators import keys
 
 

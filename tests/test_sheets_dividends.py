@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import rows
+from helpers import rows
 from tickerlake.operators import dividends, sheets
 
 SHEET = "Symbol string, report string, freq int, pos long, item string, label string, period string, value double"

@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from conftest import rows
+from helpers import rows
 from tickerlake.sources import offset_csv as CSV
 
 PRICE_SCHEMA = "Date STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, Volume STRING"
