@@ -174,3 +174,83 @@ def mixed(rows):
                 if 0 < part < n:
                     out.append((r[0], "".join(re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", r[1])[:part]), r[2]))
     return out
+
+
+def manifest(rows):
+    """{(key, leaf, proof): (subroot, root, folded root)} counted, for (doc_id, text, lang, source, n_chars, ...) rows."""
+    from collections import Counter
+    from zlib import crc32
+
+    def h(*parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(r, text):
+        values = [None if v is None else str(v) for v in (r[0], r[3], r[2], r[4], text)]
+        return h(*["-" if v is None else f"{len(v.encode())}:{v}" for v in values])
+
+    def tree(level):
+        levels = [level]
+        while len(level) > 1:
+            level = [h(*level[i:i + 8]) for i in range(0, len(level), 8)]
+            levels.append(level)
+        return levels
+
+    def path(levels, i):
+        out = []
+        for level in levels[:-1]:
+            run = level[i - i % 8:i - i % 8 + 8]
+            out.append((run[:i % 8], run[i % 8 + 1:]))
+            i //= 8
+        return out
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, leaf(r, r[1]), r))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda x: x[:3])
+        trees[g] = tree([x[2] for x in groups[g]])
+    top = tree([trees[g][-1][0] for g in order])
+    out = Counter()
+    for j, g in enumerate(order):
+        for i, (*_, own, r) in enumerate(groups[g]):
+            steps = path(trees[g], i) + path(top, j)
+            hit = r[0] is not None and crc32(str(r[0]).encode()) % 3 == 0
+            x = leaf(r, r[1].translate(LOWER) if hit and r[1] is not None else r[1])
+            for a, b in steps:
+                x = h(*a, x, *b)
+            out[r[0], own, trees[g][-1][0], top[-1][0], h(*[y for a, b in steps for y in a + b]), x, x == top[-1][0]] += 1
+    return out
+
+
+def trie(rows):
+    """Sorted (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved, ends) for (conv_id, turn, role, text) rows."""
+    from zlib import crc32
+
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            tie = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            convs.setdefault(c, []).append((turn is not None, turn or 0, tie, (role, text)))
+    convs = {c: [t[3] for t in sorted(ts)] for c, ts in convs.items()}
+    built = {}
+    for c, own in convs.items():
+        h = crc32(str(c).encode()) % 9
+        built[c] = tuple(convs.get(c - c % 5, [])[:h] + own[h:])
+    members = {}
+    for c, seq in built.items():
+        for d in range(len(seq) + 1):
+            members.setdefault(seq[:d], []).append(c)
+    kids = {}
+    for p in members:
+        if p:
+            kids.setdefault(p[:-1], []).append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        below = kids.get(p, [])
+        leaves[p] = sum(leaves[k] for k in below) or int(not below)
+        saved[p] = sum(saved[k] for k in below) + ((len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0)
+    return sorted((min(m), len(p), min(members[p[:-1]]) if p else -1, len(m), len(kids.get(p, [])), leaves[p], saved[p],
+                   hashlib.sha256(",".join(str(c) for c in sorted(m) if len(built[c]) == len(p)).encode()).hexdigest()) for p, m in members.items())

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, mixing, packing, repeats, rules, sharding, tokencount)
+from tickerlake.llm import (classifier, fingerprints, jaccard, licenses, manifest, mixing, packing, repeats, rules, sharding, tokencount,
+                            tokenfiles, trie)
 from tickerlake.llm.common import table
 from tickerlake.llm.oracle import ORACLE
 
@@ -12,6 +13,7 @@ __all__ = ["ORACLE", "QUERIES"]
 
 SEQUENCE_TOKENS = 2048
 SHARDS = 40
+END_TOKEN = 2
 
 
 def op1_best_fit_packing(spark, d):
@@ -57,7 +59,20 @@ def op10_quality_rules(spark, d):
     return rules.quality_rules(table(spark, d, "documents"))
 
 
+def op11_merkle_manifest(spark, d):
+    return manifest.document_manifest(table(spark, d, "documents"))
+
+
+def op12_token_files(spark, d):
+    return tokenfiles.write_tokens(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_TOKEN).checksums()
+
+
+def op13_conversation_trie(spark, d):
+    return trie.conversation_trie(table(spark, d, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_jump_sharding, op3_weighted_mixing, op4_one_permutation_minhash, op5_quality_classifier,
-    op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op9_repeated_passages, op10_quality_rules)}
+    op6_ngram_jaccard_join, op7_token_counts, op8_license_scan, op9_repeated_passages, op10_quality_rules,
+    op11_merkle_manifest, op12_token_files, op13_conversation_trie)}
 

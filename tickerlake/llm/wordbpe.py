@@ -1,9 +1,14 @@
 """Token ids of whole texts by a ``tokenizers`` file, remembered per word.
 
-The file's pre-tokenizer cuts a text into words whose ids do not depend on their
-surroundings (no word holds white space), so each distinct blank-separated chunk is
-cut and looked up once per task, and each distinct word goes through the library once. Texts with characters outside the plain Latin range, or
-with the file's special strings, go through the library whole.
+The file's normalizer lower-cases and its pre-tokenizer cuts a text into words whose
+ids do not depend on their surroundings, so a text is cut by one pattern and each
+distinct word is merged once per worker. Only texts made of characters for which that
+cut provably equals the file's are treated so: plain ASCII, and the letters and signs
+below U+0250 that stay there when lower-cased. All other texts, and those holding one
+of the file's special strings, go through the library whole.
+
+Remembered words are bounded in number and in length, so the memory is bounded
+whatever the texts hold; a longer word is merged each time it stands.
 """
 
 from __future__ import annotations
@@ -14,13 +19,39 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words (a call of the library each, some 10 microseconds) and chunks (a cut and look-ups) remembered per Python worker.
-WORDS_REMEMBERED, CHUNKS_REMEMBERED = 600_000, 150_000
+#: Words remembered per Python worker, and the longest (characters) that is remembered.
+WORDS_REMEMBERED, LONGEST_REMEMBERED = 600_000, 32
+#: ASCII characters that the pattern cuts as the file does: white space and print, without other control characters.
+PLAIN = bytes([9, 10, 13, *range(32, 127)])
 
 
-def _class(kinds: str) -> str:
-    chars = [chr(c) for c in range(0x250) if unicodedata.category(chr(c))[0] in kinds]
-    return "".join(re.escape(c) for c in chars)
+def _kind(c: str) -> str:
+    return unicodedata.category(c)[0]
+
+
+def _plain_beyond_ascii() -> str:
+    """Characters from U+00A1 below U+0250 whose lower case is one character of that range of the same kind."""
+    out = []
+    for code in range(0xA1, 0x250):
+        c = chr(code)
+        low = c.lower()
+        if code != 0xAD and len(low) == 1 and ord(low) < 0x250 and _kind(low) == _kind(c) and unicodedata.normalize("NFC", c) == c:
+            out.append(c)
+    return "".join(out)
+
+
+class Words(dict):
+    """Little-endian 32-bit ids per word; a missing word is merged by the model."""
+
+    def __init__(self, merge):
+        super().__init__()
+        self.merge = merge
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.merge(word)
+        if len(word) <= LONGEST_REMEMBERED and len(self) < WORDS_REMEMBERED:
+            self[word] = ids
+        return ids
 
 
 class WordIds:
@@ -30,41 +61,37 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        letters, numbers = _class("L"), _class("N")
+        beyond = _plain_beyond_ascii()
+        self.beyond = frozenset(beyond)
+        letters = "a-z" + "".join(re.escape(c) for c in beyond if _kind(c) == "L")
+        numbers = "0-9" + "".join(re.escape(c) for c in beyond if _kind(c) == "N")
         # Fixed value: the file's own split pattern, with its classes spelled out for the plain range.
-        self.word = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
-        special = "|".join(re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values())
-        # The capital dotted I lower-cases to two characters, one outside the range.
-        self.odd = re.compile(rf"[^\t\n\r\x20-\x7E¡-¬®-ɏ]|İ" + (f"|{special}" if special else ""))
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.cut = re.compile(rf"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^\s{letters}{numbers}]+").findall
+        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
+        # The byte-level alphabet of the file: what each byte of a word stands as in the vocabulary.
+        step = self.lib.pre_tokenizer.pre_tokenize_str
+        self.signs = {b: step(chr(b))[0][0] for b in range(0x21, 0x7F)}
+        if any(s != chr(b) for b, s in self.signs.items()):
+            raise ValueError("the file's alphabet changes printable ASCII")
+        self.words = Words(self._merge)
+
+    def _merge(self, word: str) -> bytes:
+        if word.isascii():
+            return np.asarray([t.id for t in self.lib.model.tokenize(word)], "<u4").tobytes()
+        return self._library(word)
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        words, out = self.words, []
-        for word in self.word.findall(chunk):
-            b = words.get(word)
-            if b is None:
-                b = self._library(word)
-                if len(words) < WORDS_REMEMBERED:
-                    words[word] = b
-            out.append(b)
-        ids = b"".join(out)
-        if len(self.chunks) < CHUNKS_REMEMBERED:
-            self.chunks[chunk] = ids
-        return ids
+    def plain(self, text: str) -> bool:
+        """Whether the text holds no character (or special string) that needs the library."""
+        rest = text.encode().translate(None, PLAIN)
+        return (not rest or self.beyond.issuperset(rest.decode())) and not any(s in text for s in self.special)
 
     def ids(self, text: str) -> bytes:
-        if self.odd.search(text):
+        if not self.plain(text):
             return self._library(text)
-        get, cut = self.chunks.get, self._chunk
-        out = []
-        for chunk in text.lower().split():
-            b = get(chunk)
-            out.append(cut(chunk) if b is None else b)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, self.cut(text.lower())))
 
 
 @lru_cache(maxsize=2)
