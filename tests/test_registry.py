@@ -10,7 +10,8 @@ from tickerlake.plans.registry import QUERIES
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-FILE_QUERIES = {"read_offset_csv", "read_sheets", "read_reordered_csv", "read_short_sheets", "initialize", "daily_update", "daily_tables"}  # see test_sources / test_store_jobs
+FILE_QUERIES = {"read_offset_csv", "read_sheets", "read_reordered_csv", "read_short_sheets", "initialize", "daily_update", "daily_tables",
+                "read_listing"}  # see test_sources / test_store_jobs
 
 
 @pytest.fixture(scope="module")

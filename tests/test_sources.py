@@ -166,3 +166,33 @@ def test_hot_key_gets_several_files(spark, monkeypatch):
     out = CSV.write_offset_csv(df, shared_dir(spark, "test-hot"), ["Date", "Open"], "t")
     assert len(os.listdir(os.path.join(out.removeprefix("file:"), "Symbol=HOT"))) == 9
     assert rows(CSV.read_offset_csv(spark, out, 1, "Date STRING, Open DOUBLE"), "Symbol", "Date", "Open") == rows(df, "Symbol", "Date", "Open")
+
+
+def test_listing_files_keep_their_order_over_parts(spark, monkeypatch):
+    from tickerlake.operators import clean
+    from tickerlake.session import shared_dir
+    monkeypatch.setattr(CSV, "ROWS_PER_FILE", 40)
+    df = spark.range(130).selectExpr("concat('S ', id % 50) as Symbol", "concat('a \"', id, '\", inc') as Name", "cast(id as string) as LastSale",
+                                     "'$1M' as MarketCap", "if(id % 2 = 0, null, 'x') as industry", "'q' as `Summary Quote`", "id as pos").repartition(5)
+    out = CSV.write_listing(df, shared_dir(spark, "test-listing"))
+    assert len(os.listdir(out.removeprefix("file:"))) >= 4
+    back = CSV.read_listing(spark, out)
+    assert rows(back, "Symbol", "Name", "LastSale", "MarketCap", "industry") == rows(df, "Symbol", "Name", "LastSale", "MarketCap", "industry")
+    assert [r.Name for r in back.orderBy("pos").collect()] == [r.Name for r in df.orderBy("pos").collect()]
+    assert rows(clean.listing_clean(back, back.limit(0))) == rows(clean.listing_clean(df, df.limit(0)))
+
+
+def test_readers_run_no_python(spark):
+    d = tempfile.mkdtemp(prefix="tl-plan-")
+    _write(d, "A.csv", "t\nDate,Open\n1/2/2020,1\n")
+    for df in (CSV.read_offset_csv(spark, d, 1, "Open DOUBLE"), CSV.read_sheets(spark, d, 1), CSV.read_listing(spark, d)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_filter_on_the_folder_key_leaves_line_numbers_alone(spark):
+    d = tempfile.mkdtemp(prefix="tl-prune-")
+    for s in "ABC":
+        _write(f"{d}/Symbol={s}", "x.csv", "t\nDate,Open\n" + "".join(f"1/2/2020,{i}\n" for i in range(200)))
+    got = CSV.read_offset_csv(spark, d, 1, "Open DOUBLE").where("Symbol = 'B'")
+    assert sorted((r["__order"], r["Open"]) for r in got.collect()) == [(i + 2, float(i)) for i in range(200)]

@@ -17,7 +17,7 @@ def _listing(spark, symbols):
 
 def _by_step(status):
     """(step, Symbol) -> (status, n_rows); a symbol has one status per step."""
-    found = [((r.step, r.Symbol), (r.status, r.n_rows)) for r in status.collect() if r.step not in ("rename", "sheet_rejects")]
+    found = [((r.step, r.Symbol), (r.status, r.n_rows)) for r in status.collect() if r.step not in ("rename", "sheets", "sheet_rejects")]
     assert len(dict(found)) == len(found)
     return dict(found)
 
@@ -30,8 +30,9 @@ def test_initialize_then_daily(spark):
                                       ("D", "1/3/2020", 1.0, 1.0, 1.0, 1.0, "10"), ("Z", "1/3/2020", 1.0, 1.0, 1.0, 1.0, "1")], RAW))
     status = P.initialize(spark, init, store)
     by_step = _by_step(status)
-    assert by_step[("prices", "A")] == ("committed", 1)
-    assert ("prices", "Z") not in by_step          # not in the key table
+    assert by_step[("new_prices", "A")] == ("committed", 1)
+    assert by_step[("new_prices", "C")] == ("no_price_history", 0)   # listed, nothing downloaded
+    assert ("new_prices", "Z") not in by_step      # not in the key table
     with pytest.raises(ValueError, match="already exists"):
         P.initialize(spark, init, store)
 
@@ -81,12 +82,35 @@ def test_bucketed_rename_touches_only_its_buckets(spark):
     assert after["S1000"] == before["S1"] and after["S3"] == before["S2"] + before["S3"]
     assert sum(after.values()) == 2000
     run = store.run("r3")
-    run.compact(S.PRICES, most=1)
+    assert run.compact(S.PRICES) == 0 and run.writes == 0    # too few folders
+    assert run.compact(S.PRICES, most=2) > 0
     run.commit()
     assert len(run.entries[S.PRICES]) == 1 and store.read(S.PRICES).count() == 2000
     assert len(store.sweep()) == 2 and store.read(S.PRICES).count() == 2000
 
 
+def test_many_daily_runs_leave_few_folders_and_rewrite_little(spark, monkeypatch):
+    """A large load, then 100 small runs: the load is never rewritten, paths stay few, each small byte is copied a few times."""
+    monkeypatch.setattr(S, "LEAST_FOLDER_BYTES", 4000)
+    store = Store(spark, shared_dir(spark, "test-upkeep"), buckets={S.PRICES: 2})
+    rows = lambda n, day: spark.range(n).selectExpr("concat('S', id % 9) as Symbol", f"date '2020-01-01' + {day} as Reference",
+                                                    *[f"cast(id * {day + 1} as double) as {c}" for c in ("Open", "High", "Low", "Close", "Volume")])
+    run = store.run("load")
+    run.append(S.PRICES, rows(30_000, 0).coalesce(1))
+    run.commit()
+    load, added, rewritten = run.entries[S.PRICES][0], 0, 0
+    for day in range(1, 101):
+        run = store.run(f"d{day}")
+        run.append(S.PRICES, rows(20, day).coalesce(1))
+        added += run.entries[S.PRICES][-1]["bytes"]
+        rewritten += run.compact(S.PRICES)
+        run.commit()
+        assert len(run.entries[S.PRICES]) <= 4 * S.FOLDERS_PER_MERGE
+    assert load in run.entries[S.PRICES] and rewritten < 4 * added
+    assert store.read(S.PRICES).count() == 30_000 + 100 * 20
+    assert store.read(S.PRICES).where("Reference > date '2020-01-01'").groupBy("Reference").count().where("count = 20").count() == 100
+
+
 def test_schema_evolving_append_and_tables(spark):
     store = Store(spark, shared_dir(spark, "test-evolve"))
     for k, df in enumerate([spark.createDataFrame([("A", "0.5")], "Symbol string, Amount string"),
@@ -97,6 +121,9 @@ def test_schema_evolving_append_and_tables(spark):
         run.commit()
     got = sorted(tuple(r) for r in store.read(S.DIVIDENDS).select("Symbol", "Amount", "Currency").collect())
     assert got == [("A", "0.5", None), ("B", "0.7", "USD")]
+    assert "mergeSchema" not in str(store.view().schemas) and store.view().schema(S.DIVIDENDS).names == ["Symbol", "Amount", "Currency"]
+    with pytest.raises(ValueError, match="another type"):
+        store.run("r9").append(S.DIVIDENDS, spark.createDataFrame([("A", 0.5)], "Symbol string, Amount double"))
     assert store.tables() == [S.DIVIDENDS] and store.exists(S.DIVIDENDS) and not store.exists(S.PRICES)
 
 
@@ -134,9 +161,14 @@ def test_reports_rejects_and_unlisted_symbols(spark):
     first = P.initialize(spark, init, store, "i").collect()
     assert {(r.step, r.Symbol, r.status, r.n_rows) for r in first if "rejects" in r.step} == {
         ("price_rejects", "A", "bad_date", 1), ("sheet_rejects", "B", "unknown_report zz/12", 1)}
+    outcomes = {(r.Symbol, r.status): r.n_rows for r in first if r.step in ("sheets", "dividends")}
+    assert outcomes[("A", "committed cf/12")] == 1 and outcomes[("A", "no_report cf/3")] == 0
+    assert outcomes[("D", "committed")] == 1 and outcomes[("A", "no_dividend_history")] == 0
+    assert len(outcomes) == 4 * 7                            # six sheets and the dividends of every listed symbol
     assert not any("UNLISTED" in row for rows in _content(store).values() for row in rows)
     got = [(r.step, r.Symbol, r.status, r.n_rows) for r in P.daily_update(spark, daily, store, "d").collect()]
-    assert ("sheets", "E", "committed", 1) in got and ("dividends", "E", "committed", 1) in got
+    assert ("rename_verdict", None, "all_renamed", 5) in got
+    assert ("sheets", "E", "committed bs/3", 1) in got and ("dividends", "E", "committed", 1) in got
     assert ("sheet_rejects", "E", "unknown_report cf/6", 1) in got and ("price_rejects", "E", "bad_date", 1) in got
     assert {r.Symbol for r in store.read(S.SHEETS).collect()} == {"A", "DD", "E"}
     assert {r.Symbol for r in store.read(S.DIVIDENDS).collect()} == {"DD", "E"}
@@ -157,10 +189,10 @@ def test_stopped_runs_repeat_to_the_same_tables(spark, monkeypatch):
                 P.initialize(spark, init, store, "i")
             before = _content(store)
 
-            def stopping(self, name, df, at=at, late=late):
+            def stopping(self, name, df, *more, at=at, late=late):
                 if self.writes + 1 == at and not late:
                     raise KeyboardInterrupt
-                out = real(self, name, df)
+                out = real(self, name, df, *more)
                 if self.writes == at:
                     raise KeyboardInterrupt
                 return out
@@ -178,6 +210,28 @@ def test_stopped_runs_repeat_to_the_same_tables(spark, monkeypatch):
     assert _content(whole) == want
 
 
+def test_daily_update_reads_the_download_once(spark):
+    """Every downloaded row passes once, whatever is written, refused and counted of it."""
+    from pyspark.sql import functions as F
+    init, daily = _days(spark)
+    store = Store(spark, shared_dir(spark, "test-once"))
+    P.initialize(spark, init, store, "i")
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(date):
+        seen.add(1)
+        return date
+
+    raw = daily.prices.withColumn("Volume", F.lit("???"))
+    daily.prices = raw.withColumn("Date", F.udf(passed, "string").asNondeterministic()("Date"))
+    got = {(r.step, r.Symbol): (r.status, r.n_rows) for r in P.daily_update(spark, daily, store, "d").collect()}
+    assert seen.value == raw.count() == 5
+    assert got[("prices", "A")] == ("committed", 1) and got[("prices", "B")] == ("already_latest", 0)
+    assert got[("new_prices", "E")] == ("committed", 1) and got[("price_rejects", "E")] == ("bad_date", 1)
+    assert got[("number_rejects", "A")] == ("Volume", 1) and got[("number_rejects", "E")] == ("Volume", 1)
+    assert ("number_rejects", "B") not in got                # nothing of it was stored
+
+
 def test_two_writers_do_not_overwrite_each_other(spark):
     store = Store(spark, shared_dir(spark, "test-two"))
     key = spark.createDataFrame([("A", "NYSE")], "Symbol string, Market string")

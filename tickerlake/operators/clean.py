@@ -65,13 +65,12 @@ def listing_clean(nasdaq: DataFrame, nyse: DataFrame, order_col: str = "pos",
     return out if keep_order_col else out.drop(order_col)
 
 
-def price_history(raw: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Raw price rows -> (Symbol, Reference date, Open, High, Low, Close, Volume).
+def price_rows(raw: DataFrame, *extra: str, symbol: str | None = None) -> DataFrame:
+    """Raw price rows -> (Symbol, Reference date, Open, High, Low, Close, Volume) and the columns ``extra``.
 
     Missing columns become NULL, extra ones are dropped. 'm/d/yyyy' dates are
-    parsed strictly; rows whose date does not parse are left out (see
-    ``price_rejects``). Volume keeps digits only when the text is a number once
-    thousands separators are gone.
+    parsed strictly; a date that does not parse is NULL. Volume keeps digits only
+    when the text is a number once thousands separators are gone.
     """
     types = dict(raw.dtypes)
 
@@ -85,13 +84,18 @@ def price_history(raw: DataFrame, symbol: str | None = None) -> DataFrame:
         return X.to_number(pick(name))
 
     sym = pick("Symbol") if symbol is None else F.lit(symbol)
-    out = raw.select(
+    return raw.select(
         sym.cast("string").alias("Symbol"),
         X.parse_us_date(pick("Date")).alias("Reference"),
         *[number(c).alias(c) for c in ("Open", "High", "Low", "Close")],
         X.volume_number(pick("Volume")).alias("Volume"),
+        *extra,
     )
-    return out.where(F.col("Reference").isNotNull())
+
+
+def price_history(raw: DataFrame, symbol: str | None = None) -> DataFrame:
+    """``price_rows`` without the rows whose date does not parse (see ``price_rejects``)."""
+    return price_rows(raw, symbol=symbol).where(F.col("Reference").isNotNull())
 
 
 def price_rejects(raw: DataFrame) -> DataFrame:

@@ -148,11 +148,39 @@ def rename_keys(table: DataFrame, mapping: DataFrame, key: str = "Symbol") -> Da
                            for c in table.columns])
 
 
-def renames_done(audit: DataFrame, applied: DataFrame) -> DataFrame:
-    """One row: whether every expected rename message was reported (``bool_and``)."""
-    done = audit.select("message").distinct().join(
+def applied_renames(key_table: DataFrame, changes: DataFrame, mapping: DataFrame, table: str,
+                    before: DataFrame, after: DataFrame, key: str = "Symbol") -> DataFrame:
+    """(table, message) of each eligible change that ``after`` shows to be done; ``before`` is the table as it was.
+
+    A change is done when no row held its Old symbol, or when the symbol it finally
+    becomes is there and Old is gone (or is what some other symbol became). Only
+    distinct symbols are compared.
+    """
+    E = eligible_changes(key_table, changes).select("Old", "New").distinct()
+    final = mapping.select("Old", F.col("New").alias("__final"))
+    was, now = present_keys(before, [key]), present_keys(after, [key])
+    image = rename_keys(was, mapping, key).distinct()
+
+    def flag(df: DataFrame, name: str, on: str) -> DataFrame:
+        return df.select(F.col(key).alias(on), F.lit(True).alias(name))
+
+    out = (E.join(final, "Old").join(flag(was, "__held", "Old"), "Old", "left").join(flag(now, "__there", "__final"), "__final", "left")
+           .join(flag(now, "__still", "Old"), "Old", "left").join(flag(image, "__image", "Old"), "Old", "left"))
+    done = F.col("__held").isNull() | (F.col("__there").isNotNull() & (F.col("__still").isNull() | F.col("__image").isNotNull()))
+    return out.where(done).select(F.lit(table).alias("table"), F.format_string(RENAMED, F.col("Old"), F.col("New"), F.lit(table)).alias("message"))
+
+
+def renames_done(audit: DataFrame, applied: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Whether every expected rename message was reported (``bool_and``): one row, or one per value of ``by``.
+
+    Columns: ``by``, n_expected and n_reported (distinct messages), all_renamed (true where none is expected).
+    """
+    by = list(by)
+    done = audit.select(*by, "message").distinct().join(
         applied.select("message").distinct().withColumn("__done", F.lit(True)), "message", "left")
-    return done.agg(F.coalesce(F.bool_and(F.coalesce("__done", F.lit(False))), F.lit(True)).alias("all_renamed"))
+    flag = F.coalesce("__done", F.lit(False))
+    return done.groupBy(*by).agg(F.count(F.lit(1)).alias("n_expected"), F.count(F.when(flag, True)).alias("n_reported"),
+                                 F.coalesce(F.bool_and(flag), F.lit(True)).alias("all_renamed"))
 
 
 def rename_audit(key_table: DataFrame, changes: DataFrame, tables: Sequence[str] = tuple(STORE_TABLES)) -> DataFrame:

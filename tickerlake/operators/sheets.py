@@ -51,15 +51,20 @@ def _checked(long: DataFrame) -> DataFrame:
     return long.withColumn("item", F.when(good, F.col("item")).otherwise(F.raise_error(message)))
 
 
-def live_periods(long: DataFrame) -> list[str]:
-    """Periods that hold a value, in order: one aggregate, at most ``spark.sql.pivotMaxValues`` names."""
+def period_names(long: DataFrame) -> list[str]:
+    """Period names in order, empty periods included: one aggregate, at most ``spark.sql.pivotMaxValues`` names."""
     most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = long.where(F.col("value").isNotNull()).select("period").distinct().limit(most + 1).collect()
+    found = long.select("period").distinct().limit(most + 1).collect()
     if len(found) > most:
         raise ValueError(f"more than {most} periods (spark.sql.pivotMaxValues)")
     return sorted(r.period for r in found if r.period is not None)
 
 
+def live_periods(long: DataFrame) -> list[str]:
+    """Names of the periods that hold a value, in order."""
+    return period_names(long.where(F.col("value").isNotNull()))
+
+
 def format_sheet(long: DataFrame, report: str, periods: Sequence[str] | None = None, freq: int | None = None,
                  strict: bool = True) -> DataFrame:
     """Wide report: one row per (Symbol, item position), one column per period that holds a value.

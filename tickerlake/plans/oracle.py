@@ -24,6 +24,39 @@ def _iso(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d')"
 
 
+SIX_SHEETS = "(values ('is', 3), ('is', 12), ('bs', 3), ('bs', 12), ('cf', 3), ('cf', 12)) k(report, freq)"
+
+
+def _bad_volumes(job: str, src: str) -> str:
+    """Status rows of volumes that hold a text, yet no number."""
+    bad = f"""volume_text not in ('', 'n/a') and {_num("replace(volume_text, ',', '')")} is null"""
+    return f"select '{job}', 'number_rejects', Symbol, 'Volume', count(*) from {src} where {bad} group by Symbol"
+
+
+def _sheet_log(job: str, asked: str, cells: str, there: str) -> str:
+    """Status rows of the six sheets of each symbol of ``asked``, from the cells that came and the keys already stored."""
+    return f"""
+select '{job}', 'sheets', a.Symbol,
+       case when c.cells is null then 'no_report' when t.Symbol is not null then 'already_present'
+            when c.live = 0 then 'empty_report' else 'committed' end || ' ' || k.report || '/' || k.freq,
+       case when c.cells is not null and t.Symbol is null then coalesce(c.live, 0) else 0 end
+from (select distinct Symbol from {asked} where Symbol is not null) a cross join {SIX_SHEETS}
+left join (select Symbol, report, freq, sum(n) as cells, sum(case when filled > 0 then n else 0 end) as live
+           from (select Symbol, report, freq, period, count(*) as n, count(value) as filled from {cells} group by all)
+           group by Symbol, report, freq) c on c.Symbol = a.Symbol and c.report = k.report and c.freq = k.freq
+left join (select distinct Symbol, report, freq from {there}) t on t.Symbol = a.Symbol and t.report = k.report and t.freq = k.freq"""
+
+
+def _dividend_log(job: str, asked: str, rows: str, there: str) -> str:
+    return f"""
+select '{job}', 'dividends', a.Symbol,
+       case when c.n is null then 'no_dividend_history' when t.Symbol is not null then 'already_present' else 'committed' end,
+       case when t.Symbol is null then coalesce(c.n, 0) else 0 end
+from (select distinct Symbol from {asked} where Symbol is not null) a
+left join (select Symbol, count(*) as n from {rows} group by Symbol) c on c.Symbol = a.Symbol
+left join (select distinct Symbol from {there}) t on t.Symbol = a.Symbol"""
+
+
 PRICE_ROWS = f"""
   select 'S' || l_partkey as Symbol,
          case when l_quantity >= 50 then '13/45/2017' else strftime(l_shipdate, '%-m/%-d/%Y') end as Date,
@@ -42,7 +75,7 @@ PRICE_ROWS = f"""
 def _clean_prices(src: str) -> str:
     return f"""
   select Symbol, cast(try_strptime(Date, '%m/%d/%Y') as date) as Reference, Open, High, Low, Close,
-         {_num("replace(Volume, ',', '')")} as Volume
+         {_num("replace(Volume, ',', '')")} as Volume, Volume as volume_text
   from {src} where try_strptime(Date, '%m/%d/%Y') is not null"""
 
 
@@ -218,8 +251,8 @@ st as (select r.Symbol,
                    when p.n_new = 0 then 'already_latest' else 'committed' end as status,
               p.n_new
        from old_syms r left join lat1 l on l.Symbol = r.Symbol left join per p on p.Symbol = r.Symbol),
-p_old as (select o.Symbol, o.Reference from old_rows o join lat1 l on l.Symbol = o.Symbol where o.Reference > l.last),
-p_new as (select Symbol, Reference from incoming
+p_old as (select o.Symbol, o.Reference, o.volume_text from old_rows o join lat1 l on l.Symbol = o.Symbol where o.Reference > l.last),
+p_new as (select Symbol, Reference, volume_text from incoming
           where Symbol in (select Symbol from new_rows) and Symbol not in (select Symbol from lat1)),
 added as (select Symbol, Market from new_rows
           where Symbol not in (select Symbol from ka where Symbol is not null)),
@@ -407,15 +440,15 @@ kb as (""" + _listing_keys("listing_i") + """),""" + INITIAL + """
 select 'initialize' as job, 'key_table' as step, Symbol, 'created' as status, cast(1 as bigint) as n_rows
 from kb
 union all
-select 'initialize', 'prices', Symbol, 'committed', count(*) from p0 group by Symbol
+select 'initialize', 'new_prices', kb.Symbol, case when n is null then 'no_price_history' else 'committed' end, coalesce(n, 0)
+from kb left join (select Symbol, count(*) as n from p0 group by Symbol) p on p.Symbol = kb.Symbol
 union all
 select 'initialize', 'price_rejects', Symbol, 'bad_date', count(*) from raw
 where l_linestatus = 'F' and l_partkey % 10 <> 3 and try_strptime(Date, '%m/%d/%Y') is null
   and Symbol in (select Symbol from kb) group by Symbol
-union all
-select 'initialize', 'sheets', Symbol, 'committed', count(*) from s0 group by Symbol
-union all
-select 'initialize', 'dividends', Symbol, 'committed', count(*) from d0 group by Symbol""",
+union all """ + _bad_volumes("initialize", "p0") + """
+union all """ + _sheet_log("initialize", "kb", "sheet_stored", "(select * from kb where false) x, (select null as report, null as freq) y") + """
+union all """ + _dividend_log("initialize", "kb", "d0", "(select * from kb where false)"),
 
     "daily_update": DAILY + """
 select 'daily_update' as job, 'rename' as step, Old as Symbol,
@@ -426,20 +459,25 @@ select 'daily_update', 'compare', Symbol, category, 1 from cmp
 union all
 select 'daily_update', 'prices', Symbol, status, case when status = 'committed' then n_new else 0 end from st
 union all
-select 'daily_update', 'new_prices', Symbol, 'committed', count(*) from p_new group by Symbol
+select 'daily_update', 'new_prices', r.Symbol,
+       case when i.n is null then 'no_price_history' when l.last is not null then 'already_present' else 'committed' end,
+       case when l.last is null then coalesce(i.n, 0) else 0 end
+from (select distinct Symbol from new_rows) r left join lat1 l on l.Symbol = r.Symbol
+left join (select Symbol, count(*) as n from incoming group by Symbol) i on i.Symbol = r.Symbol
 union all
 select 'daily_update', 'price_rejects', Symbol, 'bad_date', count(*) from raw
 where l_partkey % 10 <> 7 and try_strptime(Date, '%m/%d/%Y') is null and Symbol in (select Symbol from dl) group by Symbol
+union all """ + _bad_volumes("daily_update", "(select * from p_old union all select * from p_new)") + """
+union all
+select 'daily_update', 'rename_verdict', null, 'all_renamed', 5 * count(*) from (select distinct Old, New from e)
 union all
 select 'daily_update', 'new_keys', Symbol, (select m from msg), 1 from added
 union all
 select 'daily_update', 'sheet_rejects', Symbol, 'unknown_report ' || report || '/' || freq, count(*) from sheet_mixed
 where Symbol in (select Symbol from added) and not (report in ('is', 'bs', 'cf') and freq in (3, 12))
 group by Symbol, report, freq
-union all
-select 'daily_update', 'sheets', Symbol, 'committed', count(*) from s_new group by Symbol
-union all
-select 'daily_update', 'dividends', Symbol, 'committed', count(*) from d_new group by Symbol""",
+union all """ + _sheet_log("daily_update", "added", "sheet_mixed", "s1") + """
+union all """ + _dividend_log("daily_update", "added", "divs", "d1"),
 
     "daily_tables": DAILY + """
 select 'TenYrPrices' as "table", Symbol, count(*) as n_rows, strftime(max(Reference), '%Y-%m-%d') as last
@@ -459,6 +497,62 @@ union all
 select 'AllStocksKey', Symbol, count(*), max(Market)
 from (select * from ka union all select * from added) group by Symbol""",
 
+    "report_outcomes": _with(SHEETS, DIVIDENDS, KEYS) + ", log(job, step, Symbol, status, n_rows) as (" + _sheet_log("", "kd", "sheet_mixed", "sheet_stored")
+    + "\nunion all" + _dividend_log("", "kd", "divs", """(select 'S' || o_custkey as Symbol from orders
+      where o_orderstatus = 'F' and o_orderdate < timestamp '1995-03-01')""") + """)
+select Symbol, case when step = 'sheets' then regexp_extract(status, ' (.*)/', 1) else 'div' end as report,
+       case when step = 'sheets' then cast(regexp_extract(status, '/(.*)', 1) as int) end as freq,
+       regexp_extract(status, '^[a-z_]+') as outcome, cast(n_rows as bigint) as n_rows from log
+union all
+select Symbol, report, freq, 'unknown_report', count(*) from sheet_mixed
+where Symbol in (select Symbol from kd) and (report, freq) not in (select * from """ + SIX_SHEETS + """)
+group by Symbol, report, freq""",
+
+    "number_rejects": _with(PRICES, LISTINGS) + f"""
+, messy as (
+  select regexp_replace(Symbol, '\\s+', '', 'g') as Symbol,
+         case when pos % 23 = 0 then 'call' when pos % 29 = 0 then null else LastSale end as sale,
+         regexp_replace(case when pos % 31 = 0 then '$1.5K' else MarketCap end, '[$MB]', '', 'g') as cap from listing)
+select 'prices' as source, Symbol, 'Volume' as "column", count(*) as n_cells from raw
+where try_strptime(Date, '%m/%d/%Y') is not null and {_num("replace(Volume, ',', '')")} is null group by Symbol
+union all
+select 'listing', Symbol, 'LastSale', count(*) from messy
+where cap is distinct from 'n/a' and sale is not null and {_num("sale")} is null group by Symbol
+union all
+select 'listing', Symbol, 'MarketCap', count(*) from messy
+where cap <> 'n/a' and cap <> '' and {_num("cap")} is null group by Symbol""",
+
+    "create_key_table": _with(_listings("S", "AUTOMOBILE")) + ", kb as (" + _listing_keys("listing") + """)
+select Symbol, Market, 'already_exists' as second_attempt from kb""",
+
+    "evolved_dividends": _with(DIVIDENDS) + """
+select Symbol, "Ex-Dividend Date" as "Ex-Dividend_Date", "Declaration Date" as "Declaration_Date", "Record Date" as "Record_Date",
+       "Payable Date" as "Payable_Date", "Dividend Type" as "Dividend_Type", Amount, null as Currency from past
+union all
+select Symbol, "Ex-Dividend_Date", "Declaration_Date", "Record_Date", "Payable_Date", "Dividend_Type", Amount, Currency from divs""",
+
+    "renamed_tables": _with(PRICES, SHEETS, DIVIDENDS, KEYS, CHANGES) + f"""
+select 'TenYrPrices' as "table", coalesce(m.New, s.Symbol) as Symbol, {_iso('s.Reference')} as "row", s.Open, s.High, s.Low, s.Close, s.Volume
+from stored s left join rmap m on m.Old = s.Symbol
+union all
+select 'Sheets', coalesce(m.New, s.Symbol), concat_ws('/', s.report, s.freq, s.pos, s.item, s.label, s.period), s.value, null, null, null, null
+from sheet_stored s left join rmap m on m.Old = s.Symbol
+union all
+select 'Dividends', coalesce(m.New, s.Symbol),
+       concat_ws('/', "Ex-Dividend_Date", "Declaration_Date", "Record_Date", "Payable_Date", "Dividend_Type", Amount, Currency), null, null, null, null, null
+from divs s left join rmap m on m.Old = s.Symbol""",
+
+    "renames_done": _with(PRICES, SHEETS, DIVIDENDS, KEYS, CHANGES) + """,
+ex as (select distinct e.Old, e.New, m.New as final from e join rmap m on m.Old = e.Old)
+select 'TenYrPrices' as "table", count(*) as n_expected, count(*) as n_reported, true as all_renamed from ex
+union all
+select 'Sheets', count(*), count(*), true from ex
+union all
+select 'Dividends', count(*), count(*) filter (where ok), coalesce(bool_and(ok), true) from (
+  select Old not in (select Symbol from divs)
+         or (final in (select Symbol from divs) and Old in (select coalesce(m.New, d.Symbol) from divs d left join rmap m on m.Old = d.Symbol)) as ok
+  from ex)""",
+
     "rename_audit": _with(KEYS, CHANGES) + """
 select Old, New, t.name as "table", printf('Updated %s with %s in %s table', Old, New, t.name) as message
 from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome', 'TenKBalance',
@@ -467,3 +561,5 @@ from e, (select unnest(['AllStocksKey', 'TenYrPrices', 'Dividends', 'TenKIncome'
 
 # Short lines read like full ones.
 ORACLE["read_short_sheets"] = ORACLE["read_sheets"]
+# Listing files hold the listing.
+ORACLE["read_listing"] = ORACLE["listing_clean"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions import exprs as X
-from tickerlake.operators import clean, dividends, history, keys, sheets
+from tickerlake.operators import clean, dividends, history, keys, ledger, sheets
 from tickerlake.plans import store_jobs as P
 from tickerlake.session import shared_dir
 from tickerlake.sources import adapters as A
@@ -21,8 +21,6 @@ from tickerlake.sources import offset_csv as CSV
 from tickerlake.sources import store as S
 from tickerlake.sources.store import Store
 
-# A fiscal year that no sheet reports yet, next to those that do.
-PROBE_PERIODS = [str(y) for y in range(1995, 2003)]
 DIVIDEND_AS_OF = "2001-08-01"
 DIVIDEND_YEARS = 3
 REORDERED_COLUMNS = ["Date", "Close", "High", "Low", "Open", "Volume"]
@@ -38,6 +36,12 @@ def _iso(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_incremental_prices(spark, d):
     out = history.incremental_prices(A.prices_stored(spark, d), A.prices_incoming(spark, d))
     return _iso(out, "Reference")
@@ -91,10 +95,11 @@ def q_key_first(spark, d):
 
 
 def q_drop_null_columns(spark, d):
-    """The all-NULL probe year goes; found on the long rows, so the report is pivoted once."""
-    long = A.sheets_long(spark, d)
-    live = set(sheets.live_periods(long.where((F.col("report") == "cf") & (F.col("freq") == 12))))
-    return sheets.annual_cashflow(long, [p for p in PROBE_PERIODS if p in live])
+    """A wide report of every period that is named, stored once, without those that hold no value."""
+    long = A.sheets_with_ttm(spark, d)
+    long = long.where((F.col("report") == "cf") & (F.col("freq") == 12))
+    wide = _stored(sheets.annual_cashflow(long, sheets.period_names(long)), "wide-report")
+    return clean.drop_null_columns(wide)
 
 
 def q_drop_null_periods(spark, d):
@@ -163,30 +168,132 @@ def q_rename_audit(spark, d):
     return keys.rename_audit(A.keys_db(spark, d), A.ticker_changes(spark, d)).drop("pos", "Date")
 
 
+# Written report files: (kind of files) -> how to write them into a folder.
+FILES: dict[str, Callable[[SparkSession, str, str], str]] = {
+    "prices": lambda spark, d, out: CSV.write_offset_csv(A.prices_raw(spark, d), out, PRICE_FILE_COLUMNS, "daily history"),
+    "reordered": lambda spark, d, out: CSV.write_offset_csv(A.prices_raw(spark, d), out, REORDERED_COLUMNS, "daily history"),
+    "sheets": lambda spark, d, out: CSV.write_sheets(A.sheets_long(spark, d), out),
+    "short_sheets": lambda spark, d, out: CSV.write_sheets(A.sheets_long(spark, d), out, short=True),
+    "nasdaq": lambda spark, d, out: CSV.write_listing(A.listing_nasdaq(spark, d), out),
+    "nyse": lambda spark, d, out: CSV.write_listing(A.listing_nyse(spark, d), out),
+}
+# The files that a query reads.
+FILES_OF = {"read_offset_csv": ["prices"], "read_reordered_csv": ["reordered"], "read_sheets": ["sheets"],
+            "read_short_sheets": ["short_sheets"], "read_listing": ["nasdaq", "nyse"]}
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def report_files(spark: SparkSession, d: str, kind: str) -> str:
+    """Folder of the report files of one kind, written once per session and input."""
+    key = (spark.sparkContext.applicationId, d, kind)
+    if key not in _written:
+        _written[key] = FILES[kind](spark, d, shared_dir(spark, f"{kind}-files"))
+    return _written[key]
+
+
 def q_read_offset_csv(spark, d):
-    """Write every raw price row as per-symbol files (title line above the
-    header), then read them back."""
-    out = CSV.write_offset_csv(A.prices_raw(spark, d), shared_dir(spark, "price-files"),
-                               PRICE_FILE_COLUMNS, "daily history")
-    return CSV.read_offset_csv(spark, out, 1, PRICE_FILE_SCHEMA).drop("__order")
+    """Every raw price row, from per-symbol files with a title line above the header."""
+    return CSV.read_offset_csv(spark, report_files(spark, d, "prices"), 1, PRICE_FILE_SCHEMA).drop("__order")
 
 
 def q_read_sheets(spark, d):
-    """Write every sheet as one file per (symbol, report, freq), read back long."""
-    out = CSV.write_sheets(A.sheets_long(spark, d), shared_dir(spark, "sheet-files"))
-    return CSV.read_sheets(spark, out, 1)
+    """Every sheet, from one file per (symbol, report, freq), as long rows."""
+    return CSV.read_sheets(spark, report_files(spark, d, "sheets"), 1)
 
 
 def q_read_reordered_csv(spark, d):
     """Price files whose columns stand in another order: cells go by header name."""
-    out = CSV.write_offset_csv(A.prices_raw(spark, d), shared_dir(spark, "price-files"), REORDERED_COLUMNS, "daily history")
-    return CSV.read_offset_csv(spark, out, 1, PRICE_FILE_SCHEMA).drop("__order")
+    return CSV.read_offset_csv(spark, report_files(spark, d, "reordered"), 1, PRICE_FILE_SCHEMA).drop("__order")
 
 
 def q_read_short_sheets(spark, d):
     """Sheet files whose lines end with their last filled cell (section lines hold no comma at all)."""
-    out = CSV.write_sheets(A.sheets_long(spark, d), shared_dir(spark, "sheet-files"), short=True)
-    return CSV.read_sheets(spark, out, 1)
+    return CSV.read_sheets(spark, report_files(spark, d, "short_sheets"), 1)
+
+
+def q_read_listing(spark, d):
+    """Both exchanges' listing files (header on row 1, byte-order mark, quotes), cleaned."""
+    nasdaq, nyse = (CSV.read_listing(spark, report_files(spark, d, kind)) for kind in ("nasdaq", "nyse"))
+    return clean.listing_clean(nasdaq, nyse)
+
+
+def q_report_outcomes(spark, d):
+    """What became of each sheet and dividend history of every symbol of the key table."""
+    div = dividends.dividend_history(A.dividends_past(spark, d), A.dividends_upcoming(spark, d))
+    return ledger.report_outcomes(A.keys_db(spark, d), A.sheets_mixed(spark, d), A.sheets_stored(spark, d), div, A.dividends_stored(spark, d))
+
+
+def q_number_rejects(spark, d):
+    """Cells of listings and prices that hold a text, yet no number."""
+    listed = ledger.listing_number_rejects(A.messy(A.listing_nasdaq(spark, d)), A.messy(A.listing_nyse(spark, d)))
+    return (ledger.price_number_rejects(A.prices_raw(spark, d)).withColumn("source", F.lit("prices"))
+            .unionByName(listed.withColumn("source", F.lit("listing"))))
+
+
+def q_create_key_table(spark, d):
+    """The key table after it was created, and after a second attempt with another list, which is refused."""
+    store = Store(spark, shared_dir(spark, "store"))
+    first, second = (clean.listing_clean(A.listing_nasdaq(spark, d, "S", skip_segment=s), A.listing_nyse(spark, d, "S")) for s in ("AUTOMOBILE", "BUILDING"))
+    run = store.run("first")
+    P.create_key_table(run, first)
+    run.commit()
+    try:
+        P.create_key_table(store.run("second"), second)
+        outcome = "created"
+    except ValueError:
+        outcome = "already_exists"
+    return store.read(S.KEY_TABLE).withColumn("second_attempt", F.lit(outcome))
+
+
+def q_evolved_dividends(spark, d):
+    """Dividends after two appends, of which the second brings the currency as a new column."""
+    store = Store(spark, shared_dir(spark, "store"))
+    both = dividends.dividend_history(A.dividends_past(spark, d), A.dividends_upcoming(spark, d))
+    for name, rows in (("past", clean.underscore_columns(A.dividends_past(spark, d))), ("all", both)):
+        run = store.run(name)
+        run.append(S.DIVIDENDS, rows)
+        run.commit()
+    return store.read(S.DIVIDENDS)
+
+
+def _renamed(spark, d, skip: str | None = None) -> tuple[Store, dict, DataFrame]:
+    """Prices, sheets and dividends stored, then renamed where they lie (except ``skip``); with the parts before and after."""
+    store = Store(spark, shared_dir(spark, "store"))
+    div = dividends.dividend_history(A.dividends_past(spark, d), A.dividends_upcoming(spark, d))
+    run = store.run("load")
+    for name, rows in ((S.PRICES, A.prices_stored(spark, d)), (S.SHEETS, A.sheets_stored(spark, d)), (S.DIVIDENDS, div)):
+        run.append(name, rows)
+    run.commit()
+    mapping = keys.rename_map(A.keys_db(spark, d), A.ticker_changes(spark, d)).checkpoint(eager=True)
+    run = store.run("rename")
+    parts = {name: (run.read(name),) * 2 if name == skip else run.rename_symbols(name, mapping, keys.rename_keys) for name in run.names()}
+    run.commit()
+    return store, parts, mapping
+
+
+def q_renamed_tables(spark, d):
+    """Every stored row of three tables after a rename at rest."""
+    store, _, _ = _renamed(spark, d)
+    numbers = ["Open", "High", "Low", "Close", "Volume"]
+    none = [F.lit(None).cast("double").alias(c) for c in numbers]
+    prices = store.read(S.PRICES).select(F.lit(S.PRICES).alias("table"), "Symbol", X.iso_date("Reference").alias("row"), *numbers)
+    rows = store.read(S.SHEETS)
+    name = F.concat_ws("/", "report", F.col("freq").cast("string"), F.col("pos").cast("string"), "item", "label", "period")
+    rows = rows.select(F.lit(S.SHEETS).alias("table"), "Symbol", name.alias("row"), F.col("value").alias("Open"), *none[1:])
+    div = store.read(S.DIVIDENDS)
+    div = div.select(F.lit(S.DIVIDENDS).alias("table"), "Symbol", F.concat_ws("/", *[c for c in div.columns if c != "Symbol"]).alias("row"), *none)
+    return prices.unionByName(rows).unionByName(div)
+
+
+def q_renames_done(spark, d):
+    """Verdict per table over the rename messages of a run that left one table as it was."""
+    _, parts, mapping = _renamed(spark, d, skip=S.DIVIDENDS)
+    known, changes = A.keys_db(spark, d), A.ticker_changes(spark, d)
+    applied = None
+    for name, (before, after) in parts.items():
+        done = keys.applied_renames(known, changes, mapping, name, before, after)
+        applied = done if applied is None else applied.unionByName(done)
+    return keys.renames_done(keys.rename_audit(known, changes, list(parts)), applied, by=["table"])
 
 
 def _initial(spark, d) -> tuple[Store, P.Inputs]:
@@ -266,6 +373,13 @@ QUERIES: dict[str, Query] = {
     "read_sheets": q_read_sheets,
     "read_reordered_csv": q_read_reordered_csv,
     "read_short_sheets": q_read_short_sheets,
+    "read_listing": q_read_listing,
+    "report_outcomes": q_report_outcomes,
+    "number_rejects": q_number_rejects,
+    "create_key_table": q_create_key_table,
+    "evolved_dividends": q_evolved_dividends,
+    "renamed_tables": q_renamed_tables,
+    "renames_done": q_renames_done,
     "initialize": q_initialize,
     "daily_update": q_daily_update,
     "daily_tables": q_daily_tables,

@@ -7,8 +7,10 @@ report files); outputs are tables in a ``Store`` plus one status row per
 visible together; repeating a run id after a stop gives what an uninterrupted
 run gives, and repeating a committed one changes nothing.
 
-Large inputs are never copied aside: rows go straight into their table, and
-marks and counts are read back from the two columns they need.
+A price download is read once: its rows are tagged, those to store go straight into
+their table and the rest is counted in the same pass; marks, outcomes and rejects
+come from the few columns written. Every listed symbol gets an outcome for its prices,
+each of its sheets and its dividends, also where there was nothing to store.
 """
 
 from __future__ import annotations
@@ -16,15 +18,19 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.operators import clean, dividends, history, keys, sheets
+from tickerlake.operators import clean, dividends, history, keys, ledger, sheets
 from tickerlake.session import checkpoint_root
 from tickerlake.sources import store as S
 
-# Fixed value: status of price rows that a run did not store.
-BAD_DATE = "bad_date"
+# The verdict over all rename messages of a run.
+ALL_RENAMED, RENAMES_MISSING = "all_renamed", "renames_missing"
+# Columns of the written price rows that are counted.
+COUNTED = ["tag", "bad_cells", "n_rows"]
+# Tables that every run adds a folder to.
+GROWING = (S.KEY_TABLE, S.PRICES, S.SHEETS, S.DIVIDENDS, S.STATUS)
 
 
 @dataclass
@@ -52,6 +58,8 @@ def _finish(run: S.Run, rows: list[DataFrame]) -> DataFrame:
     for r in rows[1:]:
         out = out.unionByName(r)
     run.append(S.STATUS, out.withColumn("run_id", F.lit(run.run_id)).withColumn("run_ts", F.current_timestamp()))
+    for name in GROWING:
+        run.compact(name)
     run.commit()
     return _report(run)
 
@@ -67,35 +75,59 @@ def _merge_marks(latest: DataFrame, mapping: DataFrame) -> DataFrame:
     return renamed.groupBy("Symbol").agg(F.max("last_reference").alias("last_reference"))
 
 
-def _per_symbol(df: DataFrame) -> DataFrame:
-    return df.groupBy("Symbol").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _listed(df: DataFrame, symbols: DataFrame) -> DataFrame:
     return df.join(symbols.select("Symbol").distinct(), "Symbol", "left_semi")
 
 
-def _rejects(job: str, raw: DataFrame, symbols: DataFrame) -> DataFrame:
-    bad = clean.price_rejects(_listed(raw.select("Symbol", "Date"), symbols))
-    return _status(job, "price_rejects", bad, BAD_DATE, F.col("n_bad_dates"))
+def _price_log(job: str, symbols: DataFrame, written: DataFrame) -> list[DataFrame]:
+    """Outcome of every listed symbol, rows with a bad date and cells that are no number, from the written rows' counts."""
+    counts = ledger.tag_counts(written)
+    outcomes = ledger.price_outcomes(symbols, counts)
+    bad = counts.where(F.col(f"n_{ledger.BAD_DATE}") > 0)
+    cells = ledger.cell_counts(written.where(F.col("tag").isin(*ledger.KEPT)), F.col("n_rows"))
+    return [_status(job, "prices", outcomes.where("not is_new"), F.col("status"), F.col("n_rows")),
+            _status(job, "new_prices", outcomes.where("is_new"), F.col("status"), F.col("n_rows")),
+            _status(job, "price_rejects", bad, ledger.BAD_DATE, F.col(f"n_{ledger.BAD_DATE}")),
+            _status(job, "number_rejects", cells, F.col("column"), F.col("n_cells"))]
+
+
+def _sheet_status() -> Column:
+    kind = F.concat_ws("/", F.coalesce("report", F.lit("?")), F.coalesce(F.col("freq").cast("string"), F.lit("?")))
+    return F.concat_ws(" ", F.col("outcome"), kind)
 
 
 def _reports(run: S.Run, job: str, inputs: Inputs, symbols: DataFrame, log: list[DataFrame]) -> None:
-    """Sheets and dividends of ``symbols`` that the store does not hold yet."""
+    """Sheets and dividends of ``symbols`` that the store does not hold yet; an outcome for each report of each symbol."""
     if inputs.sheets is not None:
-        rows = _listed(inputs.sheets, symbols)
-        unknown = history.route_rejects(rows)
-        log.append(_status(job, "sheet_rejects", unknown, F.concat_ws(" ", F.col("status"), F.concat_ws(
-            "/", F.coalesce("report", F.lit("?")), F.coalesce(F.col("freq").cast("string"), F.lit("?")))), F.col("n_rows")))
-        stored = run.read_or_empty(S.SHEETS)
-        rows = history.route_report(stored, sheets.drop_null_periods(rows)).drop("table")
-        log.append(_status(job, "sheets", _per_symbol(run.append(S.SHEETS, rows)), history.COMMITTED, F.col("n")))
+        rows, stored = _listed(inputs.sheets, symbols), run.read_or_empty(S.SHEETS)
+        outcomes = ledger.sheet_outcomes(symbols, rows, stored)
+        run.append(S.SHEETS, history.route_report(stored, sheets.drop_null_periods(rows)).drop("table"))
+        odd = F.col("outcome") == history.UNKNOWN_REPORT
+        log.append(_status(job, "sheets", outcomes.where(~odd), _sheet_status(), F.col("n_rows")))
+        log.append(_status(job, "sheet_rejects", outcomes.where(odd), _sheet_status(), F.col("n_rows")))
     if inputs.div_past is not None:
         upcoming = inputs.div_upcoming if inputs.div_upcoming is not None else inputs.div_past.limit(0)
         div = _listed(dividends.dividend_history(inputs.div_past, upcoming), symbols)
-        if run.exists(S.DIVIDENDS):
-            div = history.append_new_history(run.read(S.DIVIDENDS), div)
-        log.append(_status(job, "dividends", _per_symbol(run.append(S.DIVIDENDS, div)), history.COMMITTED, F.col("n")))
+        stored = run.read(S.DIVIDENDS) if run.exists(S.DIVIDENDS) else None
+        outcomes = ledger.dividend_outcomes(symbols, div, stored)
+        run.append(S.DIVIDENDS, div if stored is None else history.append_new_history(stored, div))
+        log.append(_status(job, "dividends", outcomes, F.col("outcome"), F.col("n_rows")))
+
+
+def _rename(run: S.Run, job: str, changes: DataFrame) -> list[DataFrame]:
+    """Rename every stored table; the messages of the changes found done, and the verdict over all of them."""
+    key_before = run.read(S.KEY_TABLE)
+    mapping = keys.rename_map(key_before, changes).checkpoint(eager=True)
+    tables, applied = [t for t in run.names() if t != S.STATUS], None
+    for name in tables:
+        before, after = run.rename_symbols(name, mapping, _merge_marks if name == S.LATEST else keys.rename_keys)
+        done = keys.applied_renames(key_before, changes, mapping, name, before, after)
+        applied = done if applied is None else applied.unionByName(done)
+    audit = keys.rename_audit(key_before, changes, tables)
+    reported = audit.join(applied.select("message").distinct(), "message", "left_semi")
+    verdict = keys.renames_done(audit, applied).withColumn("Symbol", F.lit(None).cast("string"))
+    return [_status(job, "rename", reported.withColumn("Symbol", F.col("Old")), F.col("message"), F.lit(1)),
+            _status(job, "rename_verdict", verdict, F.when(F.col("all_renamed"), ALL_RENAMED).otherwise(RENAMES_MISSING), F.col("n_expected"))]
 
 
 def create_key_table(run: S.Run, symbols: DataFrame) -> DataFrame:
@@ -120,10 +152,12 @@ def initialize(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: str
     log.append(_status(job, "key_table", key_table, "created", F.lit(1)))
 
     if inputs.prices is not None:
-        rows = run.append(S.PRICES, _listed(clean.price_history(inputs.prices), key_table))
+        # Nearly every row is kept: tagged rows go to their buckets as they are, rejected ones aside.
+        symbols = ledger.scope(key_table.limit(0), key_table, run.read_or_empty(S.LATEST))
+        tagged = ledger.tag_prices(inputs.prices, symbols).withColumn("n_rows", F.lit(1).cast("long"))
+        rows, written = run.append_counted(S.PRICES, tagged, ~F.col("tag").isin(*ledger.KEPT), COUNTED)
         run.replace(S.LATEST, history.latest_per_key(rows))
-        log.append(_status(job, "prices", _per_symbol(rows), history.COMMITTED, F.col("n")))
-        log.append(_rejects(job, inputs.prices, key_table))
+        log += _price_log(job, symbols, written)
     _reports(run, job, inputs, key_table, log)
     return _finish(run, log)
 
@@ -139,15 +173,7 @@ def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: st
     listing = clean.listing_clean(inputs.nasdaq, inputs.nyse).select("Symbol", "Market")
 
     if inputs.changes is not None:
-        key_before = run.read(S.KEY_TABLE)
-        mapping = keys.rename_map(key_before, inputs.changes).checkpoint(eager=True)
-        renamed = [t for t in run.names() if t != S.STATUS]
-        for name in renamed:
-            run.rename_symbols(name, mapping, _merge_marks if name == S.LATEST else keys.rename_keys)
-        audit = keys.rename_audit(key_before, inputs.changes, renamed)
-        log.append(audit.select(F.lit(job).alias("job"), F.lit("rename").alias("step"),
-                                F.col("Old").alias("Symbol"), F.col("message").alias("status"),
-                                F.lit(1).cast("long").alias("n_rows")))
+        log += _rename(run, job, inputs.changes)
 
     key_table = run.read(S.KEY_TABLE)
     split = keys.compare_lists(key_table, listing).checkpoint(eager=True)  # keys only: one small row per symbol
@@ -156,26 +182,18 @@ def daily_update(spark: SparkSession, inputs: Inputs, store: S.Store, run_id: st
     new = split.where(F.col("category") == keys.NEW).select("Symbol", "Market")
 
     if inputs.prices is not None:
-        # The history itself is never scanned: marks and stored symbols come from
-        # the one-row-per-symbol LatestPrice table, and of the download only the
-        # newer rows are written.
+        # The history itself is never scanned: marks come from the one-row-per-symbol LatestPrice table. The
+        # download is scanned once; only its newer rows are shuffled and written, the rest as counts.
         latest = run.read_or_empty(S.LATEST)
-        fetched = clean.price_history(inputs.prices)
-        old_rows = _listed(fetched, old)
-        log.append(_status(job, "prices", history.refresh_status(old, None, old_rows, latest=latest),
-                           F.col("status"), F.col("n_rows")))
-        fresh = history.incremental_prices(None, old_rows, latest=latest)
-        brand_new = history.append_new_history(latest.select("Symbol"), _listed(fetched, new))
-        rows = run.append(S.PRICES, fresh.unionByName(brand_new))
+        symbols = ledger.scope(old, new, latest).checkpoint(eager=True)  # one small row per symbol
+        tagged = ledger.unfolded(ledger.folded(ledger.tag_prices(inputs.prices, symbols)))
+        rows, written = run.append_counted(S.PRICES, tagged, ~F.col("tag").isin(*ledger.KEPT), COUNTED)
         run.replace(S.LATEST, history.advance_latest(latest, rows))
-        run.compact(S.PRICES)
-        log.append(_status(job, "new_prices", _per_symbol(_listed(rows, new)), history.COMMITTED, F.col("n")))
-        log.append(_rejects(job, inputs.prices, listing))
+        log += _price_log(job, symbols, written)
 
     added = keys.new_keys(key_table, new)
     summary = keys.new_keys_summary(key_table, new).first()
     added = run.append(S.KEY_TABLE, added)
-    run.compact(S.KEY_TABLE)
     log.append(_status(job, "new_keys", added, summary["message"], F.lit(1)))
     _reports(run, job, inputs, added, log)
     return _finish(run, log)

@@ -81,6 +81,12 @@ def listing_nyse(spark: SparkSession, sf_dir: str, prefix: str = "T") -> DataFra
     )
 
 
+def messy(listing: DataFrame) -> DataFrame:
+    """A listing among whose sales and market caps some read as no number."""
+    return (listing.withColumn("LastSale", F.when(F.col("pos") % 23 == 0, F.lit("call")).when(F.col("pos") % 29 == 0, F.lit("n/a")).otherwise(F.col("LastSale")))
+            .withColumn("MarketCap", F.when(F.col("pos") % 31 == 0, F.lit("$1.5K")).otherwise(F.col("MarketCap"))))
+
+
 # -- prices -------------------------------------------------------------------
 
 def _lineitem_prices(li: DataFrame) -> DataFrame:
@@ -191,6 +197,12 @@ def dividends_upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dividends(o.where(F.col("o_orderstatus") == "O"))
 
 
+def dividends_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dividends already stored: past ones of orders placed before March 1995."""
+    o = table(spark, sf_dir, "orders")
+    return _dividends(o.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit("1995-03-01").cast("timestamp_ntz"))))
+
+
 # -- financial sheets (long form) -------------------------------------------------
 
 def _sheets(o: DataFrame) -> DataFrame:
@@ -229,3 +241,9 @@ def sheets_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets already stored: cells of orders placed before 1997."""
     o = table(spark, sf_dir, "orders")
     return _sheets(o.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")))
+
+
+def sheets_with_ttm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sheet cell, and for each line an empty cell of the twelve months under way."""
+    long = sheets_long(spark, sf_dir)
+    return long.unionByName(long.withColumn("period", F.lit("TTM")).withColumn("value", F.lit(None).cast("double")))

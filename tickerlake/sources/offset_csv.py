@@ -1,11 +1,13 @@
 """Per-symbol report files whose header sits below ``skip`` title lines.
 
 Files are read line by line (splittable; one huge file is spread over many
-tasks). One Arrow-batched pass per partition numbers the non-blank lines of each
-split; the lines of the splits before it, from one count per split, turn that
-into the line's number in its file. The header line of each file and the first
-line number of each split reach the lines by one equi-join on (file, split),
-whatever the files' sizes (AQE broadcasts the small side and splits skewed files).
+tasks), without Python. A task numbers its non-blank lines one after the other
+(``monotonically_increasing_id``), so within a split a line's number less the split's
+smallest is its place there; the lines of the splits before it, from one count
+per split, turn that into its number in the file. The header line of each file is
+looked up by its number. Header and first line number of each split reach the lines by one
+equi-join on (file, split), whatever the files' sizes (AQE broadcasts the small
+side and splits skewed files).
 
 Symbol (and report/freq for sheets) come from ``key=value`` folders when the
 files are laid out that way, else from the file name.
@@ -15,7 +17,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,24 +32,6 @@ SHEET_NAME = r"^(.+)_(is|bs|cf)_([0-9]+)$"
 ROWS_PER_FILE = 1_000_000
 
 
-def line_numbering():
-    """Per partition: ``seq`` = index of the line inside its split."""
-
-    def run(batches):
-        seen: dict[tuple, int] = {}
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(seq=pd.Series(dtype="int64"))
-                continue
-            key = list(zip(pdf["file"], pdf["block"]))
-            offset = pd.Series([seen.get(k, 0) for k in key], index=pdf.index, dtype="int64")
-            yield pdf.assign(seq=pdf.groupby(["file", "block"], sort=False).cumcount().astype("int64") + offset)
-            for k, n in pd.Series(key, index=pdf.index).value_counts(sort=False).items():
-                seen[k] = seen.get(k, 0) + int(n)
-
-    return run
-
-
 def _raw_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Non-blank lines with file, split start and the folder keys, as text whatever they look like."""
     paths = [path] if isinstance(path, str) else list(path)
@@ -63,21 +46,19 @@ def _raw_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) -> DataFrame:
     """Body lines (below the header) with ``line`` = number in the file from 0, title lines included, and ``head``."""
-    lines = _raw_lines(spark, path)
-    numbered = lines.mapInPandas(line_numbering(), T.StructType(lines.schema.fields + [T.StructField("seq", T.LongType())]))
-    # One pass behind the Arrow step gives each split's line count and its first lines, among which the header is.
-    # (A filter on the file name that reached the scan would keep only the files' first splits.)
-    upper = F.when(F.col("seq") <= skip, F.struct("seq", "value"))
-    splits = numbered.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.collect_list(upper).alias("upper"))
-    of_file = Window.partitionBy("file")
-    before = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    here = F.get(F.filter("upper", lambda x: x["seq"] + F.col("start") == skip), F.lit(0))["value"]
-    splits = splits.withColumn("here", here).withColumn("head", F.max("here").over(of_file)).where(F.col("head").isNotNull())
-    splits = splits.select(F.col("file").alias("__f"), F.col("block").alias("__b"), "start", "head")
-    joined = numbered.join(splits, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
-    return (joined.withColumn("line", F.col("seq") + F.col("start")).where(F.col("line") > skip)
-            .drop("__f", "__b", "start", "seq"))
+    # No filter passes below a generated number, so every use of ``lines`` scans the same splits and numbers them alike.
+    lines = _raw_lines(spark, path).withColumn("__id", F.monotonically_increasing_id())
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("base"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
+    at = splits.where((F.col("start") <= skip) & (F.col("start") + F.col("n") > skip))
+    at = at.select((F.col("base") + F.lit(skip) - F.col("start")).alias("__at"), F.col("file").alias("__hf"))
+    heads = lines.select("__id", "value").join(at, F.col("__id") == F.col("__at")).select("__hf", F.col("value").alias("head"))
+    firsts = splits.join(heads, F.col("file") == F.col("__hf")).select(
+        F.col("file").alias("__f"), F.col("block").alias("__b"), (F.col("start") - F.col("base")).alias("__shift"), "head")
+    joined = lines.join(firsts, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    return (joined.withColumn("line", F.col("__id") + F.col("__shift")).where(F.col("line") > skip)
+            .drop("__f", "__b", "__shift", "__id"))
 
 
 def _symbol(df: DataFrame) -> Column:
@@ -99,7 +80,7 @@ def read_offset_csv(spark: SparkSession, path, skip: int, schema: str | T.Struct
     """Rows of CSV files with ``skip`` title lines above a header (header row
     ``skip + 1`` counting non-blank lines). Cells go to the columns of ``schema``
     by header name: missing columns are NULL, others dropped. Adds Symbol (folder
-    ``Symbol=`` or file name) and ``__order`` (line number, for first-row-wins rules)."""
+    ``Symbol=`` or file name) and ``__order`` (line number in its file, for first-row-wins rules within one file)."""
     fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     lines = numbered_lines(spark, path, skip)
     cells = lines.select(_symbol(lines).alias("Symbol"), csv_fields("value").alias("__v"),
@@ -116,9 +97,10 @@ def read_offset_csv(spark: SparkSession, path, skip: int, schema: str | T.Struct
 
 
 def read_listing(spark: SparkSession, path) -> DataFrame:
-    """Exchange listing files (header on row 1, UTF-8): the header's columns as text, and ``pos`` = line number.
+    """Exchange listing files (header on row 1, UTF-8, a byte-order mark allowed): the header's columns as text, and ``pos``.
 
-    All files of ``path`` share the header of the first by name.
+    All files of ``path`` share the header of the first by name. ``pos`` is the line number; in ``part=`` folders, which
+    ``write_listing`` makes of a long listing, it is (part, line), so that the order holds over all of them.
     """
     first = spark.read.text(path).first()
     if first is None:
@@ -126,7 +108,8 @@ def read_listing(spark: SparkSession, path) -> DataFrame:
     names = spark.range(1).select(csv_fields(F.lit(first[0].lstrip("\ufeff"))).alias("h")).first().h
     kinds = T.StructType([T.StructField(n, T.StringType()) for n in names if n not in ("Symbol", "")])
     body = numbered_lines(spark, path, 0).withColumn("head", F.regexp_replace("head", "^\ufeff", ""))
-    cells = body.select(csv_fields("value").alias("__v"), csv_fields("head").alias("__h"), F.col("line").alias("pos"))
+    place = F.struct(F.col("part").cast("int").alias("part"), "line") if "part" in body.columns else F.col("line")
+    cells = body.select(csv_fields("value").alias("__v"), csv_fields("head").alias("__h"), place.alias("pos"))
 
     def cell(name: str) -> Column:
         at = F.array_position("__h", name).cast("int")
@@ -211,6 +194,27 @@ def write_offset_csv(df: DataFrame, out: str, columns: Sequence[str], title: str
     return out
 
 
+def write_listing(df: DataFrame, out: str, order: str = "pos") -> str:
+    """One exchange's listing as CSV: byte-order mark, quoted header and cells, a comma behind the last, as it is downloaded.
+
+    Lines follow ``order``. About ``ROWS_PER_FILE`` lines go to a file, each in a folder ``part=0``, ``part=1``, ...
+    """
+    columns = [c for c in df.columns if c != order]
+    parts = max(1, -(-df.count() // ROWS_PER_FILE))
+
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), '"', '""'), F.lit('"'))
+
+    line = F.concat(F.concat_ws(",", *[quoted(F.col(f"`{c}`")) for c in columns]), F.lit(","))
+    body = df.repartitionByRange(parts, order).select(F.spark_partition_id().alias("part"), F.lit(1).alias("__o"), F.col(order).alias("__p"), line.alias("value"))
+    head = "\ufeff" + ",".join(f'"{c}"' for c in columns) + ","
+    heads = df.sparkSession.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("__o"), F.lit(None).cast(df.schema[order].dataType).alias("__p"),
+                                                F.lit(head).alias("value"))
+    (heads.unionByName(body).repartition(parts, "part").sortWithinPartitions("part", "__o", "__p")
+     .select("part", "value").write.partitionBy("part").mode("errorifexists").text(out))
+    return out
+
+
 def write_sheets(long: DataFrame, out: str, title: str = "REPORT", short: bool = False) -> str:
     """Long sheet rows -> one CSV per (Symbol, report, freq) in folder
     ``sheet=<symbol>_<report>_<freq>``: title line, header (label, then the
