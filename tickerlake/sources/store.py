@@ -216,15 +216,15 @@ class Run:
         while True:
             classes: dict[int, list[dict]] = {}
             for e in self.entries.get(name, []):
-                classes.setdefault(size_class(e["bytes"], most), []).append(e)
-            full = [entries for _, entries in sorted(classes.items()) if len(entries) >= most]
-            if not full:
+                classes.setdefault(max(size_class(e["bytes"], most), e.get("least", 0)), []).append(e)
+            full = min((n for n, entries in classes.items() if len(entries) >= most), default=None)
+            if full is None:
                 return rewritten
-            entry = self._write(name, self._rows(name, full[0]))
-            # A merged folder counts at least for the next class, or folders of few bytes would be merged for ever.
-            entry["bytes"] = max(entry["bytes"], LEAST_FOLDER_BYTES * most ** (size_class(full[0][0]["bytes"], most) + 1))
-            rewritten += sum(e["bytes"] for e in full[0])
-            self.entries[name] = [e for e in self.entries[name] if e not in full[0]] + [entry]
+            merged = classes[full]
+            # A merged folder is of a higher class, however small, or it would be merged again with each few new ones.
+            entry = {**self._write(name, self._rows(name, merged)), "least": full + 1}
+            rewritten += sum(e["bytes"] for e in merged)
+            self.entries[name] = [e for e in self.entries[name] if e not in merged] + [entry]
 
     def commit(self) -> None:
         """Publish all changes of the run by one rename."""
