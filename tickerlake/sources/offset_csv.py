@@ -4,10 +4,10 @@ Files are read line by line (splittable; one huge file is spread over many
 tasks), without Python. A task numbers its non-blank lines one after the other
 (``monotonically_increasing_id``), so within a split a line's number less the split's
 smallest is its place there; the lines of the splits before it, from one count
-per split, turn that into its number in the file. The header line of each file is
-looked up by its number. Header and first line number of each split reach the lines by one
-equi-join on (file, split), whatever the files' sizes (AQE broadcasts the small
-side and splits skewed files).
+per split, turn that into its number in the file. The same aggregate keeps each split's
+first lines, among which a file's header is. Header and first line number of each split reach
+the lines by one equi-join on (file, split), whatever the files' sizes (AQE broadcasts the
+small side and splits skewed files): two scans of the files in all.
 
 Symbol (and report/freq for sheets) come from ``key=value`` folders when the
 files are laid out that way, else from the file name.
@@ -48,14 +48,16 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str], skip: int) ->
     """Body lines (below the header) with ``line`` = number in the file from 0, title lines included, and ``head``."""
     # No filter passes below a generated number, so every use of ``lines`` scans the same splits and numbers them alike.
     lines = _raw_lines(spark, path).withColumn("__id", F.monotonically_increasing_id())
-    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("base"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # A split's lines have consecutive ids, so its first ``skip + 1`` differ in the remainder: one row each, and the count.
+    upper = lines.groupBy("file", "block", (F.col("__id") % (skip + 1)).alias("__r")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("__id", "value")).alias("first"))
+    splits = upper.groupBy("file", "block").agg(F.sum("n").alias("n"), F.min("first.__id").alias("base"), F.collect_list("first").alias("upper"))
+    of_file = Window.partitionBy("file")
+    before = of_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")))
-    at = splits.where((F.col("start") <= skip) & (F.col("start") + F.col("n") > skip))
-    at = at.select((F.col("base") + F.lit(skip) - F.col("start")).alias("__at"), F.col("file").alias("__hf"))
-    heads = lines.select("__id", "value").join(at, F.col("__id") == F.col("__at")).select("__hf", F.col("value").alias("head"))
-    firsts = splits.join(heads, F.col("file") == F.col("__hf")).select(
-        F.col("file").alias("__f"), F.col("block").alias("__b"), (F.col("start") - F.col("base")).alias("__shift"), "head")
+    here = F.get(F.filter("upper", lambda x: x["__id"] - F.col("base") + F.col("start") == skip), F.lit(0))["value"]
+    splits = splits.withColumn("here", here).withColumn("head", F.max("here").over(of_file)).where(F.col("head").isNotNull())
+    firsts = splits.select(F.col("file").alias("__f"), F.col("block").alias("__b"), (F.col("start") - F.col("base")).alias("__shift"), "head")
     joined = lines.join(firsts, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
     return (joined.withColumn("line", F.col("__id") + F.col("__shift")).where(F.col("line") > skip)
             .drop("__f", "__b", "__shift", "__id"))
