@@ -112,6 +112,17 @@ def test_reduction_keeps_an_optimum(seed):
 def test_word_ids_equal_the_library():
     from tickerlake.llm.wordbpe import WordIds
     w = WordIds(WORDS)
+    lib = lambda t: np.array(w.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    for c in map(chr, [*range(0x3000), 0x212A, 0x212B, 0x1E9E, 0xFB01, 0xAC00, 0x1F600]):
+        for t in (c, f"a{c}b", f"1{c} {c}'s"):
+            assert w.ids(t) == lib(t), (hex(ord(c)), t)
+    rng = random.Random(3)
+    pools = [[chr(c) for c in range(1, 0x250)], [chr(c) for c in range(0x20, 0x7F)], [chr(c) for c in range(0xA1, 0x250)] + list("  abXY'12"), list("'sStTrReEvVmMlLdD ")]
+    for i in range(20_000):
+        t = "".join(rng.choices(pools[i % 4], k=rng.randint(0, 30)))
+        assert w.ids(t) == lib(t), t
+    w.ids("x" * 100_000)
+    assert max(map(len, w.words)) <= 32
     for t in ["", "Don't STOP!!  it's 12½ <|endoftext|> ok", "Grüße, ÀÉÎ ß ªº x²", "İstanbul é 日本", "a\x1cb\x85c\xa0d", "''s'' -- ...", "we'll we'LL"]:
         assert w.ids(t) == np.array(w.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
 
@@ -437,6 +448,38 @@ def test_adjacent_notices_all_have_spans(seed):
         assert len(s.scan(body)[7]) == len(want)
 
 
+def test_thick_notices_take_linear_time():
+    """Long runs of exact, edited and touching notices: the time follows the length, and the spans those of a plain scan."""
+    import time
+    s = licenses.scanner()
+    for piece, count in (("all rights reserved ", 1), ("all rights reservd ", 1), ("relased undr the mit license ", 1)):
+        took = []
+        for n in (2_000, 16_000):
+            t0 = time.process_time()
+            found = s.scan(piece * n)[7]
+            took.append(time.process_time() - t0)
+            assert len(found) >= count * n and found[-1]["last_word"] == len(piece.split()) * n - 1
+        assert took[1] < 24 * max(took[0], 0.02), (piece, took)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_scores_and_labels_follow_from_the_spans(spark, seed):
+    """Labels and score of whole texts, from the base phrases and the verified notices."""
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice([*licenses.NOTICES, *licenses.BASE, "the", "x y", "free Of charge", "relased under the mit licence"]) for _ in range(rng.randint(0, 6)))
+             for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.license_scan(df).collect():
+        base = {b for b in (r["base_labels"] or "").split(",") if b}
+        assert r["base_labels"] == brute.license_base(texts[r["doc_id"]])[4]
+        assert r["labels"] == ",".join(sorted(base | {x["label"] for x in r["spans"]}))
+        lengths = {}
+        for notice, label in licenses.NOTICES.items():
+            lengths.setdefault(label, []).append(len(notice))
+        best = max((max(1 - x["edits"] / n for n in lengths[x["label"]]) for x in r["spans"]), default=0.0)
+        assert r["score"] == 1.0 if base else r["score"] <= best + 1e-12 and (r["score"] > 0) == bool(r["spans"])
+
+
 # --- 9 repeated passages ---------------------------------------------------------------------------------------------
 
 def test_repeats_edges(edge, nothing):
@@ -503,6 +546,20 @@ def test_a_common_string_with_different_surroundings_spreads(spark, monkeypatch)
     assert largest and max(largest) < 1000
 
 
+def test_anchor_above_the_real_limit(spark):
+    """More places than ``MOST_CONTEXTS`` of one anchor, all around it different, with a few repeats among them."""
+    rng = random.Random(8)
+    letter = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    tries = [letter(repeats.GRAM) for _ in range(20_000)]
+    common = tries[int(np.argmin([int(repeats.gram_hashes(np.frombuffer(t.encode(), np.uint8))[0]) for t in tries]))]
+    rows = [(i, letter(36) + common + letter(12)) for i in range(repeats.MOST_CONTEXTS + 500)]
+    rows += [(100_000 + i, letter(3) + rows[7 * i][1][5:] + letter(4)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(g) for g in repeats.removed_repeats(df).collect()]
+    assert same(got, brute.repeats(rows)) and sum(g[2] > 0 for g in got) >= 200
+    assert not spark.catalog.listTables()
+
+
 def test_anchors_depend_on_the_window_alone():
     rng = random.Random(1)
     part = bytes(rng.choice(b"abc ") for _ in range(300))

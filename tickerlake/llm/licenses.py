@@ -17,7 +17,9 @@ all count in ``n_base``; an empty table gives an empty result; only id and text
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +44,8 @@ NOTICES = {
 }
 #: One edit for so many characters of a notice.
 CHARS_PER_EDIT = 10
+#: Characters of a merged candidate window that one search covers, about.
+PIECE = 400
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
@@ -81,23 +85,33 @@ class Scanner:
                 merged.append((a, b))
         return merged
 
-    def verified(self, body: str, a: int, b: int, least: int, pattern) -> list:
-        """Matches in ``body[a:b]``: the best one, and those of the parts before and behind it."""
-        out, open_ = [], [(a, b)]
-        while open_:
-            a, b = open_.pop()
-            m = pattern.search(body, a, b) if b - a > least else None
-            if m:
-                out.append(m)
-                open_ += [(a, m.start()), (m.end(), b)]
-        return sorted(out, key=lambda m: m.start())
+    def verified(self, body: str, a: int, b: int, least: int, most: int, pattern) -> list:
+        """Matches in ``body[a:b]``: the best one of each piece, and those of the parts before and behind it.
+
+        A piece is at most ``PIECE`` characters and a match, so each search reads a bounded text; a match is taken by the
+        piece that its start lies in, and the next piece begins where the last match taken ends.
+        """
+        out, done = [], a
+        while done < b:
+            edge = min(b, done + PIECE)
+            open_, found = [(done, min(b, edge + most + 1))], []
+            while open_:
+                x, y = open_.pop()
+                m = pattern.search(body, x, y) if y - x > least else None
+                if m:
+                    found.append(m)
+                    open_ += [(x, m.start()), (m.end(), y)]
+            taken = sorted((m for m in found if m.start() < edge or edge == b), key=lambda m: m.start())
+            out += taken
+            done = max(edge, taken[-1].end()) if taken else edge
+        return out
 
     def fuzzy(self, body: str) -> list[tuple[str, int, int, int, float]]:
         """(label, first char, last char, edits, closeness) of every verified notice."""
         out = []
         for text, label, k, seeds, pattern in self.notices:
             for a, b in self.candidates(body, len(text), k, seeds):
-                for m in self.verified(body, a, b, len(text) - k, pattern):
+                for m in self.verified(body, a, b, len(text) - k, len(text) + k, pattern):
                     edits = sum(m.fuzzy_counts)
                     out.append((label, m.start(), m.end(), edits, 1 - edits / len(text)))
         return out
@@ -117,10 +131,12 @@ class Scanner:
         body = f" {' '.join(words)} "
         exact = self.exact(body)
         fuzzy = self.fuzzy(body)
-        word_at = lambda char: body.count(" ", 0, char) - 1
+        # Word numbers of characters, from one pass over the words' starts.
+        starts = list(accumulate((len(w) + 1 for w in words), initial=1))
+        word_at = lambda char: bisect_right(starts, char) - 1
         places = [word_at(at) for at, _ in exact]
         base = {label for _, label in exact}
-        spans = [{"label": label, "first_word": word_at(a), "last_word": word_at(b) if b > a else word_at(a), "edits": e}
+        spans = [{"label": label, "first_word": word_at(a), "last_word": word_at(max(a, b - 1)), "edits": e}
                  for label, a, b, e, _ in fuzzy]
         score = 1.0 if exact else max((c for *_, c in fuzzy), default=0.0)
         return (len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),

@@ -48,7 +48,7 @@ def op7_token_counts(spark, d):
 
 def op8_license_scan(spark, d):
     out = licenses.license_scan(table(spark, d, "documents"))
-    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 
 
 def op9_repeated_passages(spark, d):

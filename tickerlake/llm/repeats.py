@@ -10,8 +10,9 @@ smaller id is removed. Matches never cross documents.
    that only one text holds are dropped: every window of theirs is unique. No repeat is lost.
 3. Each remaining anchor is sent, with the bytes of its windows (its context), to the
    bucket of its hash. Contexts that are equal within a task are sent once, with their places.
-   An anchor with more places than ``MOST_CONTEXTS`` is not sent: its windows go singly,
-   each to the bucket of its own hash, so that a common string spreads over many tasks.
+   The contexts of an anchor with more places than ``MOST_CONTEXTS`` are cut into their
+   single windows first, each a context of 50 bytes that goes to the bucket of its own
+   hash, so that a common string spreads over many tasks; they are expanded like all others.
 4. A bucket joins its distinct contexts to one string, sorts its suffixes, and takes
    their common prefix lengths from the Burrows-Wheeler transform breadth first:
    entries with value l are found by extending those with smaller values
@@ -20,8 +21,8 @@ smaller id is removed. Matches never cross documents.
    Each interval's smallest id decides which of its windows go.
 5. A document's spans are joined and cut out.
 
-The texts are written once as a table bucketed by text and id, so that neither the
-anchors nor the spans move them again, and copies of a text spread over all buckets.
+The texts are written once, in the shared folder, as files bucketed by text and id, so that neither the
+anchors nor the spans move them again, and copies of a text spread over all buckets. No table stays in the catalog.
 
 Defined results: a null or empty text has 0 bytes and loses none; repeated rows with one
 id do not remove each other; a null id counts as the largest; very long texts are
@@ -41,6 +42,7 @@ from pyspark.sql import types as T
 
 from tickerlake.llm import textvec as V
 from tickerlake.llm.common import stored, texts
+from tickerlake.session import shared_dir
 
 U64 = np.uint64
 #: Bytes of a repeat, and of an anchor.
@@ -424,6 +426,7 @@ def _window_rows(body: np.ndarray, size: np.ndarray, tid: np.ndarray, ids: np.nd
     owner = owner[window]
     place = places[(np.cumsum(times) - times)[owner] + _runs(many)] + within[window]
     marks, tid, ids = marks[window], tid[owner], ids[owner]
+    start = at[window]
     pick, which = _distinct(marks, ids)
     gone = ids > ids[pick][which]
     out = _gone_rows(*_window_spans(tid[gone], place[gone]), buckets)
@@ -438,8 +441,9 @@ def _window_rows(body: np.ndarray, size: np.ndarray, tid: np.ndarray, ids: np.nd
     cut = np.searchsorted(bucket_of(marks[k, 0], spread), np.arange(spread + 1))
     for b in np.flatnonzero(np.diff(cut)):
         x, y = cut[b], cut[b + 1]
+        size = np.full(y - x, LEAST)
         out.append((2 * buckets + int(b), tid[k[x:y]].tobytes(), ids[k[x:y]].tobytes(), place[rest[end[x]:end[y]]].tobytes(),
-                    np.diff(end[x:y + 1]).astype("<u4").tobytes(), marks[k[x:y]].tobytes()))
+                    np.stack([size, np.diff(end[x:y + 1])]).astype("<u4").tobytes(), gather(body, start[k[x:y]], size).tobytes()))
     return out
 
 
@@ -485,19 +489,13 @@ def _context_rows(held: list[tuple], buckets: int, hot: np.ndarray, spread: int)
 
 
 def _bucket_spans(table: pa.Table, buckets: int) -> pa.Table:
-    """(tid, spans) of one bucket's contexts, or of one bucket's single windows."""
+    """(tid, spans) of one bucket's contexts, single windows among them."""
     bucket = table.column("bucket")[0].as_py()
     if buckets <= bucket < 2 * buckets:
         return pa.table({"tid": pa.array([np.frombuffer(t, np.int64)[0] for t in table.column("tid").to_pylist()], pa.int64()),
                          "spans": table.column("body").cast(pa.binary())})
     read = lambda c, kind: np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
     tid, ids, places, body = read("tid", np.int64), read("ids", np.int64), read("first", np.int64), read("body", np.uint8)
-    if bucket >= 2 * buckets:
-        times = read("size", "<u4").astype(np.int64)
-        pick, which = _distinct(body.view(np.uint64).reshape(-1, 2), ids)
-        gone = ids > ids[pick][which]
-        t, spans = _span_rows(*_window_spans(np.repeat(tid[gone], times[gone]), places[np.repeat(gone, times)]))
-        return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
     size, times = np.concatenate([np.frombuffer(x, "<u4").reshape(2, -1) for x in table.column("size").to_pylist()], axis=1).astype(np.int64)
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     pick, which = _distinct(_equal_contexts(body, size), ids)
@@ -597,15 +595,19 @@ def _rid(md5: str, key: str) -> Column:
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
-    """The rows as a table bucketed by ``rid`` in the shared warehouse, one file per bucket.
+    """The rows bucketed by ``rid`` below the shared checkpoint folder, one file per bucket.
 
     Rids spread copies of a text evenly, so no bucket grows with a group of copies.
     """
     spark = rows.sparkSession
     name = f"repeats_{uuid.uuid4().hex[:16]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.repartition(n, "rid").write.option("compression", "zstd").bucketBy(n, "rid").saveAsTable(name)
-    return spark.table(name)
+    path = shared_dir(spark, "repeat-texts")
+    rows.repartition(n, "rid").write.option("compression", "zstd").option("path", path).bucketBy(n, "rid").saveAsTable(name)
+    out = spark.table(name)
+    out.schema  # the frame holds the files and their buckets: the catalog's entry is not needed any more
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _same(a: str, b: str) -> Column:
@@ -619,14 +621,12 @@ def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataF
     Only the row with a text's smallest id is looked at; the others are copies.
     """
     rows = _bucketed(_identified(docs, others))
-    release(docs)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = 2 * size // (WINDOW + 1)
     keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES)), MOST_CONTEXTS), "repeat-anchors")
     # At most one anchor in MOST_CONTEXTS is hot: 16 bytes each come to the driver.
     hot = np.frombuffer(b"".join(bytes(r[0]) for r in keys.filter("tid is null").select("keys").collect()), np.uint64).reshape(-1, 2)
     spread = max(1, -(-int(hot[:, 1].sum()) * WINDOW // BUCKET_WINDOWS))
-    release(docs)
     smallest = rows.groupBy("tid", "md5").agg(F.min("id").alias("low"))
     wanted = keys.join(smallest, "tid").select(_rid("md5", "low").alias("__rid"), F.col("md5").alias("__md5"), "low", "keys")
     held = rows.join(wanted, F.col("rid") == F.col("__rid")).filter(_same("md5", "__md5") & _same("id", "low"))
@@ -634,15 +634,9 @@ def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataF
     n = max(1, -(-(n_keys // 8 * 64) // BUCKET_BYTES))
     spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys"), n, np.sort(hot[:, 0]), spread)
     spans = stored(spans.select(F.col("tid").alias("__rid"), "spans"), "repeat-spans")
-    release(docs)
     return rows, spans
 
 
-def release(df: DataFrame) -> None:
-    """Let the driver's cleaner drop the shuffle files of finished steps now, not when memory happens to run short."""
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 KEPT = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.StringType())])
 
 
