@@ -601,3 +601,67 @@ def test_covered_words(size):
         grams = Counter(tuple(w[k:k + size]) for k in range(len(w) - size + 1))
         want = {k + j for k in range(len(w) - size + 1) if grams[tuple(w[k:k + size])] > 1 for j in range(size)}
         assert set(np.flatnonzero(hit[first[i]:first[i + 1]])) == want
+
+
+# --- 5 quality classifier: plain versions -----------------------------------------------------------------------------
+
+def plain_verdicts(rows):
+    """{id: (host rate, path rate, kept)} of (id, host, path, evidence) rows by the empirical Bayes rule, in plain Python."""
+    bad = lambda e: 1 / (1 + math.exp(-e))
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+
+    def strength(sites):  # (n, bad documents, prior) of each site
+        whole = sum(n * q * (1 - q) for n, _, q in sites)
+        if not whole:
+            return 1e6
+        spread, chance = sum(n * (b / n - q) ** 2 for n, b, q in sites), sum(q * (1 - q) for _, _, q in sites)
+        return min(max(1 / max((spread - chance) / whole, 1e-6) - 1, 1.0), 1e6)
+
+    hosts, paths = defaultdict(lambda: [0, 0.0]), defaultdict(lambda: [0, 0.0])
+    for _, host, path, e in rows:
+        for site in (hosts[host], paths[host, path]):
+            site[0] += 1
+            site[1] += bad(e)
+    overall = sum(b for _, b in hosts.values()) / len(rows)
+    k = strength([(n, b, overall) for n, b in hosts.values()])
+    host_rate = {h: (b + k * overall) / (n + k) for h, (n, b) in hosts.items()}
+    k = strength([(n, b, host_rate[h]) for (h, _), (n, b) in paths.items()])
+    path_rate = {s: (b + k * host_rate[s[0]]) / (n + k) for s, (n, b) in paths.items()}
+    return {i: (host_rate[h], path_rate[h, p], e + logit(path_rate[h, p]) - logit(overall) <= 0) for i, h, p, e in rows}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_posteriors_and_verdicts_equal_plain_ones(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, h := rng.choice(["a", "b", None, f"rare{i % 37}"]), rng.choice(["p", "q", None]), rng.gauss(3 if h == "b" else -2, 2)) for i in range(400)]
+    scored = spark.createDataFrame(rows, "id long, host string, path string, evidence double")
+    sites = {(r["__host"], r["__path"]): r for r in classifier.posteriors(scored).collect()}
+    for i, (host_rate, path_rate, kept) in plain_verdicts(rows).items():
+        _, h, p, e = rows[i]
+        got = sites[h, p]
+        assert math.isclose(got["host_rate"], host_rate, rel_tol=1e-9) and math.isclose(got["path_rate"], path_rate, rel_tol=1e-9)
+        assert (e + got["shift"] <= 0) == kept
+
+
+def test_screening_on_the_executors_equals_a_plain_one(spark):
+    """The models are those of a plain chi-square over all features of the sample, on one row per id."""
+    rng = random.Random(4)
+    word = lambda bad: rng.choice(["spam", "win", "click"] if bad and rng.random() < 0.5 else ["tree", "house", "road", "water", "light"])
+    docs = [(i, " ".join(word(i % 3 == 0) for _ in range(30))) for i in range(300)]
+    labels = [(i, 0 if i % 3 == 0 else 1, 1 if i % 5 == 0 else 0) for i, _ in docs]
+    body = spark.createDataFrame([*docs, *([docs[5]] * 2000), (7, "zzz other text"), (7, None)], "doc_id long, text string").repartition(6)
+    kept = spark.createDataFrame(labels, "doc_id long, quality long, toxic long")
+    sample = classifier.labelled_sample(body, kept, 250).collect()
+    assert len(sample) == 250                                # one row per id, however many rows hold it
+    import pyarrow as pa
+    doc, feature = classifier.features(pa.array([r["text"] for r in sample]))
+    for model, name in zip(classifier.train(body, kept, 250), ("poor", "toxic")):
+        y = np.array([float(r[name]) for r in sample])
+        n, bad = len(y), y.sum()
+        df, hit = np.bincount(feature, minlength=classifier.SIZE).astype(float), np.bincount(feature, y[doc], classifier.SIZE)
+        expected = df * bad / n
+        chi = (hit - expected) ** 2 / np.maximum(expected * (1 - bad / n) * (1 - df / (n + 1)), 1e-9)
+        chi[df < classifier.LEAST_DOCS] = 0
+        assert set(model.feature) == set(np.flatnonzero(chi > 4))
+        again = classifier.fit(doc, feature, y, model.feature)
+        assert np.allclose(sorted(again.weight), sorted(model.weight), atol=1e-6)

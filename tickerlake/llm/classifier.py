@@ -1,7 +1,9 @@
 """Operator 5, quality classifier: hierarchical empirical Bayes over a document classifier.
 
 1. Two logistic models (poor quality, toxic) on hashed words, word beginnings and
-   style measures are fitted on a bounded sample of labelled rows (``MOST_LABELLED``).
+   style measures are fitted on a bounded sample of labelled rows (``MOST_LABELLED``), one
+   text per id. Features are counted by class and screened by chi-square on the
+   executors; the driver gets the kept features of the sample alone, whatever its texts' length.
 2. Every document is scored in Arrow batches.
 3. Scores are summed per path and host by grouped aggregation. A host's rate of bad
    documents is shrunk toward the global rate, a path's toward its host's, with
@@ -12,7 +14,8 @@
 
 Defined results: a null or empty text has no evidence of words and gets the model's
 intercept; labels that are null, or of unknown documents, are not used, of several
-labels of one id the worse counts; without labelled rows every document has the
+labels of one id the worse counts, of several texts of one id the one with the smallest digest is learnt from;
+very long texts are scored, and learnt from, whole; without labelled rows every document has the
 neutral score and is kept; null hosts and paths are sites of their own; repeated
 rows score alike; an empty table gives an empty result; other columns do not matter.
 """
@@ -28,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake.llm import textvec as V
-from tickerlake.llm.common import stored
+from tickerlake.llm.common import map_arrow, stored
 
 #: Labelled rows that the models are fitted on, at most: those with the smallest hash of their id.
-MOST_LABELLED = 8_000
+MOST_LABELLED = 12_000
 HASH_BITS = 20
 #: Hashed features kept after screening.
 MOST_FEATURES = 6_000
@@ -103,18 +106,24 @@ class Linear:
         return w
 
 
-def fit(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, rounds: int = 300, l2: float = 1.0) -> Linear:
-    """Logistic regression on the features that tell the classes apart most (screened by chi-square)."""
+def screened(counts: DataFrame, n: int, bad: int, hit: str) -> np.ndarray:
+    """The features (at most ``MOST_FEATURES``) that tell the classes apart most, by chi-square.
+
+    ``counts`` has (feature, df, ``hit``): documents with the feature, and bad ones among them.
+    """
+    df, rate = F.col("df").cast("double"), bad / n
+    expected = df * rate
+    chi = (F.col(hit) - expected) * (F.col(hit) - expected) / F.greatest(expected * (1 - rate) * (1 - df / (n + 1)), F.lit(1e-9))
+    rows = counts.where(F.col("df") >= LEAST_DOCS).select("feature", chi.alias("chi")).where("chi > 4")
+    best = rows.orderBy(F.desc("chi"), "feature").limit(MOST_FEATURES).select("feature").collect()
+    return np.sort(np.array([r["feature"] for r in best], np.int64))
+
+
+def fit(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, kept: np.ndarray, rounds: int = 300, l2: float = 1.0) -> Linear:
+    """Logistic regression on the features ``kept``; (doc, feature) are the pairs of the sample."""
     n, bad = len(y), float(y.sum())
     if n == 0 or bad in (0.0, float(n)):
         return Linear(np.zeros(0, np.int64), np.zeros(0), -4.0 if bad == 0 else 4.0)
-    df = np.bincount(feature, minlength=SIZE).astype(float)
-    hit = np.bincount(feature, y[doc], SIZE)
-    expected = df * bad / n
-    chi = (hit - expected) ** 2 / np.maximum(expected * (1 - bad / n) * (1 - df / (n + 1)), 1e-9)
-    chi[df < LEAST_DOCS] = 0
-    kept = np.argsort(-chi, kind="stable")[:MOST_FEATURES]
-    kept = np.sort(kept[chi[kept] > 4])
     back = np.full(SIZE, -1, np.int64)
     back[kept] = np.arange(len(kept))
     col = back[feature]
@@ -133,21 +142,29 @@ def fit(doc: np.ndarray, feature: np.ndarray, y: np.ndarray, rounds: int = 300,
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(text, poor, toxic) of at most ``most`` labelled documents.
+    """(text, poor, toxic) of at most ``most`` labelled documents, one row per id.
 
     The sample is at most ``most`` rows of a few bytes, a bound that does not grow
-    with the data, so it is broadcast to the documents.
+    with the data, so it is broadcast to the documents. Rows of one id are reduced to the text with the smallest
+    digest, by their digests first: an id that stands on a third of all rows sends one digest per task.
     """
     worst = labels.select("doc_id", "quality", "toxic").dropna().groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     few = worst.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
-    few = few.select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("poor"), (F.col("toxic") == 1).alias("toxic"))
+    few = F.broadcast(few.select(F.col("doc_id").alias("__id"), (F.col("quality") == 0).alias("poor"), (F.col("toxic") == 1).alias("toxic")))
     body = docs.select(F.col("doc_id").alias("__doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return body.join(F.broadcast(few), F.col("__doc") == F.col("__id")).select("text", "poor", "toxic")
+    body = body.join(few, F.col("__doc") == F.col("__id")).withColumn("digest", F.md5(F.col("text").cast("binary")))
+    one = F.broadcast(body.groupBy("__id").agg(F.min("digest").alias("__least")).withColumnRenamed("__id", "__one"))
+    body = body.join(one, (F.col("__id") == F.col("__one")) & (F.col("digest") == F.col("__least")))
+    # Equal rows of one id are left: one of each, folded before they move.
+    return body.dropDuplicates(["__id", "digest", "text", "poor", "toxic"]).select("text", "poor", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list[Linear]:
-    """[poor-quality model, toxic model]; features are extracted on the executors, in one pass."""
+    """[poor-quality model, toxic model]; features are extracted, counted and screened on the executors.
+
+    At most ``most`` rows of at most 2 x ``MOST_FEATURES`` features come to the driver.
+    """
 
     def run(batches):
         for batch in batches:
@@ -156,16 +173,39 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> list
             body = [feature[a:b].astype("<u4").tobytes() for a, b in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(body, pa.binary()), batch.column(1), batch.column(2)], ["body", "poor", "toxic"])
 
-    rows = labelled_sample(docs, labels, most).mapInArrow(run, "body binary, poor boolean, toxic boolean").collect()
-    rows.sort(key=lambda r: (bytes(r["body"]), r["poor"], r["toxic"]))  # the fit does not depend on the rows' arrival
-    rows = rows[:most]  # ids of the sample that stand on several rows
-    y = {name: np.array([float(r[name]) for r in rows]) for name in ("poor", "toxic")}
-    body = [bytes(r["body"]) for r in rows]
-    del rows
+    rows = stored(labelled_sample(docs, labels, most).mapInArrow(run, "body binary, poor boolean, toxic boolean"), "labelled-features")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c).cast("long")).alias(c) for c in ("poor", "toxic")]).first()
+
+    def counted(batches):
+        """Counts per feature of a task's rows, summed before they are sent."""
+        df, hits = np.zeros(SIZE, np.int32), np.zeros((2, SIZE), np.int32)
+        for batch in batches:
+            for body, *flags in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                f = np.frombuffer(body, "<u4")
+                df[f] += 1
+                for k, flag in enumerate(flags):
+                    if flag:
+                        hits[k][f] += 1
+        used = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *[pa.array(c[used].astype(np.int64)) for c in (df, *hits)]],
+                                         ["feature", "df", "poor", "toxic"])
+
+    counts = rows.mapInArrow(counted, "feature long, df long, poor long, toxic long").groupBy("feature").agg(
+        *[F.sum(c).alias(c) for c in ("df", "poor", "toxic")])
+    counts = stored(counts, "labelled-counts")
+    kept = {c: screened(counts, total["n"], total[c], c) if total["n"] and 0 < total[c] < total["n"] else np.zeros(0, np.int64) for c in ("poor", "toxic")}
+    either = np.union1d(kept["poor"], kept["toxic"]).astype("<u4")
+
+    def reduced(batch):
+        body = [np.intersect1d(np.frombuffer(x, "<u4"), either).astype("<u4").tobytes() for x in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(body, pa.binary()), batch.column(1), batch.column(2)], ["body", "poor", "toxic"])
+
+    sample = map_arrow(rows, reduced, "body binary, poor boolean, toxic boolean").collect()
+    sample.sort(key=lambda r: (bytes(r["body"]), r["poor"], r["toxic"]))  # the fit does not depend on the rows' arrival
+    body = [bytes(r["body"]) for r in sample]
     doc = np.repeat(np.arange(len(body), dtype=np.int32), [len(b) // 4 for b in body])
     feature = np.frombuffer(b"".join(body), "<i4")
-    del body
-    return [fit(doc, feature, y[name]) for name in ("poor", "toxic")]
+    return [fit(doc, feature, np.array([float(r[c]) for r in sample]), kept[c]) for c in ("poor", "toxic")]
 
 
 def evidence(models: list[Linear], text: Column) -> Column:
