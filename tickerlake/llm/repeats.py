@@ -10,7 +10,8 @@ smaller id is removed. Matches never cross documents.
    that only one text holds are dropped: every window of theirs is unique. No repeat is lost.
 3. Each remaining anchor is sent, with the bytes of its windows (its context), to the
    bucket of its hash. Contexts that are equal within a task are sent once, with their places.
-   The contexts of an anchor with more places than ``MOST_CONTEXTS`` are cut into their
+   Anchors with more places than ``MOST_CONTEXTS`` are a table that is joined with the
+   texts' anchors. Contexts of theirs are cut into their
    single windows first, each a context of 50 bytes that goes to the bucket of its own
    hash, so that a common string spreads over many tasks; they are expanded like all others.
 4. A bucket joins its distinct contexts to one string, sorts its suffixes, and takes
@@ -262,6 +263,30 @@ def shared_anchors(docs: DataFrame, buckets: int, most: int = MOST_CONTEXTS) ->
     return found.groupBy("part").applyInArrow(by_text, "tid long, keys binary")
 
 
+def anchor_rows(keys: DataFrame) -> DataFrame:
+    """(tid, key) of every packed anchor of a text."""
+
+    def run(batches):
+        for batch in batches:
+            each = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            if each:
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in each])),
+                                                  pa.array(np.concatenate(each))], ["tid", "key"])
+
+    return keys.filter("tid is not null").select("tid", "keys").mapInArrow(run, "tid long, key long")
+
+
+def common_anchors(keys: DataFrame) -> DataFrame:
+    """(key, places) of the anchors with more places than the limit of ``shared_anchors``."""
+
+    def run(batches):
+        for batch in batches:
+            pairs = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["key", "places"])
+
+    return keys.filter("tid is null").select("keys").mapInArrow(run, "key long, places long")
+
+
 # --- repeated windows of a bucket ------------------------------------------------------------------------------------
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -447,13 +472,12 @@ def _window_rows(body: np.ndarray, size: np.ndarray, tid: np.ndarray, ids: np.nd
     return out
 
 
-def _context_rows(held: list[tuple], buckets: int, hot: np.ndarray, spread: int) -> pa.RecordBatch:
-    """One task flush of contexts (key, text, id, place, size, bytes) as packed rows, one per bucket.
+def _context_rows(held: list[tuple], buckets: int, spread: int) -> pa.RecordBatch:
+    """One task flush of contexts (key, common, text, id, place, size, bytes) as packed rows, one per bucket.
 
-    Contexts of the sorted ``hot`` keys go as single windows to ``spread`` buckets of their own.
+    Contexts of ``common`` anchors go as single windows to ``spread`` buckets of their own.
     """
-    keys, tid, ids, first, size = (np.concatenate([h[i] for h in held]) for i in range(5))
-    body = np.concatenate([h[5] for h in held])
+    keys, common, tid, ids, first, size, body = (np.concatenate([h[i] for h in held]) for i in range(7))
     start = np.concatenate([[0], np.cumsum(size)])[:-1]
     pick, which = _distinct(_equal_contexts(body, size), ids)
     # An equal context with a smaller id is here already: all its bytes go, and only that one is sent on.
@@ -466,7 +490,7 @@ def _context_rows(held: list[tuple], buckets: int, hot: np.ndarray, spread: int)
     new[1:] = (which[rest][1:] != which[rest][:-1]) | (tid[rest][1:] != tid[rest][:-1])
     head = np.flatnonzero(new)
     times = np.diff(np.concatenate([head, [len(rest)]]))
-    single = np.isin(keys[rest[head]], hot)
+    single = common[rest[head]]
     h = np.flatnonzero(single)
     upto = np.cumsum((size[rest[head[h]]] - LEAST + 1) * times[h] + size[rest[head[h]]])
     for h in np.split(h, np.flatnonzero(np.diff(upto // EXPANDED)) + 1) if len(h) else []:
@@ -517,10 +541,10 @@ def _bucket_spans(table: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"tid": pa.array(t, pa.int64()), "spans": pa.array(spans, pa.binary())})
 
 
-def covered_spans(rows: DataFrame, buckets: int, hot: np.ndarray, spread: int) -> DataFrame:
-    """(tid, spans): what to cut. ``rows`` has (tid, id, text, keys): a text, its smallest id and its shared anchors.
+def covered_spans(rows: DataFrame, buckets: int, spread: int) -> DataFrame:
+    """(tid, spans): what to cut. ``rows`` has (tid, id, text, keys, common): a text, its smallest id and its shared anchors.
 
-    Windows of the ``hot`` anchors are compared one by one in ``spread`` buckets.
+    Windows of the ``common`` ones among them (null: none) are compared one by one in ``spread`` buckets.
     """
 
     def emit(batches):
@@ -530,26 +554,29 @@ def covered_spans(rows: DataFrame, buckets: int, hot: np.ndarray, spread: int) -
                 data, off = V.column_bytes(piece.column(2))
                 keys, first, last = anchors(data, off)
                 doc = np.searchsorted(off, first, "right") - 1
-                wanted = piece.column(3)
+                wanted, many = piece.column(3), piece.column(4)
                 cut = np.searchsorted(doc, np.arange(piece.num_rows + 1))
-                hit = np.zeros(len(keys), bool)
+                hit, common = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
                 for i in range(piece.num_rows):
                     mine = np.frombuffer(wanted[i].as_py(), np.uint64)
                     hit[cut[i]:cut[i + 1]] = np.isin(keys[cut[i]:cut[i + 1]], mine)
+                    if many[i].is_valid:
+                        mine = np.array(many[i].as_py(), np.int64).view(np.uint64)
+                        common[cut[i]:cut[i + 1]] = np.isin(keys[cut[i]:cut[i + 1]], mine)
                 at = np.flatnonzero(hit)
                 if len(at) == 0:
                     continue
                 size = last[at] - first[at] + LEAST
-                held.append((keys[at], piece.column(0).to_numpy()[doc[at]], piece.column(1).to_numpy()[doc[at]],
+                held.append((keys[at], common[at], piece.column(0).to_numpy()[doc[at]], piece.column(1).to_numpy()[doc[at]],
                              first[at] - off[doc[at]], size, gather(data, first[at], size)))
                 seen += int(size.sum())
                 if seen >= FLUSH_BYTES:
-                    yield _context_rows(held, buckets, hot, spread)
+                    yield _context_rows(held, buckets, spread)
                     held, seen = [], 0
         if held:
-            yield _context_rows(held, buckets, hot, spread)
+            yield _context_rows(held, buckets, spread)
 
-    sent = rows.select("tid", "id", "text", "keys").mapInArrow(
+    sent = rows.select("tid", "id", "text", "keys", "common").mapInArrow(
         emit, "bucket int, tid binary, ids binary, first binary, size binary, body binary")
     found = sent.groupBy("bucket").applyInArrow(lambda t: _bucket_spans(t, buckets), "tid long, spans binary")
     return found.groupBy("tid").agg(F.collect_list("spans").alias("spans"))
@@ -624,15 +651,16 @@ def repeated_spans(docs: DataFrame, others: list[str]) -> tuple[DataFrame, DataF
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     entries = 2 * size // (WINDOW + 1)
     keys = stored(shared_anchors(rows, max(1, -(-entries // BUCKET_ENTRIES)), MOST_CONTEXTS), "repeat-anchors")
-    # At most one anchor in MOST_CONTEXTS is hot: 16 bytes each come to the driver.
-    hot = np.frombuffer(b"".join(bytes(r[0]) for r in keys.filter("tid is null").select("keys").collect()), np.uint64).reshape(-1, 2)
-    spread = max(1, -(-int(hot[:, 1].sum()) * WINDOW // BUCKET_WINDOWS))
+    common = common_anchors(keys)
+    spread = max(1, -(-(common.agg(F.sum("places")).first()[0] or 0) * WINDOW // BUCKET_WINDOWS))
+    marked = anchor_rows(keys).join(common, "key", "left_semi").groupBy("tid").agg(F.collect_set("key").alias("common"))
     smallest = rows.groupBy("tid", "md5").agg(F.min("id").alias("low"))
-    wanted = keys.join(smallest, "tid").select(_rid("md5", "low").alias("__rid"), F.col("md5").alias("__md5"), "low", "keys")
+    wanted = keys.filter("tid is not null").join(marked, "tid", "left").join(smallest, "tid")
+    wanted = wanted.select(_rid("md5", "low").alias("__rid"), F.col("md5").alias("__md5"), "low", "keys", "common")
     held = rows.join(wanted, F.col("rid") == F.col("__rid")).filter(_same("md5", "__md5") & _same("id", "low"))
     n_keys = keys.filter("tid is not null").agg(F.sum(F.octet_length("keys"))).first()[0] or 0
     n = max(1, -(-(n_keys // 8 * 64) // BUCKET_BYTES))
-    spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys"), n, np.sort(hot[:, 0]), spread)
+    spans = covered_spans(held.select(F.col("rid").alias("tid"), "id", "text", "keys", "common"), n, spread)
     spans = stored(spans.select(F.col("tid").alias("__rid"), "spans"), "repeat-spans")
     return rows, spans
 
