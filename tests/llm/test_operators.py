@@ -14,6 +14,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tickerlake.llm import (classifier, components, fingerprints, jaccard, licenses, mixing, packing, repeats, rules, sharding, tokencount)
 
@@ -197,6 +198,19 @@ def test_mixed_documents_hold_the_taken_words(edge, nothing):
     assert mixing.mixed_documents(nothing).count() == 0
 
 
+def test_key_buckets_follow_the_keys_and_none_is_hot(spark):
+    """Buckets never fall as keys grow, and at every quality hold at most three times an even share."""
+    keys = [k / 500 for k in range(30_000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k double").select("k", mixing.key_bucket(F.col("k")).alias("b"))
+    got = [r["b"] for r in df.sort("k").collect()]
+    assert got == sorted(got) and got[0] == 0 and got[-1] == mixing.BUCKETS - 1
+    for quality in (1 / 3, 0.5, 2 / 3, 0.9, 1.0):
+        share = [math.exp(-quality * a) - math.exp(-quality * b) for a, b in zip(keys, keys[1:])]
+        steps = [b - a for a, b in zip(got, got[1:])]
+        assert all(s <= 3.01 * (n + 1) / mixing.BUCKETS for s, n in zip(share, steps))
+        assert math.exp(-quality * keys[got.index(mixing.BUCKETS - 1)]) <= 3.01 / mixing.BUCKETS * 1.5
+
+
 def test_sampling_follows_the_exponential_keys(spark):
     rows = [(i, "w " * (1 + i % 7), "s" if i % 2 else "t") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -288,6 +302,16 @@ def test_sparse_sites_shrink_to_their_prior(spark):
 
 # --- 6 n-gram Jaccard join -------------------------------------------------------------------------------------------
 
+def test_remaining_pairs_leave_in_blocks_and_whole(spark, monkeypatch):
+    """Members that no sketch tells apart: every pair between two components of a list, and none inside one."""
+    monkeypatch.setattr(jaccard, "BLOCK_PAIRS", 700)
+    body = jaccard.sketch(np.arange(100, dtype=np.uint64), 1)
+    rows = [(g, g * 1000 + i, 100, body, i % 5 if g else i) for g in (0, 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "list_id long, sig long, n long, sketch binary, component long")
+    got = {(r["a"], r["b"]) for r in jaccard.remaining_pairs(df).collect()}
+    assert got == {(x[1], y[1]) for x in rows for y in rows if x[0] == y[0] and x[1] < y[1] and x[4] != y[4]}
+
+
 def test_jaccard_edges(edge, nothing):
     df, rows = edge
     got = [(g["doc_id"], g["n_shingles"], g["component_id"]) for g in jaccard.jaccard_components(df).collect()]

@@ -28,6 +28,8 @@ of a component unless all are null; an empty table gives an empty result; only i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -45,6 +47,8 @@ VERIFY_FRAGMENTS, BUCKET_ENTRIES, FLUSH_ENTRIES = 4, 1_000_000, 1_500_000
 LEAST_BITS = 128
 #: Sketch bits per n-gram where the first sketch left pairs in doubt.
 SHARP = 8
+#: Pairs that a task holds before it passes them on.
+BLOCK_PAIRS = 200_000
 PIECE_BYTES = 1 << 20
 
 
@@ -282,18 +286,27 @@ def likely_pairs(members: DataFrame) -> DataFrame:
 
 
 def remaining_pairs(members: DataFrame) -> DataFrame:
-    """(a, b): every possible link between two components of a list (column ``component``)."""
+    """(a, b): every possible link between two components of a list (column ``component``).
 
-    def run(table: pa.Table) -> pa.Table:
+    Pairs leave in blocks as they are found: a task holds a list's members and one block.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         comp = table.column("component").to_numpy()
         sig, n, words = _members(table)
-        a, b = [], []
+        a, b, held = [], [], 0
         for i in range(len(sig) - 1):
             others = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
             hit = others[distances(words, n, i, others) < 1 << 40]
             a.append(np.full(len(hit), sig[i]))
             b.append(sig[hit])
-        return _pairs(np.concatenate(a), np.concatenate(b))
+            held += len(hit)
+            if held >= BLOCK_PAIRS:
+                yield from _pairs(np.concatenate(a), np.concatenate(b)).to_batches(BLOCK_PAIRS)
+                a, b, held = [], [], 0
+        if held:
+            yield from _pairs(np.concatenate(a), np.concatenate(b)).to_batches(BLOCK_PAIRS)
 
     return members.groupBy("list_id").applyInArrow(run, "a long, b long").distinct()
 

@@ -9,7 +9,8 @@ its target to within one word per tied row.
 
 The prefix sum never sorts a whole source in one task: sizes are summed per
 (source, key bucket), the bucket that holds the budget's end is found from those
-sums, and only that bucket's rows are summed one by one.
+sums, and only that bucket's rows are summed one by one: at most some 3 / 65,536 of a
+source's documents, whatever their qualities (``key_bucket``).
 
 Defined results: null text has size 0 and takes 0; a null source is a source of
 its own and comes last; rows with the same id and text are tied, and a tie at the
@@ -50,13 +51,22 @@ def uniform(key: Column, seed: int) -> Column:
     return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / F.lit(float(1 << 52))
 
 
+def key_bucket(key: Column) -> Column:
+    """Number of the key's bucket: the mean of the keys' distributions at qualities 1, 2/3 and 1/3, cut evenly.
+
+    A quality q has keys of distribution 1 - exp(-q key); against this mean no quality
+    between 1/3 and 1 has more than three times an even share in any bucket.
+    """
+    e = F.exp(-key / 3.0)
+    return F.least(F.floor((1 - (e + e * e + e * e * e) / 3.0) * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
 def keyed(docs: DataFrame, seed: int = 0) -> DataFrame:
     """``docs`` with __size, __key, __tie and __bucket (which grows with the key)."""
     docs = docs.withColumn("__size", n_words(F.col("text")))
     docs = docs.withColumn("__key", -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"), F.col("__size")))
     tie = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    bucket = F.least(F.floor((1 - F.exp(-F.col("__key"))) * BUCKETS), F.lit(BUCKETS - 1))
-    return docs.withColumn("__tie", tie).withColumn("__bucket", bucket.cast("int"))
+    return docs.withColumn("__tie", tie).withColumn("__bucket", key_bucket(F.col("__key")))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
