@@ -3,10 +3,20 @@
 1. ``quality``: the classifier rejects poor and toxic documents.
 2. ``near_duplicates``: one document of each group of near duplicates stays.
 3. ``repeated_passages``: passages that an earlier document holds are cut out.
-4. ``mixture``: sources are repeated or sampled to their target weights.
+4. ``mixture``: sources are repeated or sampled to their target weights, whole documents only.
 5. ``packing``: the remaining documents are packed into training sequences.
 
 All but the last return the columns of ``documents``; where a text changes, ``n_chars`` follows it.
+
+Defined results, stage by stage; none fails on them, and columns whose names a stage uses itself are carried as they are:
+
+* null and empty texts: rejected or kept by their source's and path's posterior; never near duplicates;
+  unchanged by the passage stage; without words they take part in no mixture.
+* a null id: kept and cut like others (it counts as the largest); repeated rows: one of them stays.
+* ties: the smallest id stays of near duplicates; the later document loses a shared passage; documents tied
+  at the end of a source's budget are taken or left together.
+* very long texts: scored, compared and cut whole; only the last stage splits them, into pieces that fit a sequence.
+* an empty table: every stage returns no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +50,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _with_length(mixing.mixed_documents(docs))
+    return mixing.mixed_documents(docs, cut_last=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -146,8 +146,8 @@ def cut_text(rows, least=50):
     return out
 
 
-def mixed(rows):
-    """(id, text, source) rows repeated per epoch in order of their keys, the last one cut to its first words."""
+def mixed(rows, cut_last=True):
+    """(id, text, source) rows repeated per epoch in order of their keys; the last one cut to its first words, or whole if half of it is due."""
     def order(r):
         u = (int(hashlib.md5(f"0:{'null' if r[0] is None else r[0]}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
         n = len(WORD.findall(r[1] or ""))
@@ -169,6 +169,8 @@ def mixed(rows):
             n = len(WORD.findall(ties[tie][0][1] or ""))
             part = min(n, max(0, left) // len(ties[tie]))
             left -= n * len(ties[tie])
+            if not cut_last:
+                part = n if 2 * part >= n else 0
             for r in ties[tie]:
                 out += [r] * (epochs + (0 < part == n)) if n else []
                 if 0 < part < n:

@@ -196,6 +196,11 @@ def test_mixed_documents_hold_the_taken_words(edge, nothing):
         assert any(t is not None and t.startswith(g["text"]) for t in texts[g["doc_id"]])
     assert got == +want
     assert mixing.mixed_documents(nothing).count() == 0
+    # Without a cut, texts stay whole.
+    whole = mixing.mixed_documents(df, cut_last=False)
+    assert whole.columns == df.columns
+    assert same([(g["doc_id"], g["text"], g["source"]) for g in whole.collect()], brute.mixed([(r[0], r[1], r[3]) for r in rows], False))
+    assert mixing.mixed_documents(nothing, cut_last=False).count() == 0
 
 
 def test_key_buckets_follow_the_keys_and_none_is_hot(spark):
@@ -508,12 +513,11 @@ def test_scores_and_labels_follow_from_the_spans(spark, seed):
 
 def test_repeats_edges(edge, nothing):
     df, rows = edge
-    small = df.filter("doc_id is null or doc_id <> 40")
-    got = [tuple(g) for g in repeats.removed_repeats(small).collect()]
-    assert same(got, brute.repeats([(r[0], r[1]) for r in rows if r[0] != 40]))
+    got = [tuple(g) for g in repeats.removed_repeats(df).collect()]
+    assert same(got, brute.repeats([(r[0], r[1]) for r in rows]))
     assert repeats.removed_repeats(nothing).count() == 0
-    out = repeats.without_repeats(small)
-    assert out.columns == df.columns and out.count() == len(rows) - 1
+    out = repeats.without_repeats(df)
+    assert out.columns == df.columns and out.count() == len(rows)
     assert repeats.without_repeats(nothing).count() == 0
 
 

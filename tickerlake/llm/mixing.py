@@ -139,19 +139,28 @@ def decide(rows: DataFrame, ends: DataFrame) -> DataFrame:
     return out.withColumn("taken", (F.col("epochs") * F.col("__size") + F.col("part")).cast("long"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The mixed corpus itself: rows of ``docs`` (all its columns), repeated per epoch, the last one cut.
-
-    A document's whole copies come as that many equal rows; a part is a row whose
-    text ends with its last taken word. Documents that take no word give no row.
+def mixed_documents(docs: DataFrame, seed: int = 0, cut_last: bool = True) -> DataFrame:
+    """The mixed corpus itself: rows of ``docs`` (all its columns), repeated per epoch.
+
+    A document's whole copies come as that many equal rows. With ``cut_last`` the part of the
+    last document is a row whose text ends with its last taken word; without, that
+    document comes whole if at least half of its words are due, so that texts stay as
+    they are and a source meets its target to within half a document per tied row.
+    Documents that take no word, those without words among them, give no row.
     """
     columns = docs.columns
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])  # one column, so that no name of the input can clash
     rows = keyed(docs.select("doc_id", "text", "source", whole.alias("__row")), seed)
     ends = stored(plan(stored(rows.select("source", "__size", "__key", "__tie", "__bucket"), "mix-keys")), "mix-plan")
-    out = decide(rows, ends).filter(F.col("taken") > 0)
+    out = decide(rows, ends)
+    if not cut_last:
+        due = F.when(2 * F.col("part") >= F.col("__size"), F.col("__size")).otherwise(0).cast("long")
+        out = out.withColumn("part", due).withColumn("taken", F.col("epochs") * F.col("__size") + F.col("part"))
+    out = out.filter(F.col("taken") > 0)
     times = F.col("epochs") + (F.col("part") == F.col("__size")).cast("long")
     copies = F.array_repeat(F.lit(-1).cast("long"), times.cast("int"))
+    if not cut_last:
+        return out.withColumn("__take", F.explode(copies)).select(*[F.col("__row")[c].alias(c) for c in columns])
     cut = F.when((F.col("part") > 0) & (F.col("part") < F.col("__size")), F.array("part")).otherwise(F.array().cast("array<long>"))
     out = out.withColumn("__take", F.explode(F.concat(copies, cut)))
     pieces = F.regexp_extract_all(F.col("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
