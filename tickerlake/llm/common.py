@@ -47,6 +47,21 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBa
     return df.mapInArrow(run, schema)
 
 
+def giving_back(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` for mapInArrow, after which the worker returns the Arrow memory that its batches have left free.
+
+    A reused worker would otherwise keep the most that any of its tasks held, beside the JVM's share of the executor.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def gapless_rank(df: DataFrame, group: list[str], order: list, out: str, rows: int | None = None) -> DataFrame:
     """0, 1, 2, ... within each group as column ``out``, without bringing a large group into one task.
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake.llm import textvec as V
-from tickerlake.llm.common import stored, texts
+from tickerlake.llm.common import giving_back, stored, texts
 from tickerlake.llm.components import components
 
 U64 = np.uint64
@@ -114,7 +114,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                      pa.array(signatures(h, off).view(np.int64)), pa.array(body, pa.binary())],
                     ["doc_id", "n_shingles", "sig", "sketch"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_shingles long, sig long, sketch binary")
+    return texts(docs).mapInArrow(giving_back(run), "doc_id long, n_shingles long, sig long, sketch binary")
 
 
 def classes(n: np.ndarray) -> np.ndarray:
@@ -227,9 +227,11 @@ def candidate_lists(docs: DataFrame, buckets: int) -> DataFrame:
         one = one[size[one] > 1]
         at = np.concatenate([[0], np.cumsum(size[one])]).astype(np.int64)
         pick = np.arange(at[-1]) + np.repeat(begin[one] - at[:-1], size[one])
-        return pa.table({"list_id": pa.array(np.repeat(ids[one], size[one]).view(np.int64)), "sig": pa.array(sigs[pick].view(np.int64))})
+        out = pa.table({"list_id": pa.array(np.repeat(ids[one], size[one]).view(np.int64)), "sig": pa.array(sigs[pick].view(np.int64))})
+        pa.default_memory_pool().release_unused()
+        return out
 
-    rows = texts(docs).mapInArrow(emit, "bucket int, keys binary, sigs binary")
+    rows = texts(docs).mapInArrow(giving_back(emit), "bucket int, keys binary, sigs binary")
     return rows.groupBy("bucket").applyInArrow(group, "list_id long, sig long").distinct()
 
 
@@ -336,7 +338,7 @@ def fragments(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
                                                   pa.array(cols[3], pa.binary()), pa.array(cols[4], pa.binary())],
                                                  ["sig", "fragment", "n", "grams", "sketch"])
 
-    cut = body.select("text").mapInArrow(run, "sig long, fragment int, n long, grams binary, sketch binary")
+    cut = body.select("text").mapInArrow(giving_back(run), "sig long, fragment int, n long, grams binary, sketch binary")
     # Repeated rows and repeated ids may bring a set twice; equal sets have equal rows.
     return cut.join(wanted, "sig", "left_semi").groupBy("sig", "fragment").agg(
         F.first("n").alias("n"), F.first("grams").alias("grams"), F.first("sketch").alias("sketch"))
@@ -350,6 +352,7 @@ def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
         if len(p) and len(q):
             at = np.searchsorted(q, p)
             out[i] = int(np.count_nonzero(q[np.minimum(at, len(q) - 1)] == p))
+    pa.default_memory_pool().release_unused()
     return pa.array(out)
 
 
