@@ -196,3 +196,55 @@ def test_a_filter_on_the_folder_key_leaves_line_numbers_alone(spark):
         _write(f"{d}/Symbol={s}", "x.csv", "t\nDate,Open\n" + "".join(f"1/2/2020,{i}\n" for i in range(200)))
     got = CSV.read_offset_csv(spark, d, 1, "Open DOUBLE").where("Symbol = 'B'")
     assert sorted((r["__order"], r["Open"]) for r in got.collect()) == [(i + 2, float(i)) for i in range(200)]
+
+
+def test_bundles_read_as_the_files_do(spark, monkeypatch):
+    from tickerlake.session import shared_dir
+    monkeypatch.setattr(CSV, "ROWS_PER_REPORT", 100)
+    df = spark.range(950).selectExpr("if(id < 700, 'HOT', if(id = 949, null, concat('S/', id % 40, '.B'))) as Symbol",
+                                     "if(id % 50 = 0, concat(char(30), id), concat('a, \"', id)) as Date", "cast(id as double) as Open").repartition(5)
+    kinds = "Open DOUBLE, Date STRING, Missing DOUBLE"
+    files = CSV.write_offset_csv(df, shared_dir(spark, "test-loose"), ["Date", "Open"], "t")
+    bundles = CSV.bundle_offset_csv(df, shared_dir(spark, "test-bundles"), ["Date", "Open"], "t")
+    want = rows(CSV.read_offset_csv(spark, files, 1, kinds), "Symbol", "Date", "Open", "Missing")
+    assert len(want) == 949
+    for size in ("4096", "128m"):
+        got = _with_splits(spark, size, lambda: rows(CSV.read_offset_csv(spark, bundles, 1, kinds), "Symbol", "Date", "Open", "Missing"))
+        assert got == want
+    hot = CSV.read_offset_csv(spark, bundles, 1, kinds).where("Symbol = 'HOT'")
+    assert hot.agg({"__order": "min"}).first()[0] == 2 and hot.agg({"__order": "max"}).first()[0] < 200  # 7 reports
+    assert CSV.header_mismatches(spark, bundles, 1, ["Date", "Volume"]).where("Symbol = 'HOT'").count() == 1
+
+
+def test_bundled_sheets_read_as_the_files_do(spark):
+    from tickerlake.session import shared_dir
+    long = spark.range(600).selectExpr("if(id = 7, null, concat('S.', id % 23)) as Symbol", "if(id % 2 = 0, 'bs', 'cf') as report", "12 as freq", "id % 97 as pos",
+                                       "if(id % 97 = 5, concat(char(30), 'x'), concat('item, ', id % 97)) as item", "'Fiscal year' as label",
+                                       "concat('20', lpad(id div 97, 2, '0')) as period", "if(id % 5 = 0, null, cast(id as double)) as value")
+    for short in (False, True):
+        files = CSV.write_sheets(long, shared_dir(spark, "test-loose"), short=short)
+        bundles = CSV.bundle_sheets(long, shared_dir(spark, "test-bundles"), short=short)
+        want = rows(CSV.read_sheets(spark, files, 1))
+        assert len(want) > 599 and rows(CSV.read_sheets(spark, bundles, 1)) == want
+
+
+def test_a_bundle_keeps_blank_lines_and_titles_apart(spark):
+    d = tempfile.mkdtemp(prefix="tl-bundle-")
+    _write(d, "b.txt", f"{CSV.MARK}BRK.B\n\nKey ratios\r\nUSD\n\n,2016,2017\r\n\nRevenue,\"1,000\"\nSection\n{CSV.MARK}NONE\ntitle\n{CSV.MARK}ONE\nt\nt\n,2018\nx,1")
+    got = rows(CSV.read_sheets(spark, CSV.Bundles(d), 2), "Symbol", "pos", "item", "period", "value")
+    assert got == [("BRK.B", 1, "Revenue", "2016", 1000.0), ("BRK.B", 1, "Revenue", "2017", None), ("BRK.B", 2, "Section", "2016", None),
+                   ("BRK.B", 2, "Section", "2017", None), ("ONE", 1, "x", "2018", 1.0)]
+
+
+def test_files_of_report_queries_do_not_grow_with_symbols(spark):
+    """A file per symbol, or per sheet, cost more time than all rows together."""
+    from tickerlake.plans import registry
+    d = tempfile.mkdtemp(prefix="tl-many-")
+    spark.range(3000).selectExpr("id as l_partkey", "1 as l_linenumber", "1.0D as l_quantity", "2.0D as l_extendedprice", "0.1D as l_discount", "0.0D as l_tax", "'A' as l_returnflag",
+                                 "'F' as l_linestatus", "timestamp_ntz '1995-01-02 00:00:00' as l_shipdate").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(3000).selectExpr("id as o_orderkey", "id as o_custkey", "'F' as o_orderstatus", "1.0D as o_totalprice", "timestamp_ntz '1995-01-02 00:00:00' as o_orderdate",
+                                 "'1-URGENT' as o_orderpriority").write.parquet(f"{d}/orders.parquet")
+    for name in ("read_offset_csv", "read_reordered_csv", "read_sheets", "read_short_sheets"):
+        out = registry.QUERIES[name](spark, d)
+        assert len(out.inputFiles()) < 100
+        assert (out.count(), out.select("Symbol").distinct().count()) == (3000, 3000)
