@@ -77,6 +77,20 @@ def library_ids(text):
     return [*Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids, 2]
 
 
+def test_runs_between_white_space_are_cut_once(monkeypatch):
+    from tickerlake.llm import wordbpe
+    w, rng = wordbpe.WordIds(WORDS), random.Random(11)
+    signs = [*w.beyond, *"abcdeABC019 '._-(\n\t" * 6]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 90))) for _ in range(400)] + ["It's the End, isn't IT? (1985) déjà-vu, déjà vu"]
+    texts = [t for t in texts if w.plain(t)]
+    want = [np.asarray(w.lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    monkeypatch.setattr(w, "_library", None)  # words beyond ASCII are merged without it
+    assert len(texts) > 300 and [w.ids(t) for t in texts] == want
+    short = [t for t in texts if all(len(run) <= wordbpe.LONGEST_REMEMBERED for run in t.split())]
+    monkeypatch.setattr(w, "cut", None)
+    assert short and [w.ids(t) for t in short] == [want[texts.index(t)] for t in short]
+
+
 @pytest.fixture(scope="module")
 def written(edge):
     return tokenfiles.write_tokens(edge[0], WORDS, 2)

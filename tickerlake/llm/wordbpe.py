@@ -7,20 +7,25 @@ cut provably equals the file's are treated so: plain ASCII, and the letters and
 below U+0250 that stay there when lower-cased. All other texts, and those holding one
 of the file's special strings, go through the library whole.
 
-Remembered words are bounded in number and in length, so the memory is bounded
+White space belongs to no word, so a text of such characters is first split there, and
+the ids of a whole run between white space are remembered too: one look-up for a word with
+the signs around it, without the pattern.
+
+Remembered words and runs are bounded in number and in length, so the memory is bounded
 whatever the texts hold; a longer word is merged each time it stands.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
-#: Words remembered per Python worker, and the longest (characters) that is remembered.
-WORDS_REMEMBERED, LONGEST_REMEMBERED = 600_000, 32
+#: Runs and words remembered per Python worker, and the longest (characters) that is remembered.
+RUNS_REMEMBERED, WORDS_REMEMBERED, LONGEST_REMEMBERED = 500_000, 250_000, 32
 #: ASCII characters that the pattern cuts as the file does: white space and print, without other control characters.
 PLAIN = bytes([9, 10, 13, *range(32, 127)])
 
@@ -40,16 +45,20 @@ def _plain_beyond_ascii() -> str:
     return "".join(out)
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Words(dict):
-    """Little-endian 32-bit ids per word; a missing word is merged by the model."""
+    """Little-endian 32-bit ids per word (or run); a missing one is made by ``merge``."""
 
-    def __init__(self, merge):
+    def __init__(self, merge, most: int):
         super().__init__()
-        self.merge = merge
+        self.merge, self.most = merge, most
 
     def __missing__(self, word: str) -> bytes:
         ids = self.merge(word)
-        if len(word) <= LONGEST_REMEMBERED and len(self) < WORDS_REMEMBERED:
+        if len(word) <= LONGEST_REMEMBERED and len(self) < self.most:
             self[word] = ids
         return ids
 
@@ -73,12 +82,18 @@ class WordIds:
         self.signs = {b: step(chr(b))[0][0] for b in range(0x21, 0x7F)}
         if any(s != chr(b) for b, s in self.signs.items()):
             raise ValueError("the file's alphabet changes printable ASCII")
-        self.words = Words(self._merge)
+        # The alphabet is one of bytes, so a word's signs are those of its characters.
+        self.spelled = {ord(c): "".join(s for s, _ in step(c)) for c in beyond}
+        self.model = self.lib.model
+        self.words = Words(self._merge, WORDS_REMEMBERED)
+        self.runs = Words(self._run, RUNS_REMEMBERED)
 
     def _merge(self, word: str) -> bytes:
-        if word.isascii():
-            return np.asarray([t.id for t in self.lib.model.tokenize(word)], "<u4").tobytes()
-        return self._library(word)
+        return pack_ids([t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.spelled))])
+
+    def _run(self, run: str) -> bytes:
+        """Ids of lower-case text without white space."""
+        return b"".join(map(self.words.__getitem__, self.cut(run)))
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -91,7 +106,7 @@ class WordIds:
     def ids(self, text: str) -> bytes:
         if not self.plain(text):
             return self._library(text)
-        return b"".join(map(self.words.__getitem__, self.cut(text.lower())))
+        return b"".join(map(self.runs.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=2)
